@@ -15,6 +15,7 @@ from filingloom.functions.text import (
 from filingloom.operators import bills, checks, mart, offices, resolve, roles
 from filingloom.operators.identity import merge_identities
 from filingloom.operators.latest import latest_amendment
+from filingloom.operators.skew import DEFAULT, within
 from filingloom.plans import candidates, committees, contracts, individuals, registrations
 from filingloom.sources import snapshots
 from filingloom.sources.tables import MART, Table
@@ -265,7 +266,7 @@ ORG_ORDER = ["filing_no", "amend_no"]
 def org_cascade(spark, folder):
     f = Filings(spark, folder)
     probes = snapshots.stage(resolve.org_probes(_org_probe_rows(f), ORG_ORDER), "org-probes")
-    resolved, new_orgs = resolve.resolve_orgs(probes, f.master_org, ORG_ORDER)
+    resolved, new_orgs = resolve.resolve_orgs(probes, f.master_org, ORG_ORDER, spread=within(probes, DEFAULT))
     return _org_label(resolved, new_orgs).select(
         "org_name", "filer_id", "type", "org", "match_rule", F.col("n_candidates").cast("bigint").alias("n_candidates")
     )
@@ -279,7 +280,7 @@ def org_by_filer_first(spark, folder):
         (F.col("s_suppkey") + 5_000_000).alias("organization_id"), text("s_suppkey").alias("filer_id")
     )
     probes = snapshots.stage(resolve.org_probes(_org_probe_rows(f), ORG_ORDER), "filer-probes")
-    resolved, new_orgs = resolve.resolve_orgs(probes, f.master_org, ORG_ORDER, bridge=bridge, by_filer=True)
+    resolved, new_orgs = resolve.resolve_orgs(probes, f.master_org, ORG_ORDER, bridge=bridge, by_filer=True, spread=within(probes, DEFAULT))
     return _org_label(resolved, new_orgs).select("org_name", "filer_id", "type", "org", "match_rule")
 
 
@@ -287,7 +288,7 @@ def org_by_filer_first(spark, folder):
 def unmatched_report(spark, folder):
     f = Filings(spark, folder)
     probes = snapshots.stage(resolve.org_probes(_org_probe_rows(f), ORG_ORDER), "report-probes")
-    return resolve.match_summary(resolve.resolve_orgs(probes, f.master_org, ORG_ORDER)[0])
+    return resolve.match_summary(resolve.resolve_orgs(probes, f.master_org, ORG_ORDER, spread=within(probes, DEFAULT))[0])
 
 
 def _name_events(f: Filings) -> DataFrame:
@@ -421,10 +422,11 @@ def role_unpivot_resolve(spark, folder):
     }, ["l_orderkey", "l_linenumber"])
     order = ["l_orderkey", "l_linenumber"]
     probes = snapshots.stage(resolve.org_probes(named, order), "role-probes")
-    resolved = snapshots.stage(resolve.resolve_orgs(probes, f.master_org, order)[0], "role-resolved")
+    resolved = snapshots.stage(resolve.resolve_orgs(probes, f.master_org, order, spread=within(probes, DEFAULT))[0], "role-resolved")
     known = resolved.withColumn("organization_id", F.when(F.col("organization_id") >= 0, F.col("organization_id")))
-    both = roles.attach_role(rows, known, "FRM", F.col("firm"), F.col("firm_filer"), "firm_id")
-    both = roles.attach_role(both, known, "LEM", F.col("employer"), None, "employer_id")
+    both = roles.attach_roles(rows, known, {
+        "firm_id": ("FRM", F.col("firm"), F.col("firm_filer")), "employer_id": ("LEM", F.col("employer"), None),
+    }, within(rows, DEFAULT))
     return both.select("l_orderkey", "l_linenumber", "firm", "employer", "firm_id", "employer_id")
 
 
@@ -674,12 +676,12 @@ def org_xref_rerun(spark, folder):
     """The reference table after a rerun that reads the first run's snapshot; the rerun adds nothing."""
     f = Filings(spark, folder)
     probes = snapshots.stage(resolve.org_probes(_org_probe_rows(f), ORG_ORDER), "xref-probes")
-    resolved, new_orgs = resolve.resolve_orgs(probes, f.master_org, ORG_ORDER)
+    resolved, new_orgs = resolve.resolve_orgs(probes, f.master_org, ORG_ORDER, spread=within(probes, DEFAULT))
     key = ["org_name", "filer_id", "type"]
     path = snapshots.new_path(spark, "org-xref")
     snapshots.write_snapshot(resolved.select(*key, "organization_id"), path)
     xref = snapshots.read_xref(spark, path)
-    again, made_again = resolve.resolve_orgs(probes, f.master_org, ORG_ORDER, xref=xref)
+    again, made_again = resolve.resolve_orgs(probes, f.master_org, ORG_ORDER, xref=xref, spread=within(probes, DEFAULT))
     added = mart.without(again.select(*key, "organization_id"), xref, [*key, "organization_id"])
     merged = snapshots.merge_snapshot(xref, added.unionByName(made_again.select(
         F.col("name").alias("org_name"), F.lit("").alias("filer_id"), F.lit("again").alias("type"), "organization_id"

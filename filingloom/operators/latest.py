@@ -14,18 +14,20 @@ def _order_column(df: DataFrame, order: str) -> Column:
     return amendment_no(F.col(order)) if dict(df.dtypes)[order] == "string" else F.col(order)
 
 
-def _all_ties(df: DataFrame, key: list[str], spread: Spread) -> DataFrame:
+def _all_ties(df: DataFrame, key: list[str], spread: Spread | None) -> DataFrame:
     """Every row whose `_order` is the highest of its key (rank 1).
 
     The tied rows of one key may be any share of the table, so a window alone could put them all
     in one task. Hot keys are compared map-side with their maximum; the rest use the window, whose
     rank filter also drops rows before the shuffle.
     """
-    hot = hot_keys(df, key, spread, F.max("_order").alias("_top"))
-    hot_rows = mark(df, hot, key, "left_semi", F.col("_order").eqNullSafe(F.col("_top")))
     window = Window.partitionBy(*key).orderBy(F.col("_order").desc_nulls_last())
-    other_rows = mark(df, hot, key, "left_anti").withColumn("_rank", F.rank().over(window)).filter("_rank = 1")
-    return other_rows.drop("_rank").unionByName(hot_rows)
+    hot = hot_keys(df, key, spread, F.max("_order").alias("_top"))
+    others = df if hot is None else mark(df, hot, key, "left_anti")
+    ranked = others.withColumn("_rank", F.rank().over(window)).filter("_rank = 1").drop("_rank")
+    if hot is None:
+        return ranked
+    return ranked.unionByName(mark(df, hot, key, "left_semi", F.col("_order").eqNullSafe(F.col("_top"))))
 
 
 def latest_amendment(
@@ -36,7 +38,7 @@ def latest_amendment(
     tie_break: list[str] | None = None,
     where: Column | None = None,
     rank_scope: str = "form",
-    spread: Spread = DEFAULT,
+    spread: Spread | None = DEFAULT,
 ) -> DataFrame:
     """Rows of the latest amendment per key; text amendment numbers are ordered as numbers.
 

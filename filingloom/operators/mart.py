@@ -54,7 +54,7 @@ def insert_or_reject(
     key: list[str],
     order: list[str],
     existing: DataFrame | None = None,
-    spread: Spread = DEFAULT,
+    spread: Spread | None = DEFAULT,
 ) -> tuple[DataFrame, DataFrame]:
     """Split rows into accepted ones and rejected ones with a reason.
 

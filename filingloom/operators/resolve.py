@@ -47,7 +47,7 @@ def resolve_orgs(
     by_filer: bool = False,
     placeholders: tuple[str, ...] = PLACEHOLDER_NAMES,
     min_name_length: int = MIN_NAME_LENGTH,
-    spread: Spread = DEFAULT,
+    spread: Spread | None = DEFAULT,
 ) -> tuple[DataFrame, DataFrame]:
     """Resolve organisations by a cascade; returns (resolved, new_orgs).
 
@@ -97,30 +97,24 @@ def resolve_orgs(
     else:
         looked = looked.withColumn("_filer_id", F.lit(None).cast("bigint"))
 
-    n = F.coalesce("_n", F.lit(0))
-    place_id = F.least("_c_lo", "_s_lo")
-    one_place = _exactly_one(place_id, F.greatest("_c_hi", "_s_hi"))
     no_name = (F.length("org_name") < min_name_length) | F.col("org_name").isin(*placeholders)
-    rule = (
+    looked = looked.withColumns({
+        "n_candidates": F.coalesce("_n", F.lit(0)),
+        "_place_id": F.least("_c_lo", "_s_lo"),
+        "_one_place": _exactly_one(F.least("_c_lo", "_s_lo"), F.greatest("_c_hi", "_s_hi")),
+    })
+    n, rule = F.col("n_candidates"), F.col("match_rule")
+    looked = looked.withColumn(
+        "match_rule",
         F.when(F.col("_cache_id").isNotNull(), "cache")
         .when(F.col("_filer_id").isNotNull(), "filer")
         .when(no_name, "placeholder")
         .when(n == 1, "name")
-        .when((n > 1) & one_place, "name_place")
+        .when((n > 1) & F.col("_one_place"), "name_place")
         .when(n > 1, "new_ambiguous")
-        .otherwise("new")
-    )
-    by_place = [F.col("org_name"), F.col("city"), F.col("state")]
-    made = (
-        F.when(
-            rule == "placeholder",
-            F.when(F.col("filer_id") != "", surrogate_key(F.col("filer_id"), kind="org-filer")).otherwise(
-                surrogate_key(*by_place, kind="org-place")
-            ),
-        )
-        .when(rule == "new_ambiguous", surrogate_key(*by_place, kind="org-place"))
-        .when(rule == "new", surrogate_key(F.col("org_name"), kind="org-name"))
+        .otherwise("new"),
     )
+    by_place = surrogate_key(F.col("org_name"), F.col("city"), F.col("state"), kind="org-place")
     decided = looked.select(
         *ORG_KEY,
         "city",
@@ -129,11 +123,13 @@ def resolve_orgs(
         F.when(rule == "cache", F.col("_cache_id"))
         .when(rule == "filer", F.col("_filer_id"))
         .when(rule == "name", F.col("_name_id"))
-        .when(rule == "name_place", place_id)
-        .otherwise(made)
+        .when(rule == "name_place", F.col("_place_id"))
+        .when(rule == "new", surrogate_key(F.col("org_name"), kind="org-name"))
+        .when((rule == "placeholder") & (F.col("filer_id") != ""), surrogate_key(F.col("filer_id"), kind="org-filer"))
+        .otherwise(by_place)
         .alias("organization_id"),
-        rule.alias("match_rule"),
-        n.alias("n_candidates"),
+        "match_rule",
+        "n_candidates",
     )
     new_orgs = first_wins(
         decided.filter(F.col("match_rule").isin("placeholder", "new", "new_ambiguous")).select(
@@ -155,7 +151,7 @@ def resolve_orgs(
 
 
 def resolve_people(
-    probes: DataFrame, master: DataFrame, preferred_source: str = PREFERRED_SOURCE, spread: Spread = DEFAULT
+    probes: DataFrame, master: DataFrame, preferred_source: str = PREFERRED_SOURCE, spread: Spread | None = DEFAULT
 ) -> DataFrame:
     """Add master_pid, match_rule and n_candidates to probes that have first, middle and last.
 
@@ -240,7 +236,7 @@ def fill_missing(stored: DataFrame, incoming: DataFrame, key: list[str], cols: l
 
 
 def conflicts(
-    stored: DataFrame, incoming: DataFrame, key: list[str], cols: list[str], spread: Spread = DEFAULT
+    stored: DataFrame, incoming: DataFrame, key: list[str], cols: list[str], spread: Spread | None = DEFAULT
 ) -> DataFrame:
     """Incoming values that differ from the stored ones: key, field, stored, incoming."""
     seen = incoming.select(*key, *[F.col(c).alias(f"_in_{c}") for c in cols]).distinct()

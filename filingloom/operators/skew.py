@@ -1,8 +1,9 @@
 """Joins that stay spread out when one key holds a large share of the rows.
 
 Groups are counted by a partial aggregate (one row per key and map task before the shuffle), so
-finding a hot key is cheap. Rows of hot keys are then either joined map-side, where the other side
-has one row per key, or salted, where it may have many.
+finding hot keys is one narrow pass. If there are none, joins are left to Spark as they are. Rows
+of hot keys are joined map-side where the other side has one row per key, and salted where it may
+have many.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 class Spread:
     """When a key counts as hot, and how far its rows are spread.
 
-    `max_keys` bounds what is ever broadcast. A key outside that list stays in the ordinary
-    shuffle, with the same result; it holds less than 1/max_keys of the rows.
+    `max_keys` bounds what is ever collected and broadcast. A key outside that list stays in the
+    ordinary shuffle, with the same result; it holds less than 1/max_keys of the rows.
     """
 
     hot_rows: int = 1_000_000
@@ -30,9 +31,23 @@ class Spread:
 DEFAULT = Spread()
 
 
-def hot_keys(df: DataFrame, keys: list[str], spread: Spread = DEFAULT, *facts: Column) -> DataFrame:
-    """The keys with at least `hot_rows` rows, their salts and `facts`; at most `max_keys` rows."""
-    return (
+def within(df: DataFrame, spread: Spread | None) -> Spread | None:
+    """`spread`, or None when the whole frame has too few rows for any key to be hot.
+
+    For a table just written the count comes from the file footers. Frames made from its rows
+    one by one are covered by the same answer.
+    """
+    return spread if spread is not None and df.count() >= spread.hot_rows else None
+
+
+def hot_keys(df: DataFrame, keys: list[str], spread: Spread | None = DEFAULT, *facts: Column) -> DataFrame | None:
+    """The keys with at least `hot_rows` rows, their salts and `facts`; None when there are none.
+
+    Runs one aggregation. At most `max_keys` rows reach the driver, to be broadcast from there.
+    """
+    if spread is None:
+        return None
+    counted = (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"), *facts)
         .filter(F.col("_rows") >= spread.hot_rows)
@@ -41,6 +56,8 @@ def hot_keys(df: DataFrame, keys: list[str], spread: Spread = DEFAULT, *facts: C
         .withColumn("_salts", F.ceil(F.col("_rows") / spread.rows_per_salt).cast("int"))
         .drop("_rows")
     )
+    found = counted.collect()
+    return df.sparkSession.createDataFrame(found, counted.schema) if found else None
 
 
 def mark(df: DataFrame, hot: DataFrame, keys: list[str], how: str, *extra: Column) -> DataFrame:
@@ -103,14 +120,17 @@ def salted_join(
 
 
 def join_one(
-    rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", spread: Spread = DEFAULT
+    rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", spread: Spread | None = DEFAULT
 ) -> DataFrame:
     """Join rows to a lookup with one row per key.
 
     Rows of hot keys meet their few lookup rows map-side and are never shuffled; all other rows
     take the ordinary join. Null keys match nothing, and a large share of them is kept apart too.
     """
-    hot = hot_keys(rows, on, spread).select(*on)
+    hot = hot_keys(rows, on, spread)
+    if hot is None:
+        return rows.join(lookup, on, how)
+    hot = hot.select(*on)
     hot_lookup = F.broadcast(mark(lookup, hot, on, "left_semi"))  # one row per hot key
     hot_rows = mark(rows, hot, on, "left_semi").join(hot_lookup, on, how)
     other_rows = mark(rows, hot, on, "left_anti").join(lookup, on, how)

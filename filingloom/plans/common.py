@@ -9,7 +9,6 @@ from filingloom.operators.identity import merge_identities
 from filingloom.operators.mart import first_wins, surrogate_key, without
 from filingloom.operators.resolve import ORG_KEY, conflicts, fill_missing, person_names, resolve_people
 from filingloom.operators.skew import DEFAULT, Spread
-from filingloom.sources.snapshots import stage
 from filingloom.sources.tables import conform
 
 Frames = dict[str, DataFrame]
@@ -47,7 +46,7 @@ def stored_people(mart: Frames, candidates_only: bool = False) -> DataFrame | No
 
 
 def identify(
-    rows: DataFrame, kind: str, order: list[str], stored: DataFrame | None, spread: Spread = DEFAULT
+    rows: DataFrame, kind: str, order: list[str], stored: DataFrame | None, spread: Spread | None = DEFAULT
 ) -> DataFrame:
     """Add person_id to rows with person_filer, first, middle, last; a stored person keeps its id."""
     existing = None
@@ -64,7 +63,7 @@ def identify(
 
 
 def load_people(
-    rows: DataFrame, master: DataFrame, order: list[str], mart: Frames, spread: Spread = DEFAULT
+    rows: DataFrame, master: DataFrame, order: list[str], mart: Frames, spread: Spread | None = DEFAULT
 ) -> Frames:
     """New person rows with their master match, changed stored rows, and name conflicts.
 
@@ -108,8 +107,3 @@ def org_filers(resolved: DataFrame) -> DataFrame:
 
 def person_filers(rows: DataFrame) -> DataFrame:
     return rows.select("person_id", F.col("person_filer").alias("filer_id"))
-
-
-def staged(frames: Frames, name: str, spread: Spread = DEFAULT) -> Frames:
-    """Every frame written and read back, for outputs that are read more than once."""
-    return {table: stage(df, f"{name}-{table}") for table, df in frames.items()}
