@@ -35,7 +35,8 @@ def query(fn: Query) -> Query:
 
 @query
 def latest_amendment_ties(spark, folder):
-    return latest_amendment(Filings(spark, folder).table("lineitem"), "l_orderkey", "l_linenumber")
+    f = Filings(spark, folder)
+    return latest_amendment(f.table("lineitem"), "l_orderkey", "l_linenumber", spread=f.spread())
 
 
 @query
@@ -46,21 +47,26 @@ def latest_amendment_single(spark, folder):
 
 @query
 def latest_then_filter(spark, folder):
-    covers = Filings(spark, folder).covers.select("filing_id", "amend_id", "form_type", "filer_id", "lby_actvty")
-    return latest_amendment(covers, "filing_id", "amend_id", where=F.col("form_type") == "F615", rank_scope="filing")
+    f = Filings(spark, folder)
+    covers = f.covers.select("filing_id", "amend_id", "form_type", "filer_id", "lby_actvty")
+    wanted = F.col("form_type") == "F615"
+    return latest_amendment(covers, "filing_id", "amend_id", where=wanted, rank_scope="filing", spread=f.spread())
 
 
 @query
 def filter_then_latest(spark, folder):
-    covers = Filings(spark, folder).covers.select("filing_id", "amend_id", "form_type", "filer_id", "lby_actvty")
-    return latest_amendment(covers, "filing_id", "amend_id", where=F.col("form_type") == "F615", rank_scope="form")
+    f = Filings(spark, folder)
+    covers = f.covers.select("filing_id", "amend_id", "form_type", "filer_id", "lby_actvty")
+    wanted = F.col("form_type") == "F615"
+    return latest_amendment(covers, "filing_id", "amend_id", where=wanted, rank_scope="form", spread=f.spread())
 
 
 @query
 def latest_registration_per_session(spark, folder):
-    orders = Filings(spark, folder).table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    f = Filings(spark, folder)
+    orders = f.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     per_session = orders.withColumn("ls", session_year(F.col("o_orderdate")))
-    return latest_amendment(per_session, ["o_custkey", "ls"], "o_orderkey").select("o_custkey", "ls", "o_orderkey")
+    return latest_amendment(per_session, ["o_custkey", "ls"], "o_orderkey", spread=f.spread("orders")).select("o_custkey", "ls", "o_orderkey")
 
 
 # ---- text
@@ -164,12 +170,12 @@ def concat_nullable(spark, folder):
 
 @query
 def latest_ethics(spark, folder):
-    return registrations.latest_ethics(Filings(spark, folder).registrations)
+    return registrations.latest_ethics((f := Filings(spark, folder)).registrations, f.spread())
 
 
 @query
 def registration_employment(spark, folder):
-    rows = registrations.registration_rows(Filings(spark, folder).sources())
+    rows = registrations.registration_rows((f := Filings(spark, folder)).sources(), spread=f.spread())
     return rows.select(
         "lb_filer_id", "last", "first", "org_name", "ls", "ethics", "filing_id", "amend_id", "form_type", "org_filer_id",
         "type", "city", "state", "lby_actvty", F.col("start").alias("period_start"), F.col("end").alias("period_end"),
@@ -184,19 +190,19 @@ CONTRACT_COLUMNS = [
 
 @query
 def contracts_not_subcontracted(spark, folder):
-    rows = contracts.contract_rows(Filings(spark, folder).sources())
+    rows = contracts.contract_rows((f := Filings(spark, folder)).sources(), spread=f.spread())
     return rows.select(*CONTRACT_COLUMNS, "cli_city", "cli_st")
 
 
 @query
 def subcontracts(spark, folder):
-    rows = contracts.subcontract_rows(Filings(spark, folder).sources(), every_match=True)
+    rows = contracts.subcontract_rows((f := Filings(spark, folder)).sources(), f.spread(), every_match=True)
     return rows.select(*CONTRACT_COLUMNS, "subfirm_name", "subfirm_city", "subfirm_st")
 
 
 @query
 def individual_filings(spark, folder):
-    return individuals.individual_rows(Filings(spark, folder).sources())
+    return individuals.individual_rows((f := Filings(spark, folder)).sources(), spread=f.spread())
 
 
 # ---- entity resolution
@@ -206,7 +212,7 @@ def individual_filings(spark, folder):
 def prefix_match(spark, folder):
     """People whose middle name starts with the given one: tier one of the person cascade."""
     f = Filings(spark, folder)
-    return resolve.resolve_people(_person_probes(f), resolve.person_names(f.master_person)).filter(
+    return resolve.resolve_people(_person_probes(f), resolve.person_names(f.master_person), spread=f.spread("orders")).filter(
         "match_rule IN ('middle', 'ambiguous_middle')"
     ).select("o_orderkey", "match_rule", "master_pid")
 
@@ -227,7 +233,7 @@ def _person_probes(f: Filings) -> DataFrame:
 @query
 def person_cascade(spark, folder):
     f = Filings(spark, folder)
-    return resolve.resolve_people(_person_probes(f), resolve.person_names(f.master_person)).select(
+    return resolve.resolve_people(_person_probes(f), resolve.person_names(f.master_person), spread=f.spread("orders")).select(
         "o_orderkey", "first", "middle", "last", "master_pid", "match_rule", F.col("n_candidates").cast("bigint").alias("n_candidates")
     )
 
@@ -305,7 +311,8 @@ def _name_events(f: Filings) -> DataFrame:
 
 @query
 def within_run_identity(spark, folder):
-    merged = merge_identities(_name_events(Filings(spark, folder)), "filer_id", "first", "last", ["event_id"])
+    f = Filings(spark, folder)
+    merged = merge_identities(_name_events(f), "filer_id", "first", "last", ["event_id"], spread=f.spread("events"))
     return merged.select("event_id", "filer_id", "first", "last", "anchor_first", "anchor_last")
 
 
@@ -328,8 +335,9 @@ def fill_missing(spark, folder):
 
 @query
 def name_conflicts(spark, folder):
-    stored, incoming = _people_events(Filings(spark, folder))
-    return resolve.conflicts(stored, incoming, ["user_id"], ["first", "middle", "last"])
+    f = Filings(spark, folder)
+    stored, incoming = _people_events(f)
+    return resolve.conflicts(stored, incoming, ["user_id"], ["first", "middle", "last"], f.spread("events"))
 
 
 # ---- mart building
@@ -356,9 +364,10 @@ def _agreements(f: Filings) -> DataFrame:
 
 @query
 def insert_or_reject(spark, folder):
+    f = Filings(spark, folder)
     accepted, rejected = mart.insert_or_reject(
-        _agreements(Filings(spark, folder)), {"no effective date": F.col("effective_date").isNull()},
-        ["firm", "employer", "effective_date"], ["filing_no"],
+        _agreements(f), {"no effective date": F.col("effective_date").isNull()},
+        ["firm", "employer", "effective_date"], ["filing_no"], spread=f.spread(),
     )
     kept = accepted.withColumns({"reason": F.lit("accepted"), "copies": F.lit(1).cast("bigint")})
     return kept.unionByName(rejected)
@@ -549,7 +558,7 @@ PERSON_COLUMNS = ["person_filer", "p_first", "p_middle", "p_last", "p_suffix", "
 @query
 def employment_mart(spark, folder):
     """Permanent and direct employment as the registrations job loads them."""
-    out = registrations.run_registrations(Filings(spark, folder).sources())
+    out = registrations.run_registrations((f := Filings(spark, folder)).sources(), spread=f.spread())
     common = ["lobbyist_id", F.col("start").alias("period_start"), F.col("end").alias("period_end"), "legislative_session", "ethics_completion"]
     permanent = out["permanent_employment"].select(F.lit("firm").alias("kind"), F.col("lobbying_firm_id").alias("oid"), *common)
     direct = out["direct_employment"].select(F.lit("employer").alias("kind"), F.col("lobbyist_employer_id").alias("oid"), *common)
@@ -560,7 +569,7 @@ def employment_mart(spark, folder):
 @query
 def employed_lobbying_mart(spark, folder):
     """Activities linked to direct employment, from the registrations job."""
-    out = registrations.run_registrations(Filings(spark, folder).sources())
+    out = registrations.run_registrations((f := Filings(spark, folder)).sources(), spread=f.spread())
     employed = out["direct_employment"].select(F.col("_id").alias("employed_id"), "lobbyist_id", F.col("lobbyist_employer_id").alias("oid"), F.col("start").alias("period_start"))
     acts = out["activity"].select(F.col("_id").alias("activity_id"), "activity", "filing_id", "amendment_id")
     rows = out["employed_lobbying"].join(employed, "employed_id").join(acts, "activity_id")
@@ -571,13 +580,13 @@ def employed_lobbying_mart(spark, folder):
 @query
 def contract_mart(spark, folder):
     """Accepted contracts with their activity, and refused ones with the reason."""
-    out = contracts.run_contracts(Filings(spark, folder).sources())
+    out = contracts.run_contracts((f := Filings(spark, folder)).sources(), spread=f.spread())
     return _agreement_rows(out, "contract", "contracted_lobbying", "contract_id", ["lobbying_firm_id", "lobbyist_employer_id"])
 
 
 @query
 def subcontract_mart(spark, folder):
-    out = contracts.run_subcontracts(Filings(spark, folder).sources())
+    out = contracts.run_subcontracts((f := Filings(spark, folder)).sources(), spread=f.spread())
     return _agreement_rows(
         out, "subcontract", "subcontracted_lobbying", "subcontract_id",
         ["subcontracting_firm_id", "subcontracted_firm_id", "employer_id"],
@@ -600,7 +609,7 @@ def _agreement_rows(out, table, link, link_id, org_columns):
 
 @query
 def individual_mart(spark, folder):
-    out = individuals.run_individuals(Filings(spark, folder).sources())
+    out = individuals.run_individuals((f := Filings(spark, folder)).sources(), spread=f.spread())
     acts = out["activity"].withColumnRenamed("_id", "activity_id")
     rows = _with_org(out["individual_lobbying"].join(acts, "activity_id"), _orgs(out), "organization_id", "org")
     return rows.select("org", "filing_date", "legislative_session", "activity", "filing_id", "amendment_id")
@@ -609,7 +618,7 @@ def individual_mart(spark, folder):
 @query
 def candidate_mart(spark, folder):
     """Who runs for what, with the office and its district, as the candidates job loads them."""
-    out = candidates.run_candidates(Filings(spark, folder).sources())
+    out = candidates.run_candidates((f := Filings(spark, folder)).sources(), spread=f.spread("orders"))
     office = out["office"].join(out["district"].withColumnRenamed("_id", "district_id"), "district_id", "left").select(
         F.col("_id").alias("election_office_id"), "title", "agency", "jurisdiction", F.col("number").alias("district_number")
     )
@@ -622,14 +631,14 @@ def candidate_mart(spark, folder):
 
 @query
 def candidate_parties(spark, folder):
-    out = candidates.run_candidates(Filings(spark, folder).sources())
+    out = candidates.run_candidates((f := Filings(spark, folder)).sources(), spread=f.spread("orders"))
     return _with_person(out["candidate"], out, "person_id").select("person_filer", "p_first", "party")
 
 
 @query
 def candidate_offices(spark, folder):
     """Offices with the first district seen and how many districts were named for each."""
-    rows = candidates.intention_rows(Filings(spark, folder).intentions)
+    rows = candidates.intention_rows((f := Filings(spark, folder)).intentions, spread=f.spread("orders"))
     derived = offices.derive_offices(rows.drop("title"), ["filing_no", "amend_no"])
     office, district = derived["office"], derived["district"].withColumnRenamed("_id", "district_id")
     elections = derived["election"].groupBy(F.col("office_id").alias("_id")).agg(F.count(F.lit(1)).alias("n_elections"))
@@ -643,7 +652,7 @@ def candidate_offices(spark, folder):
 @query
 def committee_subtypes(spark, folder):
     """Committees with their statement and every subtype."""
-    out = committees.run_committees(Filings(spark, folder).sources())
+    out = committees.run_committees((f := Filings(spark, folder)).sources(), spread=f.spread())
     kinds = [out[t].select(F.lit(t).alias("subtype"), F.col("committee_id").alias("organization_id"))
              for t in ("general_committee", "independent_committee", "ballot_committee")]
     subtypes = kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
@@ -653,7 +662,7 @@ def committee_subtypes(spark, folder):
 
 @query
 def ballot_support(spark, folder):
-    out = committees.run_committees(Filings(spark, folder).sources())
+    out = committees.run_committees((f := Filings(spark, folder)).sources(), spread=f.spread())
     rows = out["ballot_support"].join(out["ballot"], ["ballot_number", "legislative_session"])
     return _with_org(rows, _orgs(out), "committee_id", "org").select(
         "org", "ballot_number", "legislative_session", "position", "name", "jurisdiction"
@@ -663,10 +672,11 @@ def ballot_support(spark, folder):
 @query
 def controlled_committees(spark, folder):
     """Committees and the candidate who controls each, after the candidates job has loaded people."""
-    sources = Filings(spark, folder).sources()
-    loaded = candidates.run_candidates(sources)
+    f = Filings(spark, folder)
+    sources = f.sources()
+    loaded = candidates.run_candidates(sources, spread=f.spread("orders"))
     mart_frames = {t: snapshots.stage(loaded[t], t) for t in ("person", "filer_id", "candidate")}
-    out = committees.run_committees(sources, mart_frames)
+    out = committees.run_committees(sources, mart_frames, f.spread())
     rows = _with_org(out["controlled_committee"], _orgs(out), "committee_id", "org")
     return _with_person(rows, mart_frames, "candidate_id").select("org", "person_filer", "p_first")
 

@@ -49,8 +49,11 @@ def parse_filing_date(c: Column) -> Column:
 
 
 def session_year(ts: Column) -> Column:
-    """First year of the two-year legislative session; sessions start in odd years."""
-    return F.year(ts) - F.when(F.year(ts) % 2 == 0, 1).otherwise(0)
+    """First year of the two-year legislative session; sessions start in odd years.
+
+    Clearing the last bit of year - 1 rounds down to a session; `ts` is evaluated only once.
+    """
+    return (F.year(ts) - 1).bitwiseAND(F.lit(-2)) + 1
 
 
 def amendment_no(c: Column) -> Column:

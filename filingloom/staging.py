@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingloom.functions.text import FILING_TIMESTAMP, session_year
+from filingloom.operators.skew import DEFAULT, Spread, within
 
 CORRUPT = "not a date"
+LARGE = ("lineitem", "orders", "events", "documents")
 
 
 def text(c: str | Column) -> Column:
@@ -47,7 +49,19 @@ class Filings:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A table, spread over all cores when it is read as fewer splits (a small single file)."""
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in LARGE or df.rdd.getNumPartitions() >= self.spark.sparkContext.defaultParallelism:
+            return df
+        return df.repartition(self.spark.sparkContext.defaultParallelism)
+
+    def spread(self, name: str = "lineitem") -> Spread | None:
+        """The skew settings, or None when this table is too small for any key to be hot.
+
+        Each view has at most one row per row of the table it is made from, so the table's count,
+        taken from its footers, bounds every group of the view.
+        """
+        return within(self.spark.read.parquet(f"{self.folder}/{name}.parquet"), DEFAULT)
 
     @cached_property
     def covers(self) -> DataFrame:
