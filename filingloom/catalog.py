@@ -190,13 +190,13 @@ CONTRACT_COLUMNS = [
 
 @query
 def contracts_not_subcontracted(spark, folder):
-    rows = contracts.contract_rows((f := Filings(spark, folder)).sources(), spread=f.spread())
+    rows = contracts.contract_rows((f := Filings(spark, folder)).sources(), f.spread(), copies=True)
     return rows.select(*CONTRACT_COLUMNS, "cli_city", "cli_st")
 
 
 @query
 def subcontracts(spark, folder):
-    rows = contracts.subcontract_rows((f := Filings(spark, folder)).sources(), f.spread(), every_match=True)
+    rows = contracts.subcontract_rows((f := Filings(spark, folder)).sources(), f.spread(), copies=True)
     return rows.select(*CONTRACT_COLUMNS, "subfirm_name", "subfirm_city", "subfirm_st")
 
 
@@ -503,7 +503,9 @@ def bill_coverage(spark, folder):
         text("p_partkey").alias("number"), F.lit(1997).alias("session_year"), F.lit("CA").alias("state"),
     )
     covers = f.covers.select("filing_id", session_year(parse_filing_ts(F.col("from_date"))).alias("ls"), "lby_actvty")
-    return bills.bill_coverage(bills.link_bills(bills.bill_mentions(covers, "lby_actvty", ["filing_id", "ls"]), known, "ls"))
+    return bills.bill_coverage(bills.link_bills(
+        bills.bill_mentions(covers, "lby_actvty", ["filing_id", "ls"]), known, "ls", spread=DEFAULT
+    ))
 
 
 LINE_CONTRACT = Table(

@@ -131,7 +131,9 @@ def route(df: DataFrame, rules: dict[str, Column], columns: list[str]) -> dict[s
 
 def link(facts: DataFrame, other: DataFrame, on: list[str], keys: list[str]) -> DataFrame:
     """Distinct pairs of ids that connect facts with the rows they belong to."""
-    return facts.join(other, on).select(*keys).distinct()
+    mine = facts.select(*dict.fromkeys([*on, *[k for k in keys if k in facts.columns]])).distinct()
+    theirs = other.select(*dict.fromkeys([*on, *[k for k in keys if k in other.columns]])).distinct()
+    return mine.join(theirs, on).select(*keys).distinct()
 
 
 def add_parties(filed: DataFrame, existing: DataFrame | None = None) -> DataFrame:

@@ -93,7 +93,8 @@ def resolve_orgs(
             .groupBy("filer_id")
             .agg(F.min("organization_id").alias("_filer_id"))
         )
-        looked = looked.join(known, ["filer_id"], "left")
+        # blank filer ids are one large group that matches nothing
+        looked = salted_join(looked, known, ["filer_id"], "left", hot_left=hot_keys(lead, ["filer_id"], spread))
     else:
         looked = looked.withColumn("_filer_id", F.lit(None).cast("bigint"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from filingloom.operators.identity import merge_identities
 from filingloom.operators.mart import first_wins, surrogate_key, without
 from filingloom.operators.resolve import ORG_KEY, conflicts, fill_missing, person_names, resolve_people
-from filingloom.operators.skew import DEFAULT, Spread
+from filingloom.operators.skew import DEFAULT, Spread, join_one
 from filingloom.sources.tables import conform
 
 Frames = dict[str, DataFrame]
@@ -58,7 +58,7 @@ def identify(
     if stored is None:
         return merged.withColumn("person_id", made)
     known = known.withColumnRenamed("first", "anchor_first")
-    joined = merged.join(known, ["person_filer", "anchor_first"], "left")
+    joined = join_one(merged, known, ["person_filer", "anchor_first"], "left", spread)
     return joined.withColumn("person_id", F.coalesce("_known", made)).select(*merged.columns, "person_id")
 
 

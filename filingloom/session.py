@@ -17,6 +17,10 @@ def local_session(cpus: int | str = 8, app: str = "filingloom", memory: str = "8
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # a job has more generated classes than the default cache holds; keep them across runs
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
+        # do not record a Python stack for every column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", memory)
     )
     if "spark.checkpoint.dir" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):

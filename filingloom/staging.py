@@ -15,7 +15,7 @@ from filingloom.functions.text import FILING_TIMESTAMP, session_year
 from filingloom.operators.skew import DEFAULT, Spread, within
 
 CORRUPT = "not a date"
-LARGE = ("lineitem", "orders", "events", "documents")
+LARGE = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id", "documents": "doc_id"}
 
 
 def text(c: str | Column) -> Column:
@@ -47,13 +47,19 @@ class Filings:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         """A table, spread over all cores when it is read as fewer splits (a small single file)."""
+        if name not in self._tables:
+            self._tables[name] = self._read(name)
+        return self._tables[name]
+
+    def _read(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         if name not in LARGE or df.rdd.getNumPartitions() >= self.spark.sparkContext.defaultParallelism:
             return df
-        return df.repartition(self.spark.sparkContext.defaultParallelism)
+        return df.repartition(self.spark.sparkContext.defaultParallelism, LARGE[name])
 
     def spread(self, name: str = "lineitem") -> Spread | None:
         """The skew settings, or None when this table is too small for any key to be hot.
