@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -23,8 +20,6 @@ def local_session(cpus: int | str = 8, app: str = "filingloom", memory: str = "8
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", memory)
     )
-    if "spark.checkpoint.dir" not in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
-        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="filingloom-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

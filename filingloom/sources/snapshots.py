@@ -9,16 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+# Folders made for local sessions that name none, by application.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared folder the session names in spark.checkpoint.dir; a local one only in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="filingloom-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="filingloom-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

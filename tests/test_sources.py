@@ -59,8 +59,28 @@ def test_json_side_files(spark, tmp_path):
 def test_staged_tables_go_to_the_folder_the_session_names(spark):
     staged = snapshots.stage(spark.range(3).toDF("id"), "three")
     assert staged.count() == 3
-    assert all(f.startswith("file:" + spark.conf.get("spark.checkpoint.dir")) or spark.conf.get("spark.checkpoint.dir") in f
-               for f in staged.inputFiles())
+    assert all(snapshots.work_dir(spark) in f for f in staged.inputFiles())
+
+
+def test_own_folder_only_where_none_is_named_and_only_locally():
+    class Context:
+        applicationId, master = "app-x", "local[2]"
+
+    class Session:
+        sparkContext, named = Context, None
+
+        @property
+        def conf(self):
+            return {"spark.checkpoint.dir": self.named} if self.named else {}
+
+    session = Session()
+    made = snapshots.work_dir(session)
+    assert made == snapshots.work_dir(session)
+    session.named = "hdfs://shared/folder/"
+    assert snapshots.work_dir(session) == "hdfs://shared/folder"
+    session.named, Context.master = None, "yarn"
+    with pytest.raises(ValueError):
+        snapshots.work_dir(session)
 
 
 def test_xref_round_trip(spark, tmp_path):
