@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from filingloom.operators.skew import DEFAULT, Spread, join_one
+from filingloom.operators.skew import DEFAULT, Spread, join_one, within
+from filingloom.sources.snapshots import stage
 
 
 def surrogate_key(*natural_key: Column, kind: str = "") -> Column:
@@ -59,16 +62,20 @@ def insert_or_reject(
     """Split rows into accepted ones and rejected ones with a reason.
 
     `rules` maps a reason to the condition under which a row is refused; the first that holds is
-    the reason. Of the rest the first row per key is accepted, and later ones are refused as
+    the reason, and a null in the key is "no key". Of the rest the first row per key is accepted, and later ones are refused as
     "duplicate" or, when the key is already loaded, as "exists". Identical rows are counted
-    before anything is shuffled by key; `copies` in the rejected frame is how many rows one
+    and written before anything is shuffled by key; `copies` in the rejected frame is how many rows one
     line stands for, so accepted rows + the sum of copies = input rows.
     """
     columns = df.columns
     reason = F.lit(None).cast("string")
-    for name, refused in reversed(list(rules.items())):
+    no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in key])
+    for name, refused in reversed([*rules.items(), ("no key", no_key)]):
         reason = F.when(F.coalesce(refused, F.lit(False)), F.lit(name)).otherwise(reason)
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies")).withColumn("reason", reason)
+    # both results, and the winners they are told by, come from it
+    counted = stage(counted, "counted-rows")
+    spread = within(counted, spread)
     if existing is not None:
         loaded = existing.select(*key).distinct().withColumn("_loaded", F.lit(True))
         counted = join_one(counted, loaded, key, "left", spread)

@@ -19,6 +19,7 @@ def test_first_wins(spark):
 AGREEMENTS = [
     (1, "a", date(2020, 1, 1), 1), (1, "a", date(2020, 1, 1), 2), (1, "a", date(2020, 1, 1), 2), (1, "a", None, 3),
     (2, "b", date(2020, 1, 1), 4), (2, "b", date(2020, 1, 1), 4), (9, "z", date(2020, 1, 1), 5), (None, "n", date(2020, 1, 1), 6),
+    (3, None, date(2020, 1, 1), 7),
 ]
 
 
@@ -30,6 +31,7 @@ def test_insert_or_reject(spark, spread):
     assert rows(accepted, "firm", "n") == [(1, 1), (2, 4)]
     assert rows(rejected, "firm", "n", "reason", "copies") == sorted([
         (1, 2, "duplicate", 2), (1, 3, "no start", 1), (2, 4, "duplicate", 1), (9, 5, "exists", 1), (None, 6, "no firm", 1),
+        (3, 7, "no key", 1),
     ], key=repr)
     assert accepted.count() + rejected.agg(F.sum("copies")).first()[0] == len(AGREEMENTS)
 
