@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from filingloom.functions import codes
 from filingloom.operators import bills, mart, offices, roles
-from filingloom.operators.skew import Spread
 
 
 def test_first_wins(spark):

@@ -1,6 +1,5 @@
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from filingloom.operators import resolve
 
