@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingloom.llm.common import Stage, documents
-from filingloom.llm.tokens import encoder
+from filingloom.llm.tokens import encoded
 
 _MEMBER = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("offset", pa.int64())])
 _BINS = "bin bigint, size bigint, members array<struct<doc_id:bigint,piece:int,start:bigint,length:bigint,ids_crc32:bigint,offset:bigint>>"
@@ -81,7 +81,6 @@ def pack_documents(docs: DataFrame, capacity: int = 4096, tokenizer: str = "word
     names = [f.name for f in _MEMBER]
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, kind)
         end = np.array([end_id], "<u4").tobytes()
         pieces: list[tuple] = []
         chunk = 0
@@ -92,15 +91,14 @@ def pack_documents(docs: DataFrame, capacity: int = 4096, tokenizer: str = "word
             members = pa.ListArray.from_arrays(pa.array(np.arange(len(pieces) + 1, dtype=np.int32)), flat)
             return _packed(np.array(columns[3], np.int64), members, capacity, _bin_base(1, chunk))
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                coded = enc.encode(text.as_py() or "") + end
-                for piece, at in enumerate(range(0, len(coded), 4 * capacity)):
-                    part = coded[at : at + 4 * capacity]
-                    pieces.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part), 0))
-                if len(pieces) >= max_items:
-                    yield packed()
-                    pieces, chunk = [], chunk + 1
+        for doc_id, coded in encoded(batches, tokenizer, kind):
+            coded += end
+            for piece, at in enumerate(range(0, len(coded), 4 * capacity)):
+                part = coded[at : at + 4 * capacity]
+                pieces.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part), 0))
+            if len(pieces) >= max_items:
+                yield packed()
+                pieces, chunk = [], chunk + 1
         if pieces:
             yield packed()
 

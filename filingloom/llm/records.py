@@ -19,9 +19,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingloom.llm.common import Stage, documents
+from filingloom.llm.common import Stage, documents, importable
 from filingloom.llm.crc32c import crc32c, masked
-from filingloom.llm.tokens import encoder
+from filingloom.llm.tokens import encoded, encoder
 from filingloom.sources.snapshots import new_path
 
 MANIFEST = "shard int, path string, index_path string, width int, n_docs bigint, n_tokens bigint, n_bytes bigint"
@@ -78,12 +78,12 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str = "byte_bpe_50k.j
     shards: number of ranges; by default the session's shuffle partitions, small ones merged by Spark.
     The folder is one that pyarrow's file systems can open on every executor. No rows: no files.
     """
+    importable(docs.sparkSession)
     ordered = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = (ordered.repartitionByRange(shards, "doc_id") if shards else ordered.repartitionByRange("doc_id")).sortWithinPartitions("doc_id", "text")
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, kind)
-        width = 2 if max(enc.tokenizer.get_vocab_size(), end_id + 1) <= 65536 else 4
+        width = 2 if max(encoder(tokenizer, kind).tokenizer.get_vocab_size(), end_id + 1) <= 65536 else 4
         end = struct.pack("<I", end_id)
         task = TaskContext.get()
         name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}"
@@ -107,18 +107,17 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str = "byte_bpe_50k.j
         ids: list[int | None] = []
         payloads: list[bytes] = []
         held = 0
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                coded = enc.encode(text.as_py() or "") + end
-                n_docs, n_tokens = n_docs + 1, n_tokens + len(coded) // 4
-                if width == 2:
-                    coded = np.frombuffer(coded, "<u4").astype("<u2").tobytes()
-                ids.append(doc_id)
-                payloads.append(coded)
-                held += len(coded)
-                if held >= _SLICE:
-                    total += flush(ids, payloads)
-                    ids, payloads, held = [], [], 0
+        for doc_id, coded in encoded(batches, tokenizer, kind):
+            coded += end
+            n_docs, n_tokens = n_docs + 1, n_tokens + len(coded) // 4
+            if width == 2:
+                coded = np.frombuffer(coded, "<u4").astype("<u2").tobytes()
+            ids.append(doc_id)
+            payloads.append(coded)
+            held += len(coded)
+            if held >= _SLICE:
+                total += flush(ids, payloads)
+                ids, payloads, held = [], [], 0
         if ids:
             total += flush(ids, payloads)
         for f in files:
@@ -136,6 +135,7 @@ def read_back(spark: SparkSession, manifest: DataFrame) -> DataFrame:
 
     The manifest has one row per file, so the running totals over it are kept by the driver.
     """
+    importable(spark)
     files, start = [], 0
     for m in sorted(manifest.collect(), key=lambda m: m.shard):
         files.append((m.shard, m.path, m.index_path, m.width, start))

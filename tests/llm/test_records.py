@@ -11,7 +11,14 @@ from filingloom.llm.common import Stage
 from filingloom.llm.crc32c import crc32c, masked
 from filingloom.llm.packing import best_fit, pack_documents
 from filingloom.llm.records import _unframe, frame, read_back, read_record, write_records
-from filingloom.llm.tokens import encoder
+from filingloom.llm.tokens import TextEncoder, encoder
+
+
+def encoder_path(name):
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 KINDS = [("byte_bpe_50k.json", "bytes"), ("word_bpe_49k.json", "words")]
 TRICKY = st.text(alphabet=st.sampled_from(list("aZé ñß\n\n\t\r  .,'s!0123中  \x1ćΣ<|>e")), max_size=60)
@@ -26,15 +33,27 @@ def test_parts_give_the_ids_of_the_whole_text(name, kind):
     @settings(max_examples=600, deadline=None)
     @given(TRICKY)
     def check(text):
-        assert np.frombuffer(encoder(name, kind).encode(text), "<u4").tolist() == whole(name, kind, text)
+        (ids,) = encoder(name, kind).encode_many([text])
+        assert np.frombuffer(ids, "<u4").tolist() == whole(name, kind, text)
 
     check()
 
 
 @pytest.mark.parametrize(("name", "kind"), KINDS)
 def test_ids_of_the_given_documents(spark, sf_dir, name, kind):
-    for row in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect():
-        assert np.frombuffer(encoder(name, kind).encode(row.text), "<u4").tolist() == whole(name, kind, row.text)
+    texts = [row.text for row in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    for text, ids in zip(texts, encoder(name, kind).encode_many(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole(name, kind, text)
+
+
+def test_words_are_forgotten_and_learned_again(monkeypatch):
+    monkeypatch.setattr("filingloom.llm.tokens.CACHE_WORDS", 3)
+    monkeypatch.setattr("filingloom.llm.tokens.CACHE_CHARS", 4)
+    for name, kind in KINDS:
+        enc = TextEncoder(encoder_path(name), kind)
+        for text in ["one two three four", "one, five\nsix seventy eight.", "one two", "three\nfour", "İstanbul ǅ ß one"] * 3:
+            (ids,) = enc.encode_many([text])
+            assert np.frombuffer(ids, "<u4").tolist() == whole(name, kind, text)
 
 
 def slow_crc32c(data):
