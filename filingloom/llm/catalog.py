@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from filingloom.llm.jaccard import op3_jaccard_join
+from filingloom.llm.language import op2_language_id
+from filingloom.llm.lines import OP8_SQL, op8_line_dedup
 from filingloom.llm.mixing import OP9_SQL, op9_mixing_sources
 from filingloom.llm.packing import op5_best_fit_packing
+from filingloom.llm.pitmanyor import op10_pitman_yor_score
+from filingloom.llm.privacy import op6_private_spans
 from filingloom.llm.records import op1_token_records
 from filingloom.llm.rules import OP7_SQL, op7_quality_rules
+from filingloom.llm.search import OP4_SQL, op4_exact_top_k
 
-QUERIES = {f.__name__: f for f in (op1_token_records, op5_best_fit_packing, op7_quality_rules, op9_mixing_sources)}
-SQL = {"op7_quality_rules": OP7_SQL, "op9_mixing_sources": OP9_SQL}
+QUERIES = {f.__name__: f for f in (op1_token_records, op2_language_id, op3_jaccard_join, op4_exact_top_k, op5_best_fit_packing, op6_private_spans, op7_quality_rules, op8_line_dedup, op9_mixing_sources, op10_pitman_yor_score)}
+SQL = {"op4_exact_top_k": OP4_SQL, "op7_quality_rules": OP7_SQL, "op8_line_dedup": OP8_SQL, "op9_mixing_sources": OP9_SQL}

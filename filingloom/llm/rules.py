@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filingloom.llm.common import documents, free_name
+from filingloom.llm.common import documents, free_name, importable
 
 _SYMBOLS = b"#*$%&|<>"
 _SPACES = b" \t\n\x0b\x0c\r"
@@ -107,6 +107,7 @@ def with_ledger(docs: DataFrame, text_col: str = "text", rules: dict[str, str] =
     A null text counts as empty, and an empty one has no words. Each row is measured for itself: ids may be null or
     repeat. All columns are kept; the two new ones get names that the frame does not have.
     """
+    importable(docs.sparkSession)
     measures, failures = free_name(docs, "measures"), free_name(docs, "failures")
     docs = docs.withColumn(measures, measured(F.col(text_col)))
     return docs.withColumn(failures, failure_bits(rules, f"`{measures}`")), measures, failures
