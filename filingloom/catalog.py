@@ -14,11 +14,10 @@ from filingloom.functions.text import (
 from filingloom.operators import bills, checks, mart, offices, resolve, roles
 from filingloom.operators.identity import merge_identities
 from filingloom.operators.latest import latest_amendment
-from filingloom.operators.skew import DEFAULT, within
 from filingloom.plans import candidates, committees, contracts, individuals, registrations
 from filingloom.sources import snapshots
 from filingloom.sources.tables import Table
-from filingloom.staging import CORRUPT, Filings, filing_text, text
+from filingloom.staging import CORRUPT, Filings, family_name, filing_text, text
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,7 +34,7 @@ def query(fn: Query) -> Query:
 @query
 def latest_amendment_ties(spark, folder):
     f = Filings(spark, folder)
-    return latest_amendment(f.table("lineitem"), "l_orderkey", "l_linenumber", spread=f.spread())
+    return latest_amendment(f.table("lineitem"), "l_orderkey", "l_linenumber")
 
 
 @query
@@ -49,7 +48,7 @@ def latest_then_filter(spark, folder):
     f = Filings(spark, folder)
     covers = f.covers.select("filing_id", "amend_id", "form_type", "filer_id", "lby_actvty")
     wanted = F.col("form_type") == "F615"
-    return latest_amendment(covers, "filing_id", "amend_id", where=wanted, rank_scope="filing", spread=f.spread())
+    return latest_amendment(covers, "filing_id", "amend_id", where=wanted, rank_scope="filing")
 
 
 @query
@@ -57,7 +56,7 @@ def filter_then_latest(spark, folder):
     f = Filings(spark, folder)
     covers = f.covers.select("filing_id", "amend_id", "form_type", "filer_id", "lby_actvty")
     wanted = F.col("form_type") == "F615"
-    return latest_amendment(covers, "filing_id", "amend_id", where=wanted, rank_scope="form", spread=f.spread())
+    return latest_amendment(covers, "filing_id", "amend_id", where=wanted, rank_scope="form")
 
 
 @query
@@ -65,7 +64,7 @@ def latest_registration_per_session(spark, folder):
     f = Filings(spark, folder)
     orders = f.table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     per_session = orders.withColumn("ls", session_year(F.col("o_orderdate")))
-    return latest_amendment(per_session, ["o_custkey", "ls"], "o_orderkey", spread=f.spread("orders")).select("o_custkey", "ls", "o_orderkey")
+    return latest_amendment(per_session, ["o_custkey", "ls"], "o_orderkey").select("o_custkey", "ls", "o_orderkey")
 
 
 # ---- text
@@ -169,12 +168,12 @@ def concat_nullable(spark, folder):
 
 @query
 def latest_ethics(spark, folder):
-    return registrations.latest_ethics((f := Filings(spark, folder)).registrations, f.spread())
+    return registrations.latest_ethics((f := Filings(spark, folder)).registrations)
 
 
 @query
 def registration_employment(spark, folder):
-    rows = registrations.registration_rows((f := Filings(spark, folder)).sources(), spread=f.spread())
+    rows, _ = registrations.registration_rows((f := Filings(spark, folder)).sources())
     return rows.select(
         "lb_filer_id", "last", "first", "org_name", "ls", "ethics", "filing_id", "amend_id", "form_type", "org_filer_id",
         "type", "city", "state", "lby_actvty", F.col("start").alias("period_start"), F.col("end").alias("period_end"),
@@ -189,19 +188,19 @@ CONTRACT_COLUMNS = [
 
 @query
 def contracts_not_subcontracted(spark, folder):
-    rows = contracts.contract_rows((f := Filings(spark, folder)).sources(), f.spread(), copies=True)
+    rows = contracts.contract_rows((f := Filings(spark, folder)).sources(), copies=True)
     return rows.select(*CONTRACT_COLUMNS, "cli_city", "cli_st")
 
 
 @query
 def subcontracts(spark, folder):
-    rows = contracts.subcontract_rows((f := Filings(spark, folder)).sources(), f.spread(), copies=True)
+    rows = contracts.subcontract_rows((f := Filings(spark, folder)).sources(), copies=True)
     return rows.select(*CONTRACT_COLUMNS, "subfirm_name", "subfirm_city", "subfirm_st")
 
 
 @query
 def individual_filings(spark, folder):
-    return individuals.individual_rows((f := Filings(spark, folder)).sources(), spread=f.spread())
+    return individuals.individual_rows((f := Filings(spark, folder)).sources())
 
 
 # ---- entity resolution
@@ -211,7 +210,7 @@ def individual_filings(spark, folder):
 def prefix_match(spark, folder):
     """People whose middle name starts with the given one: tier one of the person cascade."""
     f = Filings(spark, folder)
-    return resolve.resolve_people(_person_probes(f), resolve.person_names(f.master_person), spread=f.spread("orders")).filter(
+    return resolve.resolve_people(_person_probes(f), resolve.person_names(f.master_person)).filter(
         "match_rule IN ('middle', 'ambiguous_middle')"
     ).select("o_orderkey", "match_rule", "master_pid")
 
@@ -225,14 +224,30 @@ def _person_probes(f: Filings) -> DataFrame:
         F.when(key % 31 == 0, F.lit("NOBODY")).otherwise(F.col("c_mktsegment")).alias("first"),
         F.when(key % 6 == 0, F.lit("Q.")).when(key % 6 == 1, F.lit("MA")).when(key % 6 == 2, F.lit("ZED"))
         .when(key % 6 == 3, F.lit(".")).alias("middle"),
-        F.substring("c_name", -3, 3).alias("last"),
+        family_name().alias("last"),
     )
 
 
+@query
+def registration_rejects(spark, folder):
+    """Covers that the registrations can't use, with the reason."""
+    return registrations.run_registrations(Filings(spark, folder).sources())["rejected"].filter("reason <> 'no name'")
+
+
+@query
+def contract_rejects(spark, folder):
+    return contracts.unfit_covers(Filings(spark, folder).covers)
+
+
+@query
+def committee_rejects(spark, folder):
+    return committees.run_committees(Filings(spark, folder).sources())["rejected_covers"]
+
+
 @query
 def person_cascade(spark, folder):
     f = Filings(spark, folder)
-    return resolve.resolve_people(_person_probes(f), resolve.person_names(f.master_person), spread=f.spread("orders")).select(
+    return resolve.resolve_people(_person_probes(f), resolve.person_names(f.master_person)).select(
         "o_orderkey", "first", "middle", "last", "master_pid", "match_rule", F.col("n_candidates").cast("bigint").alias("n_candidates")
     )
 
@@ -245,7 +260,7 @@ def _org_probe_rows(f: Filings) -> DataFrame:
     rows = li.join(p, li.l_partkey == p.p_partkey).join(s, li.l_suppkey == s.s_suppkey)
     kind = F.col("l_orderkey") % 5
     return rows.select(
-        F.when(kind == 0, F.concat(F.lit(" "), "s_name")).when(kind == 3, F.concat(F.lit("Unheard of "), text(F.col("l_partkey") % 50)))
+        F.when(kind == 0, F.concat(F.lit(" "), "s_name")).when(kind == 3, F.concat(F.lit("Unheard of "), text("l_partkey")))
         .when(kind == 4, F.when(F.col("l_partkey") % 2 == 0, "x").otherwise("None ")).otherwise(F.col("p_name")).alias("org_name"),
         F.when(F.col("l_partkey") % 4 != 0, text("l_suppkey")).alias("filer_id"),
         F.when(F.col("l_orderkey") % 2 == 0, "FRM").otherwise("LEM").alias("type"),
@@ -271,7 +286,7 @@ ORG_ORDER = ["filing_no", "amend_no"]
 def org_cascade(spark, folder):
     f = Filings(spark, folder)
     probes = snapshots.stage(resolve.org_probes(_org_probe_rows(f), ORG_ORDER), "org-probes")
-    resolved, new_orgs = resolve.resolve_orgs(probes, f.master_org, ORG_ORDER, spread=within(probes, DEFAULT))
+    resolved, new_orgs = resolve.resolve_orgs(probes, f.master_org, ORG_ORDER)
     return _org_label(resolved, new_orgs).select(
         "org_name", "filer_id", "type", "org", "match_rule", F.col("n_candidates").cast("bigint").alias("n_candidates")
     )
@@ -285,7 +300,7 @@ def org_by_filer_first(spark, folder):
         (F.col("s_suppkey") + 5_000_000).alias("organization_id"), text("s_suppkey").alias("filer_id")
     )
     probes = snapshots.stage(resolve.org_probes(_org_probe_rows(f), ORG_ORDER), "filer-probes")
-    resolved, new_orgs = resolve.resolve_orgs(probes, f.master_org, ORG_ORDER, bridge=bridge, by_filer=True, spread=within(probes, DEFAULT))
+    resolved, new_orgs = resolve.resolve_orgs(probes, f.master_org, ORG_ORDER, bridge=bridge, by_filer=True)
     return _org_label(resolved, new_orgs).select("org_name", "filer_id", "type", "org", "match_rule")
 
 
@@ -293,7 +308,7 @@ def org_by_filer_first(spark, folder):
 def unmatched_report(spark, folder):
     f = Filings(spark, folder)
     probes = snapshots.stage(resolve.org_probes(_org_probe_rows(f), ORG_ORDER), "report-probes")
-    return resolve.match_summary(resolve.resolve_orgs(probes, f.master_org, ORG_ORDER, spread=within(probes, DEFAULT))[0])
+    return resolve.match_summary(resolve.resolve_orgs(probes, f.master_org, ORG_ORDER)[0])
 
 
 def _name_events(f: Filings) -> DataFrame:
@@ -311,7 +326,7 @@ def _name_events(f: Filings) -> DataFrame:
 @query
 def within_run_identity(spark, folder):
     f = Filings(spark, folder)
-    merged = merge_identities(_name_events(f), "filer_id", "first", "last", ["event_id"], spread=f.spread("events"))
+    merged = merge_identities(_name_events(f), "filer_id", "first", "last", ["event_id"])
     return merged.select("event_id", "filer_id", "first", "last", "anchor_first", "anchor_last")
 
 
@@ -336,7 +351,7 @@ def fill_missing(spark, folder):
 def name_conflicts(spark, folder):
     f = Filings(spark, folder)
     stored, incoming = _people_events(f)
-    return resolve.conflicts(stored, incoming, ["user_id"], ["first", "middle", "last"], f.spread("events"))
+    return resolve.conflicts(stored, incoming, ["user_id"], ["first", "middle", "last"])
 
 
 # ---- mart building
@@ -366,7 +381,7 @@ def insert_or_reject(spark, folder):
     f = Filings(spark, folder)
     accepted, rejected = mart.insert_or_reject(
         _agreements(f), {"no effective date": F.col("effective_date").isNull()},
-        ["firm", "employer", "effective_date"], ["filing_no"], spread=f.spread(),
+        ["firm", "employer", "effective_date"], ["filing_no"],
     )
     kept = accepted.withColumns({"reason": F.lit("accepted"), "copies": F.lit(1).cast("bigint")})
     return kept.unionByName(rejected)
@@ -430,11 +445,11 @@ def role_unpivot_resolve(spark, folder):
     }, ["l_orderkey", "l_linenumber"])
     order = ["l_orderkey", "l_linenumber"]
     probes = snapshots.stage(resolve.org_probes(named, order), "role-probes")
-    resolved = snapshots.stage(resolve.resolve_orgs(probes, f.master_org, order, spread=within(probes, DEFAULT))[0], "role-resolved")
+    resolved = snapshots.stage(resolve.resolve_orgs(probes, f.master_org, order)[0], "role-resolved")
     known = resolved.withColumn("organization_id", F.when(F.col("organization_id") >= 0, F.col("organization_id")))
     both = roles.attach_roles(rows, known, {
         "firm_id": ("FRM", F.col("firm"), F.col("firm_filer")), "employer_id": ("LEM", F.col("employer"), None),
-    }, within(rows, DEFAULT))
+    })
     return both.select("l_orderkey", "l_linenumber", "firm", "employer", "firm_id", "employer_id")
 
 
@@ -503,7 +518,7 @@ def bill_coverage(spark, folder):
     )
     covers = f.covers.select("filing_id", session_year(parse_filing_ts(F.col("from_date"))).alias("ls"), "lby_actvty")
     return bills.bill_coverage(bills.link_bills(
-        bills.bill_mentions(covers, "lby_actvty", ["filing_id", "ls"]), known, "ls", spread=DEFAULT
+        bills.bill_mentions(covers, "lby_actvty", ["filing_id", "ls"]), known, "ls"
     ))
 
 
@@ -559,7 +574,7 @@ PERSON_COLUMNS = ["person_filer", "p_first", "p_middle", "p_last", "p_suffix", "
 @query
 def employment_mart(spark, folder):
     """Permanent and direct employment as the registrations job loads them."""
-    out = registrations.run_registrations((f := Filings(spark, folder)).sources(), spread=f.spread())
+    out = registrations.run_registrations((f := Filings(spark, folder)).sources())
     common = ["lobbyist_id", F.col("start").alias("period_start"), F.col("end").alias("period_end"), "legislative_session", "ethics_completion"]
     permanent = out["permanent_employment"].select(F.lit("firm").alias("kind"), F.col("lobbying_firm_id").alias("oid"), *common)
     direct = out["direct_employment"].select(F.lit("employer").alias("kind"), F.col("lobbyist_employer_id").alias("oid"), *common)
@@ -570,7 +585,7 @@ def employment_mart(spark, folder):
 @query
 def employed_lobbying_mart(spark, folder):
     """Activities linked to direct employment, from the registrations job."""
-    out = registrations.run_registrations((f := Filings(spark, folder)).sources(), spread=f.spread())
+    out = registrations.run_registrations((f := Filings(spark, folder)).sources())
     employed = out["direct_employment"].select(F.col("_id").alias("employed_id"), "lobbyist_id", F.col("lobbyist_employer_id").alias("oid"), F.col("start").alias("period_start"))
     acts = out["activity"].select(F.col("_id").alias("activity_id"), "activity", "filing_id", "amendment_id")
     rows = out["employed_lobbying"].join(employed, "employed_id").join(acts, "activity_id")
@@ -581,13 +596,13 @@ def employed_lobbying_mart(spark, folder):
 @query
 def contract_mart(spark, folder):
     """Accepted contracts with their activity, and refused ones with the reason."""
-    out = contracts.run_contracts((f := Filings(spark, folder)).sources(), spread=f.spread())
+    out = contracts.run_contracts((f := Filings(spark, folder)).sources())
     return _agreement_rows(out, "contract", "contracted_lobbying", "contract_id", ["lobbying_firm_id", "lobbyist_employer_id"])
 
 
 @query
 def subcontract_mart(spark, folder):
-    out = contracts.run_subcontracts((f := Filings(spark, folder)).sources(), spread=f.spread())
+    out = contracts.run_subcontracts((f := Filings(spark, folder)).sources())
     return _agreement_rows(
         out, "subcontract", "subcontracted_lobbying", "subcontract_id",
         ["subcontracting_firm_id", "subcontracted_firm_id", "employer_id"],
@@ -610,7 +625,7 @@ def _agreement_rows(out, table, link, link_id, org_columns):
 
 @query
 def individual_mart(spark, folder):
-    out = individuals.run_individuals((f := Filings(spark, folder)).sources(), spread=f.spread())
+    out = individuals.run_individuals((f := Filings(spark, folder)).sources())
     acts = out["activity"].withColumnRenamed("_id", "activity_id")
     rows = _with_org(out["individual_lobbying"].join(acts, "activity_id"), _orgs(out), "organization_id", "org")
     return rows.select("org", "filing_date", "legislative_session", "activity", "filing_id", "amendment_id")
@@ -619,7 +634,7 @@ def individual_mart(spark, folder):
 @query
 def candidate_mart(spark, folder):
     """Who runs for what, with the office and its district, as the candidates job loads them."""
-    out = candidates.run_candidates((f := Filings(spark, folder)).sources(), spread=f.spread("orders"))
+    out = candidates.run_candidates((f := Filings(spark, folder)).sources())
     office = out["office"].join(out["district"].withColumnRenamed("_id", "district_id"), "district_id", "left").select(
         F.col("_id").alias("election_office_id"), "title", "agency", "jurisdiction", F.col("number").alias("district_number")
     )
@@ -632,14 +647,14 @@ def candidate_mart(spark, folder):
 
 @query
 def candidate_parties(spark, folder):
-    out = candidates.run_candidates((f := Filings(spark, folder)).sources(), spread=f.spread("orders"))
+    out = candidates.run_candidates((f := Filings(spark, folder)).sources())
     return _with_person(out["candidate"], out, "person_id").select("person_filer", "p_first", "party")
 
 
 @query
 def candidate_offices(spark, folder):
     """Offices with the first district seen and how many districts were named for each."""
-    rows = candidates.intention_rows((f := Filings(spark, folder)).intentions, spread=f.spread("orders"))
+    rows = candidates.intention_rows((f := Filings(spark, folder)).intentions)
     derived = offices.derive_offices(rows.drop("title"), ["filing_no", "amend_no"])
     office, district = derived["office"], derived["district"].withColumnRenamed("_id", "district_id")
     elections = derived["election"].groupBy(F.col("office_id").alias("_id")).agg(F.count(F.lit(1)).alias("n_elections"))
@@ -653,7 +668,7 @@ def candidate_offices(spark, folder):
 @query
 def committee_subtypes(spark, folder):
     """Committees with their statement and every subtype."""
-    out = committees.run_committees((f := Filings(spark, folder)).sources(), spread=f.spread())
+    out = committees.run_committees((f := Filings(spark, folder)).sources())
     kinds = [out[t].select(F.lit(t).alias("subtype"), F.col("committee_id").alias("organization_id"))
              for t in ("general_committee", "independent_committee", "ballot_committee")]
     subtypes = kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
@@ -663,7 +678,7 @@ def committee_subtypes(spark, folder):
 
 @query
 def ballot_support(spark, folder):
-    out = committees.run_committees((f := Filings(spark, folder)).sources(), spread=f.spread())
+    out = committees.run_committees((f := Filings(spark, folder)).sources())
     rows = out["ballot_support"].join(out["ballot"], ["ballot_number", "legislative_session"])
     return _with_org(rows, _orgs(out), "committee_id", "org").select(
         "org", "ballot_number", "legislative_session", "position", "name", "jurisdiction"
@@ -675,9 +690,9 @@ def controlled_committees(spark, folder):
     """Committees and the candidate who controls each, after the candidates job has loaded people."""
     f = Filings(spark, folder)
     sources = f.sources()
-    loaded = candidates.run_candidates(sources, spread=f.spread("orders"))
+    loaded = candidates.run_candidates(sources)
     mart_frames = {t: snapshots.stage(loaded[t], t) for t in ("person", "filer_id", "candidate")}
-    out = committees.run_committees(sources, mart_frames, f.spread())
+    out = committees.run_committees(sources, mart_frames)
     rows = _with_org(out["controlled_committee"], _orgs(out), "committee_id", "org")
     return _with_person(rows, mart_frames, "candidate_id").select("org", "person_filer", "p_first")
 
@@ -687,12 +702,12 @@ def org_xref_rerun(spark, folder):
     """The reference table after a rerun that reads the first run's snapshot; the rerun adds nothing."""
     f = Filings(spark, folder)
     probes = snapshots.stage(resolve.org_probes(_org_probe_rows(f), ORG_ORDER), "xref-probes")
-    resolved, new_orgs = resolve.resolve_orgs(probes, f.master_org, ORG_ORDER, spread=within(probes, DEFAULT))
+    resolved, new_orgs = resolve.resolve_orgs(probes, f.master_org, ORG_ORDER)
     key = ["org_name", "filer_id", "type"]
     path = snapshots.new_path(spark, "org-xref")
     snapshots.write_snapshot(resolved.select(*key, "organization_id"), path)
     xref = snapshots.read_xref(spark, path)
-    again, made_again = resolve.resolve_orgs(probes, f.master_org, ORG_ORDER, xref=xref, spread=within(probes, DEFAULT))
+    again, made_again = resolve.resolve_orgs(probes, f.master_org, ORG_ORDER, xref=xref)
     added = mart.without(again.select(*key, "organization_id"), xref, [*key, "organization_id"])
     merged = snapshots.merge_snapshot(xref, added.unionByName(made_again.select(
         F.col("name").alias("org_name"), F.lit("").alias("filer_id"), F.lit("again").alias("type"), "organization_id"

@@ -11,10 +11,6 @@ WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 FILING_TIMESTAMP = "M/d/yyyy h:mm:ss a"
 SUFFIX_TOKENS = ("JR.", "SR.")
 
-# "everything but the last token" and "the last token" of a name
-_LEADING_TOKENS = r"^(.*\S)\s+\S+$"
-_TRAILING_TOKEN = r"^.*\S\s+(\S+)$"
-
 
 def strip(c: Column) -> Column:
     """Remove whitespace of any kind from both ends (`trim` alone removes spaces only)."""
@@ -91,12 +87,19 @@ def concat_names(*cols: Column) -> Column:
     return F.concat(*cols)
 
 
-def _leading(c: Column) -> Column:
-    return F.regexp_extract(c, _LEADING_TOKENS, 1)
+def _tokens(c: Column) -> Column:
+    return F.split(c, r"\s+")
 
 
 def _trailing(c: Column) -> Column:
-    return F.regexp_extract(c, _TRAILING_TOKEN, 1)
+    """The last token of a stripped name, empty for a single one."""
+    return F.when(F.size(_tokens(c)) > 1, F.element_at(_tokens(c), -1)).otherwise("")
+
+
+def _leading(c: Column) -> Column:
+    """What stands before the last token of a stripped name, empty for a single one."""
+    before = F.substring(c, F.lit(1), F.length(c) - F.length(_trailing(c)))
+    return F.when(F.size(_tokens(c)) > 1, strip(before)).otherwise("")
 
 
 def split_name(

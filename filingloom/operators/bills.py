@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filingloom.functions.text import strip
-from filingloom.operators.skew import DEFAULT, Spread, join_one
 
 
 def bill_mentions(activity: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
@@ -26,7 +25,7 @@ def bill_mentions(activity: DataFrame, text_col: str, keep: list[str]) -> DataFr
 
 
 def link_bills(
-    mentions: DataFrame, bills: DataFrame, session_col: str, state: str = "CA", spread: Spread | None = DEFAULT
+    mentions: DataFrame, bills: DataFrame, session_col: str, state: str = "CA"
 ) -> DataFrame:
     """Mentions with the bill id of that type, number and session, null where there is none or not just one."""
     known = (
@@ -34,7 +33,7 @@ def link_bills(
         .groupBy(F.col("type").alias("bill_type"), "number", F.col("session_year").alias(session_col))
         .agg(F.min("bid").alias("_lo"), F.max("bid").alias("_hi"))
     )
-    joined = join_one(mentions, known, ["bill_type", "number", session_col], "left", spread)
+    joined = mentions.join(known, ["bill_type", "number", session_col], "left")
     return joined.withColumn("bid", F.when(F.col("_lo") == F.col("_hi"), F.col("_lo"))).drop("_lo", "_hi")
 
 

@@ -2,32 +2,27 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from filingloom.functions.text import amendment_no
-from filingloom.operators.skew import DEFAULT, Spread, hot_keys, mark
 
 
 def _order_column(df: DataFrame, order: str) -> Column:
     return amendment_no(F.col(order)) if dict(df.dtypes)[order] == "string" else F.col(order)
 
 
-def _all_ties(df: DataFrame, key: list[str], spread: Spread | None) -> DataFrame:
-    """Every row whose `_order` is the highest of its key (rank 1).
+def _all_ties(df: DataFrame, key: list[str]) -> DataFrame:
+    """Every row whose `_order` is the highest of its key: the maximum per key, joined back.
 
-    The tied rows of one key may be any share of the table, so a window alone could put them all
-    in one task. Hot keys are compared map-side with their maximum; the rest use the window, whose
-    rank filter also drops rows before the shuffle.
+    The maximum is partly computed before its shuffle, and the join can split a filing with many tied rows.
     """
-    window = Window.partitionBy(*key).orderBy(F.col("_order").desc_nulls_last())
-    hot = hot_keys(df, key, spread, F.max("_order").alias("_top"))
-    others = df if hot is None else mark(df, hot, key, "left_anti")
-    ranked = others.withColumn("_rank", F.rank().over(window)).filter("_rank = 1").drop("_rank")
-    if hot is None:
-        return ranked
-    return ranked.unionByName(mark(df, hot, key, "left_semi", F.col("_order").eqNullSafe(F.col("_top"))))
+    top = df.groupBy(*[F.col(k).alias(f"_top_{k}") for k in key]).agg(F.max("_order").alias("_top"))
+    same = [F.col(k).eqNullSafe(F.col(f"_top_{k}")) for k in key]
+    return df.join(top, reduce(lambda a, b: a & b, [*same, F.col("_order").eqNullSafe(F.col("_top"))]), "left_semi")
 
 
 def latest_amendment(
@@ -38,7 +33,6 @@ def latest_amendment(
     tie_break: list[str] | None = None,
     where: Column | None = None,
     rank_scope: str = "form",
-    spread: Spread | None = DEFAULT,
 ) -> DataFrame:
     """Rows of the latest amendment per key; text amendment numbers are ordered as numbers.
 
@@ -54,7 +48,7 @@ def latest_amendment(
     source = df.filter(where) if where is not None and rank_scope == "form" else df
     source = source.withColumn("_order", _order_column(df, order))
     if ties == "keep":
-        latest = _all_ties(source, keys, spread)
+        latest = _all_ties(source, keys)
     elif ties == "single":
         rest = list(dict.fromkeys([*(tie_break or []), *columns]))
         window = Window.partitionBy(*keys).orderBy(F.col("_order").desc_nulls_last(), *rest)

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from filingloom.operators.skew import DEFAULT, Spread, join_one, within
 from filingloom.sources.snapshots import stage
 
 
@@ -57,7 +56,6 @@ def insert_or_reject(
     key: list[str],
     order: list[str],
     existing: DataFrame | None = None,
-    spread: Spread | None = DEFAULT,
 ) -> tuple[DataFrame, DataFrame]:
     """Split rows into accepted ones and rejected ones with a reason.
 
@@ -75,21 +73,16 @@ def insert_or_reject(
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("copies")).withColumn("reason", reason)
     # both results, and the winners they are told by, come from it
     counted = stage(counted, "counted-rows")
-    spread = within(counted, spread)
     if existing is not None:
         loaded = existing.select(*key).distinct().withColumn("_loaded", F.lit(True))
-        counted = join_one(counted, loaded, key, "left", spread)
+        counted = counted.join(loaded, key, "left")
         counted = counted.withColumn(
             "reason", F.coalesce("reason", F.when(F.col("_loaded"), F.lit("exists")))
         ).drop("_loaded")
     rest = list(dict.fromkeys([*order, *columns]))
     position = F.struct(*[F.struct(F.col(c).isNotNull(), F.col(c)) for c in rest])
-    winners = (
-        counted.filter("reason IS NULL").groupBy(*key).agg(F.min(position).alias("_winner"))
-    )
-    ranked = join_one(counted, winners, key, "left", spread).withColumn(
-        "_wins", F.col("reason").isNull() & position.eqNullSafe(F.col("_winner"))
-    )
+    winners = counted.filter("reason IS NULL").groupBy(*key).agg(F.min(position).alias("_winner"))
+    ranked = counted.join(winners, key, "left").withColumn("_wins", F.col("reason").isNull() & position.eqNullSafe(F.col("_winner")))
     accepted = ranked.filter("_wins").select(*columns)
     rejected = (
         ranked.withColumn("copies", F.col("copies") - F.col("_wins").cast("int"))

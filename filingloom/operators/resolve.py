@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from filingloom.functions.text import blank_to_null, middle_initial, name_key
 from filingloom.operators.mart import first_wins, surrogate_key
-from filingloom.operators.skew import DEFAULT, Spread, hot_keys, salted_join
+from filingloom.sources.snapshots import stage
 
 # Names that stand for "no name given". They say nothing about identity, so such
 # an organisation is told apart by its filer id.
@@ -47,7 +47,6 @@ def resolve_orgs(
     by_filer: bool = False,
     placeholders: tuple[str, ...] = PLACEHOLDER_NAMES,
     min_name_length: int = MIN_NAME_LENGTH,
-    spread: Spread | None = DEFAULT,
 ) -> tuple[DataFrame, DataFrame]:
     """Resolve organisations by a cascade; returns (resolved, new_orgs).
 
@@ -73,11 +72,10 @@ def resolve_orgs(
         lead = first_wins(lead.filter("filer_id <> ''"), ["filer_id"], order).unionByName(
             lead.filter("filer_id = ''")
         )
-    hot = hot_keys(lead, ["org_name"], spread)
     # "in the same city or state" as two equi lookups: a name's probes never meet all its organisations
-    looked = salted_join(lead, by_name, ["org_name"], "left", hot_left=hot)
-    looked = salted_join(looked, by_city, ["org_name", "city"], "left", hot_left=hot, hot_on=["org_name"])
-    looked = salted_join(looked, by_state, ["org_name", "state"], "left", hot_left=hot, hot_on=["org_name"])
+    looked = lead.join(by_name, "org_name", "left")
+    looked = looked.join(by_city, ["org_name", "city"], "left")
+    looked = looked.join(by_state, ["org_name", "state"], "left")
     if xref is not None:
         cached = (
             xref.withColumn("filer_id", F.coalesce("filer_id", F.lit("")))
@@ -93,8 +91,9 @@ def resolve_orgs(
             .groupBy("filer_id")
             .agg(F.min("organization_id").alias("_filer_id"))
         )
-        # blank filer ids are one large group that matches nothing
-        looked = salted_join(looked, known, ["filer_id"], "left", hot_left=hot_keys(lead, ["filer_id"], spread))
+        # blank filer ids match nothing and need not meet in one task
+        blank = looked.filter("filer_id = ''").withColumn("_filer_id", F.lit(None).cast("bigint"))
+        looked = looked.filter("filer_id <> ''").join(known, "filer_id", "left").unionByName(blank)
     else:
         looked = looked.withColumn("_filer_id", F.lit(None).cast("bigint"))
 
@@ -132,6 +131,7 @@ def resolve_orgs(
         "match_rule",
         "n_candidates",
     )
+    decided = stage(decided, "decided-orgs")  # both results come from it
     new_orgs = first_wins(
         decided.filter(F.col("match_rule").isin("placeholder", "new", "new_ambiguous")).select(
             "organization_id", F.col("org_name").alias("name"), "city", "state", *order
@@ -143,16 +143,13 @@ def resolve_orgs(
     if not by_filer:
         return decided.select(*ORG_KEY, *outcome), new_orgs
     of_filer = decided.filter("filer_id <> ''").select("filer_id", *outcome)
-    hot_filers = hot_keys(probes, ["filer_id"], spread)
-    named = salted_join(
-        probes.filter("filer_id <> ''").select(*ORG_KEY), of_filer, ["filer_id"], "inner", hot_left=hot_filers
-    )
+    named = probes.filter("filer_id <> ''").select(*ORG_KEY).join(of_filer, "filer_id")
     unnamed = decided.filter("filer_id = ''").select(*ORG_KEY, *outcome)
     return named.select(*ORG_KEY, *outcome).unionByName(unnamed), new_orgs
 
 
 def resolve_people(
-    probes: DataFrame, master: DataFrame, preferred_source: str = PREFERRED_SOURCE, spread: Spread | None = DEFAULT
+    probes: DataFrame, master: DataFrame, preferred_source: str = PREFERRED_SOURCE
 ) -> DataFrame:
     """Add master_pid, match_rule and n_candidates to probes that have first, middle and last.
 
@@ -192,11 +189,7 @@ def resolve_people(
     )
     initial = middle_initial(F.col("middle"))
     asked = probes.withColumn("_given", initial.isNotNull()).withColumn("_prefix", F.coalesce(initial, F.lit("")))
-    hot = hot_keys(asked, ["first", "last"], spread)
-    looked = salted_join(
-        asked, by_prefix, ["first", "last", "_given", "_prefix"], "left", hot_left=hot, hot_on=["first", "last"]
-    )
-    looked = salted_join(looked, by_name, ["first", "last"], "left", hot_left=hot)
+    looked = asked.join(by_prefix, ["first", "last", "_given", "_prefix"], "left").join(by_name, ["first", "last"], "left")
     n = F.coalesce("_n", F.lit(0))
     rule = (
         F.when(F.col("_m_lo") == F.col("_m_hi"), "middle")
@@ -237,11 +230,11 @@ def fill_missing(stored: DataFrame, incoming: DataFrame, key: list[str], cols: l
 
 
 def conflicts(
-    stored: DataFrame, incoming: DataFrame, key: list[str], cols: list[str], spread: Spread | None = DEFAULT
+    stored: DataFrame, incoming: DataFrame, key: list[str], cols: list[str]
 ) -> DataFrame:
     """Incoming values that differ from the stored ones: key, field, stored, incoming."""
     seen = incoming.select(*key, *[F.col(c).alias(f"_in_{c}") for c in cols]).distinct()
-    both = salted_join(seen, stored.select(*key, *cols), key, "inner", hot_left=hot_keys(incoming, key, spread))
+    both = seen.join(stored.select(*key, *cols), key)
     fields = F.array(
         *[
             F.struct(

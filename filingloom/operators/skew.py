@@ -1,137 +1,24 @@
-"""Joins that stay spread out when one key holds a large share of the rows.
+"""A many-to-many join that stays spread out when one key holds a large share of the rows.
 
-Groups are counted by a partial aggregate (one row per key and map task before the shuffle), so
-finding hot keys is one narrow pass. If there are none, joins are left to Spark as they are. Rows
-of hot keys are joined map-side where the other side has one row per key, and salted where it may
-have many.
+Lookups with one row per key are plain joins: their lookup side is aggregated, and adaptive execution splits a
+hot key of the other side. Where both sides may have many rows of a key, the rows are dealt to salts, always and
+in the same way, so the plan does not depend on the size of the input.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-@dataclass(frozen=True)
-class Spread:
-    """When a key counts as hot, and how far its rows are spread.
-
-    `max_keys` bounds what is ever collected and broadcast. A key outside that list stays in the
-    ordinary shuffle, with the same result; it holds less than 1/max_keys of the rows.
-    """
-
-    hot_rows: int = 1_000_000
-    rows_per_salt: int = 1_000_000
-    max_keys: int = 20_000
-
-
-DEFAULT = Spread()
-
-
-def within(df: DataFrame, spread: Spread | None) -> Spread | None:
-    """`spread`, or None when the whole frame has too few rows for any key to be hot.
-
-    For a table just written the count comes from the file footers. Frames made from its rows
-    one by one are covered by the same answer.
-    """
-    return spread if spread is not None and df.count() >= spread.hot_rows else None
-
-
-def hot_keys(df: DataFrame, keys: list[str], spread: Spread | None = DEFAULT, *facts: Column) -> DataFrame | None:
-    """The keys with at least `hot_rows` rows, their salts and `facts`; None when there are none.
-
-    Runs one aggregation. At most `max_keys` rows reach the driver, to be broadcast from there.
-    """
-    if spread is None:
-        return None
-    counted = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"), *facts)
-        .filter(F.col("_rows") >= spread.hot_rows)
-        .orderBy(F.col("_rows").desc())
-        .limit(spread.max_keys)
-        .withColumn("_salts", F.ceil(F.col("_rows") / spread.rows_per_salt).cast("int"))
-        .drop("_rows")
-    )
-    found = counted.collect()
-    return df.sparkSession.createDataFrame(found, counted.schema) if found else None
-
-
-def mark(df: DataFrame, hot: DataFrame, keys: list[str], how: str, *extra: Column) -> DataFrame:
-    """Map-side null-safe join to a frame of hot keys; its key columns come out as `_hot_<key>`.
-
-    `hot` must come from `hot_keys`, which limits it to `Spread.max_keys` rows.
-    """
-    renamed = hot.withColumnsRenamed({k: f"_hot_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-    return df.join(F.broadcast(renamed), reduce(lambda a, b: a & b, [*same, *extra]), how)
-
-
-def _with_salts(df: DataFrame, hot: DataFrame | None, keys: list[str], name: str) -> DataFrame:
-    if hot is None:
-        return df.withColumn(name, F.lit(1))
-    found = mark(df, hot.select(*keys, F.col("_salts").alias("_found")), keys, "left")
-    return found.withColumn(name, F.coalesce("_found", F.lit(1))).select(*df.columns, name)
-
-
-def _one_side(
-    df: DataFrame, hot_on: list[str], hot_left: DataFrame | None, hot_right: DataFrame | None,
-    left: bool, seed: Column | None,
-) -> DataFrame:
-    own, other = (("_sl", "_nl"), ("_sr", "_nr")) if left else (("_sr", "_nr"), ("_sl", "_nl"))
-    # The slot must not change when a lost task runs again, so it is never random: either a row
-    # number taken at a file scan decides, or the content of the row.
-    value = seed if seed is not None else F.xxhash64(*[F.col(c) for c in df.columns])
-    both = _with_salts(_with_salts(df, hot_left, hot_on, "_nl"), hot_right, hot_on, "_nr")
-    repeats = (hot_right if left else hot_left) is not None
-    return both.withColumn(own[0], F.pmod(value, F.col(own[1])).cast("int")).withColumn(
-        other[0], F.explode(F.sequence(F.lit(0), F.col(other[1]) - 1)) if repeats else F.lit(0)
-    ).select(*df.columns, "_sl", "_sr")
-
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    hot_left: DataFrame | None = None,
-    hot_right: DataFrame | None = None,
-    hot_on: list[str] | None = None,
-    seed: Column | None = None,
-) -> DataFrame:
-    """Equi join in which rows of hot keys are spread over a grid of salts.
-
-    Rows of a key hot on the left are split over salts and the right rows of that key repeated
-    for each of them; `hot_right` does the same the other way round (inner joins only, because
-    it repeats left rows). Keys that are not hot have one salt and are not repeated. `hot_on`
-    names the part of the key the hot frames are keyed by, the whole key by default.
-    """
-    if hot_left is None and hot_right is None:
-        return left.join(right, on, how)
-    if hot_right is not None and how != "inner":
-        raise ValueError("only inner joins may repeat left rows")
-    keys = hot_on or on
-    a = _one_side(left, keys, hot_left, hot_right, True, seed)
-    b = _one_side(right, keys, hot_left, hot_right, False, None)
-    return a.join(b, [*on, "_sl", "_sr"], how).drop("_sl", "_sr")
+SALTS = 8
 
 
-def join_one(
-    rows: DataFrame, lookup: DataFrame, on: list[str], how: str = "left", spread: Spread | None = DEFAULT
-) -> DataFrame:
-    """Join rows to a lookup with one row per key.
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], salts: int = SALTS) -> DataFrame:
+    """Inner equi join in which a key's left rows are spread over `salts` tasks, and its right rows repeated for each.
 
-    Rows of hot keys meet their few lookup rows map-side and are never shuffled; all other rows
-    take the ordinary join. Null keys match nothing, and a large share of them is kept apart too.
+    The smaller side belongs on the right. A row's salt follows from its content, never from a random number or its place,
+    so a lost task can run again. Null keys match nothing.
     """
-    hot = hot_keys(rows, on, spread)
-    if hot is None:
-        return rows.join(lookup, on, how)
-    hot = hot.select(*on)
-    hot_lookup = F.broadcast(mark(lookup, hot, on, "left_semi"))  # one row per hot key
-    hot_rows = mark(rows, hot, on, "left_semi").join(hot_lookup, on, how)
-    other_rows = mark(rows, hot, on, "left_anti").join(lookup, on, how)
-    return other_rows.unionByName(hot_rows)
+    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int"))
+    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(repeated, [*on, "_salt"]).drop("_salt")

@@ -24,8 +24,8 @@ def latest(source: str, where: str = "true", by: str = "filing_id", columns: str
         FROM {source} WHERE {where}) WHERE rk = 1"""
 
 
-def values(table: str) -> str:
-    rows = ", ".join("('{}', '{}')".format(c, label.replace("'", "''")) for c, label in codes.labels(table).items())
+def values(table: dict[str, str]) -> str:
+    rows = ", ".join("('{}', '{}')".format(c, label.replace("'", "''")) for c, label in table.items())
     return f"(VALUES {rows}) AS t(code, label)"
 
 
@@ -89,13 +89,14 @@ def tokens(c: str) -> str:
     return f"regexp_split_to_array({c}, '\\s+')"
 
 
-def head(c: str) -> str:
-    """All but the last token, '' for a single one."""
-    return f"regexp_extract({c}, '^(.*\\S)\\s+(\\S+)$', 1)"
+def tail(c: str) -> str:
+    """The last token, '' for a single one."""
+    return f"(CASE WHEN len({tokens(c)}) > 1 THEN {tokens(c)}[-1] ELSE '' END)"
 
 
-def tail(c: str) -> str:
-    return f"regexp_extract({c}, '^(.*\\S)\\s+(\\S+)$', 2)"
+def head(c: str) -> str:
+    """What stands before the last token, '' for a single one."""
+    return f"(CASE WHEN len({tokens(c)}) > 1 THEN {strip(f'left({c}, length({c}) - length({tokens(c)}[-1]))')} ELSE '' END)"
 
 
 def cleaned_names(source: str, first: str, middle: str, last: str, suffix: str, keep: str) -> str:
@@ -143,46 +144,55 @@ ETHICS = f"""ethics AS (SELECT filer_id, ls_beg_yr::INT AS ls, max({parsed("comp
 
 SQL["latest_ethics"] = with_views("registrations").rstrip() + f", {ETHICS} SELECT * FROM ethics"
 
-REGISTRATION_ROWS = f"""ranked AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY filing_id ORDER BY amend_id::BIGINT DESC)
-        AS rk FROM covers) WHERE rk = 1),
-lb AS (SELECT DISTINCT filer_id AS lb_filer_id, filer_naml AS last, filer_namf AS first, {key("firm_name")} AS org_name,
-    {parsed("from_date")}::DATE AS period_start, {session(parsed("from_date"))}::INT AS ls
-    FROM ranked WHERE form_type = 'F615' AND entity_cd = 'LBY'),
-org AS (SELECT filing_id, amend_id, form_type, filer_id AS org_filer_id, entity_cd AS type, {key("filer_naml")} AS org_name,
-    firm_city AS city, firm_st AS state, lby_actvty, {parsed("from_date")}::DATE AS period_start,
-    {parsed("thru_date")}::DATE AS period_end
-    FROM ranked WHERE (form_type = 'F625' AND entity_cd = 'FRM') OR (form_type = 'F635' AND entity_cd IN ('LEM', 'LCO'))),
+def newest(source: str, where: str = "true") -> str:
+    """Rows whose amendment is the highest of their filing among the rows that count."""
+    return f"""SELECT s.* FROM {source} s SEMI JOIN (SELECT filing_id, max(amend_id::BIGINT) AS top FROM {source} WHERE {where}
+        GROUP BY filing_id) m ON s.filing_id = m.filing_id AND s.amend_id::BIGINT = m.top WHERE {where}"""
+
+
+# What organisations report is gathered per name and period, and each lobbyist's statement then looks its organisation up.
+REGISTRATION_ROWS = f"""current_covers AS ({newest("covers")}),
 {ETHICS},
-reg AS (SELECT lb.lb_filer_id, lb.last, lb.first, lb.org_name, lb.ls, e.ethics, org.* EXCLUDE (org_name, period_start),
-    lb.period_start
-    FROM lb JOIN org ON lb.org_name = org.org_name AND lb.period_start = org.period_start
-    LEFT JOIN ethics e ON lb.lb_filer_id = e.filer_id AND lb.ls = e.ls WHERE lb.org_name <> '')"""
+reported AS (SELECT {key("filer_naml")} AS org_name, {parsed("from_date")}::DATE AS period_start,
+        list(struct_pack(filing_id := filing_id, amend_id := amend_id, form_type := form_type, org_filer_id := filer_id,
+            type := entity_cd, city := firm_city, state := firm_st, lby_actvty := lby_actvty,
+            period_end := {parsed("thru_date")}::DATE)) AS reports
+    FROM current_covers WHERE form_type IN ('F625', 'F635') AND entity_cd IN ('FRM', 'LEM', 'LCO') GROUP BY ALL),
+stated AS (SELECT DISTINCT filer_id AS lb_filer_id, filer_naml AS last, filer_namf AS first, {key("firm_name")} AS org_name,
+        {parsed("from_date")}::DATE AS period_start, {session(parsed("from_date"))}::INT AS ls
+    FROM current_covers WHERE form_type = 'F615' AND entity_cd = 'LBY'),
+reg AS (SELECT lb_filer_id, last, first, org_name, ls, ethics, r.*, period_start
+    FROM (SELECT stated.*, (SELECT max(e.ethics) FROM ethics e WHERE e.filer_id = lb_filer_id AND e.ls = stated.ls) AS ethics,
+            unnest(reports) AS r FROM stated JOIN reported USING (org_name, period_start) WHERE org_name <> ''))"""
 
 SQL["registration_employment"] = with_views("covers", "registrations").rstrip() + f", {REGISTRATION_ROWS} SELECT * FROM reg"
 
+# Clients are gathered per firm, session and name from the firm's newest registration; a payment finds its cover's firm and
+# session by the filing, and then the clients.
 ENGAGEMENTS = f"""firm AS (SELECT filing_id AS act_filing_id, amend_id AS act_amend_id, filer_id AS firm_filer_id,
-    {key("filer_naml")} AS firm_name, firm_city, firm_st, {parsed("from_date")}::DATE AS filing_start,
-    {session(parsed("from_date"))}::INT AS ls FROM ({latest("covers", "form_type = 'F625' AND entity_cd = 'FRM'")})),
-firm_reg AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY firm_name, ls ORDER BY reg_filing_id::BIGINT DESC) AS occurrence
-    FROM (SELECT filing_id AS reg_filing_id, amend_id AS reg_amend_id, {key("filer_naml")} AS firm_name, ls_beg_yr::INT AS ls
-        FROM ({latest("registrations", "form_type = 'F601' AND entity_cd = 'FRM'")}))) WHERE occurrence = 1),
-paid AS (SELECT filing_id AS act_filing_id, {key("emplr_naml")} AS emplr_name, lby_actvty FROM ({latest("payments")})),
-client AS (SELECT filing_id AS reg_filing_id, {key("cli_naml")} AS emplr_name, cli_city, cli_st, eff_date, con_period
-    FROM ({latest("employers")})),
-sub AS (SELECT filing_id AS act_filing_id, {key("firm_name")} AS subfirm_name, firm_city AS subfirm_city,
-    firm_st AS subfirm_st, {key("subj_naml")} AS emplr_name FROM ({latest("subcontract_lines")})),
-engaged AS (SELECT f.*, fr.reg_filing_id, fr.reg_amend_id, e.emplr_name, e.cli_city, e.cli_st, e.eff_date, e.con_period,
-    p.lby_actvty
-    FROM client e JOIN firm_reg fr ON e.reg_filing_id = fr.reg_filing_id
-    JOIN firm f ON f.firm_name = fr.firm_name AND f.ls = fr.ls
-    JOIN paid p ON e.emplr_name = p.emplr_name AND p.act_filing_id = f.act_filing_id
-    WHERE f.firm_name <> '' AND e.emplr_name <> '')"""
+        {key("filer_naml")} AS firm_name, firm_city, firm_st, {parsed("from_date")}::DATE AS filing_start,
+        {session(parsed("from_date"))}::INT AS ls FROM ({newest("covers", "form_type = 'F625' AND entity_cd = 'FRM'")})),
+enrolled AS (SELECT {key("filer_naml")} AS firm_name, ls_beg_yr::INT AS ls, filing_id, amend_id
+    FROM ({newest("registrations", "form_type = 'F601' AND entity_cd = 'FRM'")})),
+clients AS (SELECT n.firm_name, n.ls, {key("c.cli_naml")} AS emplr_name,
+        list(struct_pack(reg_filing_id := n.filing_id, reg_amend_id := n.amend_id, cli_city := cli_city, cli_st := cli_st,
+            eff_date := eff_date, con_period := con_period)) AS kept
+    FROM enrolled n, ({newest("employers")}) c
+    WHERE n.filing_id = c.filing_id AND n.filing_id::BIGINT = (SELECT max(o.filing_id::BIGINT) FROM enrolled o
+        WHERE o.firm_name = n.firm_name AND o.ls = n.ls) AND {key("c.cli_naml")} <> ''
+    GROUP BY ALL),
+paying AS (SELECT filing_id AS act_filing_id, {key("emplr_naml")} AS emplr_name, lby_actvty FROM ({newest("payments")})),
+passed AS (SELECT filing_id AS act_filing_id, {key("subj_naml")} AS emplr_name, {key("firm_name")} AS subfirm_name,
+        firm_city AS subfirm_city, firm_st AS subfirm_st FROM ({newest("subcontract_lines")})),
+engaged AS (SELECT * EXCLUDE (k), k.* FROM (SELECT act_filing_id, act_amend_id, firm_filer_id, firm_name, firm_city, firm_st,
+        filing_start, ls, emplr_name, lby_actvty, unnest(kept) AS k
+    FROM paying JOIN firm USING (act_filing_id) JOIN clients USING (firm_name, ls, emplr_name) WHERE firm_name <> ''))"""
 ENGAGEMENT_VIEWS = ("covers", "registrations", "payments", "employers", "subcontract_lines")
-CONTRACTS = """cont AS (SELECT en.* FROM engaged en WHERE NOT EXISTS (SELECT 1 FROM sub
-    WHERE sub.act_filing_id = en.act_filing_id AND sub.emplr_name = en.emplr_name))"""
-SUBCONTRACTS = """subcont AS (SELECT en.*, sub.subfirm_name, sub.subfirm_city, sub.subfirm_st
-    FROM engaged en JOIN sub ON sub.act_filing_id = en.act_filing_id AND sub.emplr_name = en.emplr_name
-    JOIN firm sf ON sf.firm_name = sub.subfirm_name AND sf.filing_start = en.filing_start)"""
+CONTRACTS = """cont AS (SELECT * FROM engaged WHERE (act_filing_id, emplr_name) NOT IN (SELECT (act_filing_id, emplr_name) FROM passed
+    WHERE act_filing_id IS NOT NULL AND emplr_name IS NOT NULL))"""
+SUBCONTRACTS = """partners AS (SELECT firm_name AS subfirm_name, filing_start, count(*) AS n FROM firm GROUP BY ALL),
+subcont AS (SELECT * EXCLUDE (n, times) FROM (SELECT *, unnest(range(n)) AS times
+    FROM engaged JOIN passed USING (act_filing_id, emplr_name) JOIN partners USING (subfirm_name, filing_start)))"""
 
 SQL["contracts_not_subcontracted"] = with_views(*ENGAGEMENT_VIEWS).rstrip() + f", {ENGAGEMENTS}, {CONTRACTS} SELECT * FROM cont"
 SQL["subcontracts"] = (
@@ -200,7 +210,7 @@ SQL["individual_filings"] = with_views("covers").rstrip() + f", {INDIVIDUALS} SE
 
 PERSON_PROBES = """probe AS (SELECT o_orderkey, CASE WHEN o_orderkey % 31 = 0 THEN 'NOBODY' ELSE c_mktsegment END AS first,
     CASE o_orderkey % 6 WHEN 0 THEN 'Q.' WHEN 1 THEN 'MA' WHEN 2 THEN 'ZED' WHEN 3 THEN '.' END AS middle,
-    right(c_name, 3) AS last FROM orders JOIN customer ON o_custkey = c_custkey)"""
+    'FAM' || (c_custkey // 4) AS last FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
 
 def person_tiers(source: str, row_id: str) -> str:
@@ -233,7 +243,7 @@ SQL["prefix_match"] = (
 )
 
 ORG_ROWS = f"""org_rows AS (SELECT {key('''CASE l_orderkey % 5 WHEN 0 THEN ' ' || s_name
-        WHEN 3 THEN 'Unheard of ' || (l_partkey % 50) WHEN 4 THEN CASE WHEN l_partkey % 2 = 0 THEN 'x' ELSE 'None ' END
+        WHEN 3 THEN 'Unheard of ' || l_partkey WHEN 4 THEN CASE WHEN l_partkey % 2 = 0 THEN 'x' ELSE 'None ' END
         ELSE p_name END''')} AS org_name,
     CASE WHEN l_partkey % 4 <> 0 THEN l_suppkey::VARCHAR ELSE '' END AS filer_id,
     CASE WHEN l_orderkey % 2 = 0 THEN 'FRM' ELSE 'LEM' END AS type,
@@ -250,12 +260,12 @@ def org_probe(rows: str, order: str) -> str:
 
 def org_found(probe: str, order: str, filer: str = "NULL") -> str:
     """CTEs `org_rule` and `org_found`: the cascade by brute force over all organisations of a name."""
-    return f"""org_counts AS (SELECT org_name, filer_id, type, city, state, {order}, {filer} AS known_filer,
-        (SELECT count(DISTINCT oid) FROM master_org m WHERE m.name = p.org_name) AS n,
-        (SELECT min(oid) FROM master_org m WHERE m.name = p.org_name) AS one,
-        (SELECT count(DISTINCT oid) FROM master_org m WHERE m.name = p.org_name AND (m.city = p.city OR m.state = p.state)) AS n_place,
-        (SELECT min(oid) FROM master_org m WHERE m.name = p.org_name AND (m.city = p.city OR m.state = p.state)) AS one_place
-        FROM {probe} p),
+    return f"""named_orgs AS (SELECT name, count(DISTINCT oid) AS n, min(oid) AS one, list(struct_pack(oid := oid, city := city,
+            state := state)) AS places FROM master_org GROUP BY name),
+    org_places AS (SELECT p.org_name, p.filer_id, p.type, p.city, p.state, {order}, {filer} AS known_filer, coalesce(n, 0) AS n, one,
+        list_distinct([x.oid for x in places if x.city = p.city or x.state = p.state]) AS near
+        FROM {probe} p LEFT JOIN named_orgs ON name = org_name),
+    org_counts AS (SELECT *, coalesce(len(near), 0) AS n_place, list_min(near) AS one_place FROM org_places),
     org_rule AS (SELECT *, CASE WHEN known_filer IS NOT NULL THEN 'filer'
         WHEN length(org_name) < 2 OR org_name IN ('X', 'XX', 'XXX', 'NONE', 'N/A', 'NA', 'UNKNOWN', 'TBD', '.', '-') THEN 'placeholder'
         WHEN n = 1 THEN 'name' WHEN n > 1 AND n_place = 1 THEN 'name_place' WHEN n > 1 THEN 'new_ambiguous' ELSE 'new' END
@@ -291,7 +301,8 @@ def org_by_filer(rows: str, order: str, known: str) -> str:
         FROM org_probe) WHERE lead = 1),
     {org_found('lead_probe', order, known)},
     org_of_filer AS (SELECT p.org_name, p.filer_id, p.type, f.org, f.match_rule FROM org_probe p JOIN org_found f
-        ON p.filer_id = f.filer_id AND (p.filer_id <> '' OR (p.org_name = f.org_name AND p.type = f.type)))"""
+        ON p.filer_id = f.filer_id WHERE p.filer_id <> ''
+    UNION ALL SELECT org_name, filer_id, type, org, match_rule FROM org_found WHERE filer_id = '')"""
 
 
 SQL["org_by_filer_first"] = (
@@ -394,7 +405,7 @@ SELECT DISTINCT o_custkey AS person_id, o_orderpriority AS party, parties FROM o
 WHERE o_orderpriority <> '1-URGENT'"""
 
 
-def label(table: str, code: str, text: str = "NULL") -> str:
+def label(table: dict[str, str], code: str, text: str = "NULL") -> str:
     return f"coalesce(nullif({text}, ''), (SELECT label FROM {values(table)} WHERE code = {code}), 'N/A')"
 
 
@@ -469,7 +480,7 @@ REGISTRATION_MART = (
     + f""", {REG_FACTS}, {people_sql("facts", REG_ORDER)},
     {org_probe("facts", ORG_ORDER)}, {org_found("org_probe", ORG_ORDER)},
     employed AS (SELECT w.*, o.org FROM walked w JOIN org_found o ON w.org_name = o.org_name AND w.filer_id = o.filer_id
-        AND w.type = o.type)"""
+        AND w.type = o.type WHERE (w.form_type = 'F625') = (w.type = 'FRM'))"""
 )
 SQL["employment_mart"] = REGISTRATION_MART + """
 SELECT CASE form_type WHEN 'F625' THEN 'firm' ELSE 'employer' END AS kind, org, e.person_filer, p_first, p_middle, p_last, p_suffix,
@@ -565,6 +576,16 @@ CANDIDATES = (
     with_views("intentions", "master_person").replace("WITH ", "WITH RECURSIVE ", 1).rstrip()
     + f", {INTENTION_FACTS}, {OFFICES}, {people_sql('facts', REG_ORDER)}"
 )
+SQL["registration_rejects"] = with_views("covers").rstrip() + f""", current_covers AS ({newest("covers")})
+SELECT filing_id, amend_id, form_type, filer_id, 'bad period' AS reason FROM current_covers
+WHERE {parsed("from_date")} IS NULL AND ((form_type = 'F615' AND entity_cd = 'LBY')
+    OR (form_type IN ('F625', 'F635') AND entity_cd IN ('FRM', 'LEM', 'LCO')))"""
+SQL["contract_rejects"] = with_views("covers").rstrip() + f"""
+SELECT DISTINCT filing_id AS act_filing_id, amend_id AS act_amend_id, filer_id AS firm_filer_id, 'bad period' AS reason
+FROM ({newest("covers", "form_type = 'F625' AND entity_cd = 'FRM'")}) WHERE {parsed("from_date")} IS NULL"""
+SQL["committee_rejects"] = with_views("campaign_covers").rstrip() + f"""
+SELECT DISTINCT filer_id, 'bad period' AS reason FROM campaign_covers WHERE {parsed("from_date")} IS NULL"""
+
 SQL["candidate_mart"] = CANDIDATES + """
 SELECT w.person_filer, p_first, p_middle, p_last, p_suffix, p_master, w.title, w.agency, w.jurisdiction, o.district_number,
     election_type, election_year, filing_no AS filing_501, amend_no AS amendment_501
@@ -588,7 +609,7 @@ COMMITTEE_FACTS = f"""statement AS (SELECT {strip("filer_id")} AS filer_id, {str
         entity_cd, filer_naml, city, st, cmtte_type, control_yn, bal_num, bal_name, bal_juris NULLS FIRST, sup_opp_cd) AS rn
         FROM statements WHERE form_type = 'F410') WHERE rn = 1),
     facts AS (SELECT * FROM statement WHERE filer_id IN (SELECT filer_id FROM campaign_covers)),
-    session_of AS (SELECT DISTINCT filer_id, {session(parsed("from_date"))}::INT AS ls FROM campaign_covers),
+    session_of AS (SELECT * FROM (SELECT DISTINCT filer_id, {session(parsed("from_date"))}::INT AS ls FROM campaign_covers) WHERE ls IS NOT NULL),
     {org_by_filer("facts", ORG_ORDER, "NULL::BIGINT")},
     filed AS (SELECT f.*, o.org FROM facts f JOIN org_of_filer o ON f.org_name = o.org_name AND f.filer_id = o.filer_id AND f.type = o.type)"""
 COMMITTEES = with_views("statements", "campaign_covers", "master_org").rstrip() + f", {COMMITTEE_FACTS}"

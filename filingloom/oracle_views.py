@@ -26,19 +26,19 @@ VIEWS = {
     "covers": f"""
     SELECT l_orderkey::VARCHAR AS filing_id, l_linenumber::VARCHAR AS amend_id, form_type,
         CASE WHEN form_type = 'F615' THEN 'L' || o_custkey ELSE l_suppkey::VARCHAR END AS filer_id,
-        CASE form_type WHEN 'F615' THEN 'LBY' WHEN 'F625' THEN 'FRM'
-            WHEN 'F635' THEN CASE WHEN l_suppkey % 2 = 0 THEN 'LEM' ELSE 'LCO' END
+        CASE form_type WHEN 'F615' THEN 'LBY' WHEN 'F625' THEN CASE WHEN l_partkey % 19 = 0 THEN 'LEM' ELSE 'FRM' END
+            WHEN 'F635' THEN CASE WHEN l_partkey % 19 = 0 THEN 'FRM' WHEN l_suppkey % 2 = 0 THEN 'LEM' ELSE 'LCO' END
             ELSE CASE l_suppkey % 3 WHEN 0 THEN 'FRM' WHEN 1 THEN 'LEM' ELSE 'LCO' END END AS entity_cd,
         CASE WHEN form_type <> 'F615' THEN ' ' || s_name
-            WHEN l_linenumber % 5 = 0 THEN c_mktsegment || ' ' || right(c_name, 3)
-            WHEN l_linenumber % 7 = 0 THEN c_mktsegment ELSE right(c_name, 3) END AS filer_naml,
+            WHEN l_linenumber % 5 = 0 THEN c_mktsegment || ' ' || ('FAM' || (c_custkey // 4))
+            WHEN l_linenumber % 7 = 0 THEN c_mktsegment ELSE ('FAM' || (c_custkey // 4)) END AS filer_naml,
         CASE WHEN form_type <> 'F615' THEN CASE WHEN l_suppkey % 9 <> 0 THEN 'The ' END
             WHEN l_linenumber % 5 = 0 THEN ''
-            WHEN l_linenumber % 7 = 0 THEN right(c_name, 3)
+            WHEN l_linenumber % 7 = 0 THEN ('FAM' || (c_custkey // 4))
             WHEN l_linenumber % 2 = 0 THEN c_mktsegment || ' Q.' ELSE c_mktsegment END AS filer_namf,
         ' ' || s_name AS firm_name, {SUPPLIER_CITY} AS firm_city, 'R' || (s_nationkey % 5) AS firm_st,
         'AB ' || l_partkey || ', ' || l_quantity::INT || ';SB ' || l_suppkey || ';NONE' AS lby_actvty,
-        strftime(date_trunc('month', o_orderdate), {TS}) AS from_date,
+        CASE WHEN l_partkey % 23 = 0 THEN 'not a date' ELSE strftime(date_trunc('month', o_orderdate), {TS}) END AS from_date,
         strftime(last_day(o_orderdate)::TIMESTAMP, {TS}) AS thru_date
     FROM (SELECT *, CASE WHEN l_returnflag = 'A' THEN 'F615' WHEN l_returnflag = 'N' THEN 'F625'
             WHEN l_linestatus = 'F' THEN 'F635' ELSE 'F645' END AS form_type FROM lineitem)
@@ -71,8 +71,8 @@ VIEWS = {
     SELECT (o_orderkey // 3)::VARCHAR AS filing_id, (o_orderkey % 3 * 4 + 1)::VARCHAR AS amend_id,
         'C' || o_custkey AS filer_id, CASE WHEN o_orderstatus = 'P' THEN 'F502' ELSE 'F501' END AS form_type,
         (o_custkey // 15)::VARCHAR AS committee_id,
-        CASE o_orderkey % 4 WHEN 0 THEN right(c_name, 3) || ' JR.' WHEN 2 THEN c_mktsegment || ' ' || right(c_name, 3)
-            ELSE right(c_name, 3) END AS cand_naml,
+        CASE o_orderkey % 4 WHEN 0 THEN ('FAM' || (c_custkey // 4)) || ' JR.' WHEN 2 THEN c_mktsegment || ' ' || ('FAM' || (c_custkey // 4))
+            ELSE ('FAM' || (c_custkey // 4)) END AS cand_naml,
         CASE WHEN o_orderkey % 4 = 2 THEN '' WHEN o_orderkey % 4 = 1 AND o_custkey % 3 = 0 THEN c_mktsegment || ' Q.'
             ELSE c_mktsegment END AS cand_namf,
         CASE WHEN o_orderkey % 5 = 0 THEN 'M' ELSE '' END AS can_namm,
@@ -101,7 +101,7 @@ VIEWS = {
         CASE l_linenumber % 3 WHEN 0 THEN 'S' WHEN 1 THEN 's' ELSE 'O' END AS sup_opp_cd
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""",
     "campaign_covers": f"""
-    SELECT l_suppkey::VARCHAR AS filer_id, strftime(o_orderdate, {TS}) AS from_date
+    SELECT l_suppkey::VARCHAR AS filer_id, CASE WHEN l_orderkey % 23 = 0 THEN 'not a date' ELSE strftime(o_orderdate, {TS}) END AS from_date
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "master_org": """
     SELECT s_suppkey AS oid, upper(s_name) AS name, 'NATION_' || s_nationkey AS city, 'R' || (s_nationkey % 5) AS state
@@ -111,7 +111,7 @@ VIEWS = {
     "master_person": """
     SELECT c_custkey AS pid, upper(c_mktsegment) AS first,
         CASE c_nationkey % 3 WHEN 1 THEN 'QUINCY' WHEN 2 THEN 'MARY' END AS middle,
-        right(c_name, 3) AS last, CASE WHEN c_nationkey % 5 = 0 THEN 'TT_Lobbyist' ELSE 'OTHER' END AS source
+        ('FAM' || (c_custkey // 4)) AS last, CASE WHEN c_nationkey % 5 = 0 THEN 'TT_Lobbyist' ELSE 'OTHER' END AS source
     FROM customer""",
 }
 

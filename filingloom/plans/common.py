@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from filingloom.operators.identity import merge_identities
 from filingloom.operators.mart import first_wins, surrogate_key, without
 from filingloom.operators.resolve import ORG_KEY, conflicts, fill_missing, person_names, resolve_people
-from filingloom.operators.skew import DEFAULT, Spread, join_one
 from filingloom.sources.tables import conform
 
 Frames = dict[str, DataFrame]
@@ -46,24 +45,24 @@ def stored_people(mart: Frames, candidates_only: bool = False) -> DataFrame | No
 
 
 def identify(
-    rows: DataFrame, kind: str, order: list[str], stored: DataFrame | None, spread: Spread | None = DEFAULT
+    rows: DataFrame, kind: str, order: list[str], stored: DataFrame | None
 ) -> DataFrame:
     """Add person_id to rows with person_filer, first, middle, last; a stored person keeps its id."""
     existing = None
     if stored is not None:
         known = stored.groupBy(F.col("filer_id").alias("person_filer"), "first").agg(F.min("_id").alias("_known"))
         existing = known.select("person_filer", "first")
-    merged = merge_identities(rows, "person_filer", "first", "last", order, existing, spread)
+    merged = merge_identities(rows, "person_filer", "first", "last", order, existing)
     made = surrogate_key(F.col("person_filer"), F.col("anchor_first"), F.col("anchor_last"), kind=kind)
     if stored is None:
         return merged.withColumn("person_id", made)
     known = known.withColumnRenamed("first", "anchor_first")
-    joined = join_one(merged, known, ["person_filer", "anchor_first"], "left", spread)
+    joined = merged.join(known, ["person_filer", "anchor_first"], "left")
     return joined.withColumn("person_id", F.coalesce("_known", made)).select(*merged.columns, "person_id")
 
 
 def load_people(
-    rows: DataFrame, master: DataFrame, order: list[str], mart: Frames, spread: Spread | None = DEFAULT
+    rows: DataFrame, master: DataFrame, order: list[str], mart: Frames
 ) -> Frames:
     """New person rows with their master match, changed stored rows, and name conflicts.
 
@@ -83,12 +82,12 @@ def load_people(
         compared = before.select("person_id", *NAME_PARTS).unionByName(fresh.select("person_id", *NAME_PARTS))
     else:
         fresh, changed, compared = stored, None, stored
-    matched = resolve_people(fresh, person_names(master), spread=spread)
+    matched = resolve_people(fresh, person_names(master))
     filled = fill_missing(matched, incoming, ["person_id"], NAME_PARTS, order)
     out = {
         "person": conform(filled.withColumnRenamed("person_id", "_id"), "person"),
         "person_matches": matched.select("person_id", "match_rule", "n_candidates"),
-        "conflicts": conflicts(compared, rows, ["person_id"], NAME_PARTS, spread),
+        "conflicts": conflicts(compared, rows, ["person_id"], NAME_PARTS),
     }
     if changed is not None:
         out["person_updates"] = conform(changed.withColumnRenamed("person_id", "_id"), "person")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -19,6 +21,7 @@ def local_session(cpus: int | str = 8, app: str = "filingloom", memory: str = "8
         # do not record a Python stack for every column expression
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", memory)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="filingloom-"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -49,6 +50,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return read_snapshot(df.sparkSession, path, df.schema)
 
 
+def unstage(df: DataFrame) -> None:
+    """Delete the table behind a frame that came from `stage` and is no longer read."""
+    spark = df.sparkSession
+    for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def merge_snapshot(existing: DataFrame | None, changed: DataFrame, key: list[str]) -> DataFrame:
     """The next snapshot of a table: changed rows replace existing rows of the same key."""
     if existing is None:

@@ -12,10 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingloom.functions.text import FILING_TIMESTAMP, session_year
-from filingloom.operators.skew import DEFAULT, Spread, within
 
 CORRUPT = "not a date"
-LARGE = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id", "documents": "doc_id"}
 
 
 def text(c: str | Column) -> Column:
@@ -41,6 +39,11 @@ def supplier_city(key: str) -> Column:
     )
 
 
+def family_name() -> Column:
+    """A family name for every four customers, so names repeat a little at any size of the table."""
+    return F.concat(F.lit("FAM"), text(F.floor(F.col("c_custkey") / 4)))
+
+
 class Filings:
     """The staging views of one data folder."""
 
@@ -50,25 +53,10 @@ class Filings:
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        """A table, spread over all cores when it is read as fewer splits (a small single file)."""
         if name not in self._tables:
-            self._tables[name] = self._read(name)
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
-    def _read(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        if name not in LARGE or df.rdd.getNumPartitions() >= self.spark.sparkContext.defaultParallelism:
-            return df
-        return df.repartition(self.spark.sparkContext.defaultParallelism, LARGE[name])
-
-    def spread(self, name: str = "lineitem") -> Spread | None:
-        """The skew settings, or None when this table is too small for any key to be hot.
-
-        Each view has at most one row per row of the table it is made from, so the table's count,
-        taken from its footers, bounds every group of the view.
-        """
-        return within(self.spark.read.parquet(f"{self.folder}/{name}.parquet"), DEFAULT)
-
     @cached_property
     def covers(self) -> DataFrame:
         """Lobby disclosure covers: A lines are lobbyists' reports, N firms', R employers' and individuals'."""
@@ -86,12 +74,13 @@ class Filings:
             .when(F.col("l_linestatus") == "F", "F635").otherwise("F645")
         )
         person = form == "F615"
+        odd = F.col("l_partkey") % 19 == 0  # a form filed under the other kind of entity
         entity = (
-            F.when(person, "LBY").when(form == "F625", "FRM")
-            .when(form == "F635", F.when(F.col("l_suppkey") % 2 == 0, "LEM").otherwise("LCO"))
+            F.when(person, "LBY").when(form == "F625", F.when(odd, "LEM").otherwise("FRM"))
+            .when(form == "F635", F.when(odd, "FRM").when(F.col("l_suppkey") % 2 == 0, "LEM").otherwise("LCO"))
             .otherwise(F.element_at(F.array(F.lit("FRM"), F.lit("LEM"), F.lit("LCO")), (F.col("l_suppkey") % 3 + 1).cast("int")))
         )
-        given, family = F.col("c_mktsegment"), F.substring("c_name", -3, 3)
+        given, family = F.col("c_mktsegment"), family_name()
         no_first, swapped = F.col("l_linenumber") % 5 == 0, F.col("l_linenumber") % 7 == 0
         last = F.when(no_first, F.concat(given, F.lit(" "), family)).when(swapped, given).otherwise(family)
         first = (
@@ -115,7 +104,7 @@ class Filings:
                 F.lit("AB "), text("l_partkey"), F.lit(", "), text(F.col("l_quantity").cast("int")),
                 F.lit(";SB "), text("l_suppkey"), F.lit(";NONE"),
             ).alias("lby_actvty"),
-            filing_text(month_start("o_orderdate")).alias("from_date"),
+            F.when(F.col("l_partkey") % 23 == 0, F.lit(CORRUPT)).otherwise(filing_text(month_start("o_orderdate"))).alias("from_date"),
             filing_text(month_end("o_orderdate")).alias("thru_date"),
         )
 
@@ -187,7 +176,7 @@ class Filings:
         o = self.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
         c = self.table("customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
         rows = o.join(c, o.o_custkey == c.c_custkey)
-        key, given, family = F.col("o_orderkey"), F.col("c_mktsegment"), F.substring("c_name", -3, 3)
+        key, given, family = F.col("o_orderkey"), F.col("c_mktsegment"), family_name()
         office = (
             F.when(given == "BUILDING", "30013").when(given == "MACHINERY", "30012").when(given == "FURNITURE", "30009")
             .when(given == "AUTOMOBILE", "30002").otherwise("99999")
@@ -250,7 +239,8 @@ class Filings:
         li = self.table("lineitem").select("l_orderkey", "l_suppkey")
         o = self.table("orders").select("o_orderkey", "o_orderdate")
         return li.join(o, li.l_orderkey == o.o_orderkey).select(
-            text("l_suppkey").alias("filer_id"), filing_text(F.col("o_orderdate")).alias("from_date")
+            text("l_suppkey").alias("filer_id"),
+            F.when(F.col("l_orderkey") % 23 == 0, F.lit(CORRUPT)).otherwise(filing_text(F.col("o_orderdate"))).alias("from_date")
         )
 
     @cached_property
@@ -274,7 +264,7 @@ class Filings:
             F.col("c_custkey").alias("pid"),
             F.col("c_mktsegment").alias("first"),
             F.when(F.col("c_nationkey") % 3 == 1, F.lit("Quincy")).when(F.col("c_nationkey") % 3 == 2, F.lit("Mary")).alias("middle"),
-            F.substring("c_name", -3, 3).alias("last"),
+            family_name().alias("last"),
             F.when(F.col("c_nationkey") % 5 == 0, F.lit("TT_Lobbyist")).otherwise(F.lit("OTHER")).alias("source"),
         )
 

@@ -5,7 +5,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from filingloom.operators.skew import Spread  # noqa: E402
 from filingloom.session import local_session  # noqa: E402
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -18,12 +17,6 @@ def spark():
     session.stop()
 
 
-@pytest.fixture(params=["plain", "hot"])
-def spread(request):
-    """Ordinary settings, and settings under which nearly every key counts as hot."""
-    return Spread() if request.param == "plain" else Spread(hot_rows=2, rows_per_salt=1, max_keys=5)
-
-
 def rows(df, *columns):
     picked = df.select(*columns) if columns else df
     return sorted((tuple(r) for r in picked.collect()), key=repr)

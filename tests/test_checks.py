@@ -21,12 +21,26 @@ def test_one_violation_of_every_kind(spark):
     }
     found = rows(check(df, "t", CONTRACT, parents), "check", "key", "detail", "n")
     assert found == sorted([
-        ("primary", "1", "id", 2), ("unique", "ab|x", "code,kind", 2), ("required", "", "id", 1), ("required", "3", "kind", 1),
+        ("primary", "1", "id", 2), ("unique", "ab|x", "code,kind", 2), ("required", "\\N", "id", 1), ("required", "3", "kind", 1),
         ("width", "1", "code", 1), ("domain", "2", "kind", 1), ("parent", "2", "parent->parents", 1),
         ("parent", "1|2", "parent,sub->pairs", 1), ("parent", "2|1", "parent,sub->pairs", 1),
     ], key=repr)
 
 
+def test_keys_with_separators_and_nulls_are_told_apart(spark):
+    contract = Table({"a": "string", "b": "string", "c": "string"}, ("a", "b"), (), ("c",), {}, {})
+    df = spark.createDataFrame([("a|b", "c", None), ("a", "b|c", None), ("", None, None), (None, "", None), ("\\\\N", "x", None)], "a string, b string, c string")
+    found = [r.key for r in check(df, "t", contract).filter("check = 'required' AND detail = 'c'").collect()]
+    assert sorted(found) == sorted(["a\\|b|c", "a|b\\|c", "|\\N", "\\N|", "\\\\\\\\N|x"])
+
+
+def test_row_checks_read_the_table_once(spark):
+    df = spark.createDataFrame([(1, "ab", "x", 1, 1)], "id bigint, code string, kind string, parent bigint, sub bigint")
+    one = Table({"id": "bigint", "code": "varchar(3)", "kind": "varchar(9)"}, (), (), ("id", "kind"), {}, {"kind": ("x",)})
+    plan = check(df.select("id", "code", "kind"), "t", one)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 1
+
+
 def test_parents_not_given_are_not_checked(spark):
     df = spark.createDataFrame([(1, "a", "x", 9, 9)], "id bigint, code string, kind string, parent bigint, sub bigint")
     assert check(df, "t", CONTRACT).count() == 0

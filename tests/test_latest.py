@@ -3,7 +3,6 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from filingloom.operators.latest import latest_amendment
-from filingloom.operators.skew import Spread
 
 FILINGS = [
     ("1", "2", "A", "x"), ("1", "9", "A", "x"), ("1", "10", "A", "x"), ("1", "10", "A", "y"), ("1", "10", "A", "y"),
@@ -17,25 +16,25 @@ def filings(spark):
     return spark.createDataFrame(FILINGS, "filing string, amend string, form string, line string")
 
 
-def test_ties_are_kept_and_numbers_ordered_as_numbers(filings, spread):
-    found = rows(latest_amendment(filings, "filing", "amend", spread=spread))
+def test_ties_are_kept_and_numbers_ordered_as_numbers(filings):
+    found = rows(latest_amendment(filings, "filing", "amend"))
     assert found == sorted([
         ("1", "10", "A", "x"), ("1", "10", "A", "y"), ("1", "10", "A", "y"), ("2", "1", "B", "x"),
         ("3", "", "A", "x"), ("3", None, "A", "z"), (None, "2", "A", "n"),
     ], key=repr)
 
 
-def test_single_row_is_one_of_the_tied(filings, spread):
-    ties = set(rows(latest_amendment(filings, "filing", "amend", spread=spread)))
-    single = rows(latest_amendment(filings, "filing", "amend", ties="single", tie_break=["line"], spread=spread))
+def test_single_row_is_one_of_the_tied(filings):
+    ties = set(rows(latest_amendment(filings, "filing", "amend")))
+    single = rows(latest_amendment(filings, "filing", "amend", ties="single", tie_break=["line"]))
     assert len(single) == 4 and set(single) <= ties
     assert ("1", "10", "A", "x") in single
 
 
-def test_filter_before_and_after_the_rank(filings, spread):
+def test_filter_before_and_after_the_rank(filings):
     form = F.col("form") == "A"
-    before = rows(latest_amendment(filings, "filing", "amend", where=form, rank_scope="form", spread=spread))
-    after = rows(latest_amendment(filings, "filing", "amend", where=form, rank_scope="filing", spread=spread))
+    before = rows(latest_amendment(filings, "filing", "amend", where=form, rank_scope="form"))
+    after = rows(latest_amendment(filings, "filing", "amend", where=form, rank_scope="filing"))
     assert ("2", "0", "A", "x") in before and not [r for r in after if r[0] == "2"]
 
 
@@ -52,8 +51,7 @@ def test_one_filing_with_a_third_of_all_rows(spark):
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("filing"),
         F.when(F.col("id") % 6 == 0, "2").otherwise("1").alias("amend"),
     )
-    hot = Spread(hot_rows=100, rows_per_salt=10)
-    latest = latest_amendment(df, "filing", "amend", spread=hot)
+    latest = latest_amendment(df, "filing", "amend")
     assert latest.filter("filing = 'hot'").count() == 500
     assert latest.count() == 2500
     plan = latest._jdf.queryExecution().executedPlan().toString()

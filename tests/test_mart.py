@@ -22,11 +22,11 @@ AGREEMENTS = [
 ]
 
 
-def test_insert_or_reject(spark, spread):
+def test_insert_or_reject(spark):
     df = spark.createDataFrame(AGREEMENTS, "firm int, client string, start date, n int")
     loaded = spark.createDataFrame([(9, "z", date(2020, 1, 1))], "firm int, client string, start date")
     rules = {"no start": F.col("start").isNull(), "no firm": F.col("firm").isNull()}
-    accepted, rejected = mart.insert_or_reject(df, rules, ["firm", "client", "start"], ["n"], loaded, spread)
+    accepted, rejected = mart.insert_or_reject(df, rules, ["firm", "client", "start"], ["n"], loaded)
     assert rows(accepted, "firm", "n") == [(1, 1), (2, 4)]
     assert rows(rejected, "firm", "n", "reason", "copies") == sorted([
         (1, 2, "duplicate", 2), (1, 3, "no start", 1), (2, 4, "duplicate", 1), (9, 5, "exists", 1), (None, 6, "no firm", 1),
@@ -80,9 +80,9 @@ def test_route_and_link(spark):
 
 
 def test_code_tables():
-    sizes = {t: len(codes.labels(getattr(codes, t))) for t in ("DISTRICT", "PARTY", "OFFICE", "JURISDICTION", "ELECTION")}
+    sizes = {t: len(getattr(codes, t)) for t in ("DISTRICT", "PARTY", "OFFICE", "JURISDICTION", "ELECTION")}
     assert sizes == {"DISTRICT": 84, "PARTY": 16, "OFFICE": 145, "JURISDICTION": 7, "ELECTION": 8}
-    numbers = {v for v in codes.labels(codes.DISTRICT).values() if v != "N/A"}
+    numbers = {v for v in codes.DISTRICT.values() if v != "N/A"}
     assert numbers == {f"{n:02d}" for n in range(1, 81)}
 
 
@@ -115,7 +115,7 @@ def test_same_office_in_two_districts(spark):
     assert again["district"].count() == again["office"].count() == 0
 
 
-def test_roles(spark, spread):
+def test_roles(spark):
     df = spark.createDataFrame([(1, "F", "9", "E"), (2, "F", "9", "E"), (3, "G", None, None)], "id int, firm string, filer string, empl string")
     named = roles.unpivot_roles(
         df, {"FRM": {"org_name": F.col("firm"), "filer_id": F.col("filer")}, "LEM": {"org_name": F.col("empl")}}, ["id"]
@@ -125,7 +125,7 @@ def test_roles(spark, spread):
         [("F", "9", "FRM", 1), ("G", "", "FRM", 2), ("E", "", "LEM", 3)], "org_name string, filer_id string, type string, organization_id bigint"
     )
     both = roles.attach_roles(
-        df, resolved, {"firm_id": ("FRM", F.col("firm"), F.col("filer")), "empl_id": ("LEM", F.col("empl"), None)}, spread
+        df, resolved, {"firm_id": ("FRM", F.col("firm"), F.col("filer")), "empl_id": ("LEM", F.col("empl"), None)}
     )
     assert rows(both, "id", "firm_id", "empl_id") == [(1, 1, 3), (2, 1, 3), (3, 2, None)]
 

@@ -45,8 +45,8 @@ def xref(spark):
     )
 
 
-def test_org_cascade(probes, master, xref, spread):
-    resolved, new_orgs = resolve.resolve_orgs(probes, master, ORDER, xref=xref, spread=spread)
+def test_org_cascade(probes, master, xref):
+    resolved, new_orgs = resolve.resolve_orgs(probes, master, ORDER, xref=xref)
     found = {(r.org_name, r.filer_id, r.type): r for r in resolved.collect()}
     assert len(found) == len(PROBES) == resolved.count()
     for name, filer, kind, _, _, rule, oid in PROBES:
@@ -72,7 +72,7 @@ def test_first_place_of_a_key_counts(spark, master):
     assert rows(resolved, "organization_id") == [(2,)]
 
 
-def test_org_by_filer(spark, master, spread):
+def test_org_by_filer(spark, master):
     df = spark.createDataFrame(
         [("Solo", "1", "A", None, None, 1), ("Other", "1", "B", None, None, 2), ("Known", "2", "A", None, None, 3),
          ("Solo", "", "A", None, None, 4), ("Free", "", "A", None, None, 5)],
@@ -80,7 +80,7 @@ def test_org_by_filer(spark, master, spread):
     )
     bridge = spark.createDataFrame([(77, None, "2"), (None, 5, "1")], "organization_id bigint, person_id bigint, filer_id string")
     resolved, new_orgs = resolve.resolve_orgs(
-        resolve.org_probes(df, ORDER), master, ORDER, bridge=bridge, by_filer=True, spread=spread
+        resolve.org_probes(df, ORDER), master, ORDER, bridge=bridge, by_filer=True
     )
     found = {(r.org_name, r.filer_id): (r.match_rule, r.organization_id) for r in resolved.collect()}
     assert found["SOLO", "1"] == found["OTHER", "1"] == ("name", 1)
@@ -102,14 +102,14 @@ PEOPLE = [
     ("DAN", None, "preferred", 6), ("EVE", None, "ambiguous", None), ("EVE", ".", "ambiguous_middle", None),
     ("FAY", None, "middle", 10), ("NOB", None, "none", None), ("ANN", "QUINCYX", "ambiguous", None),
 ])
-def test_person_cascade(spark, spread, first, middle, rule, pid):
+def test_person_cascade(spark, first, middle, rule, pid):
     master = spark.createDataFrame(PEOPLE, "pid bigint, first string, middle string, last string, source string")
     probes = spark.createDataFrame([(first, middle, "LEE"), (first, middle, "LEE")], "first string, middle string, last string")
-    found = rows(resolve.resolve_people(probes, master, spread=spread), "match_rule", "master_pid")
+    found = rows(resolve.resolve_people(probes, master), "match_rule", "master_pid")
     assert found == [(rule, pid), (rule, pid)]
 
 
-def test_fill_missing_and_conflicts(spark, spread):
+def test_fill_missing_and_conflicts(spark):
     stored = spark.createDataFrame([(1, "A", None, "L"), (2, None, None, None)], "id int, first string, middle string, last string")
     incoming = spark.createDataFrame(
         [(1, 1, "A", None, "L"), (1, 3, "B", "M3", "L"), (1, 2, "A", "M2", None), (2, 1, None, None, "Z"), (2, 2, "F", None, "Y")],
@@ -118,7 +118,7 @@ def test_fill_missing_and_conflicts(spark, spread):
     cols = ["first", "middle", "last"]
     filled = resolve.fill_missing(stored, incoming, ["id"], cols, ["n"])
     assert rows(filled) == [(1, "A", "M2", "L"), (2, "F", None, "Z")]
-    assert rows(resolve.conflicts(stored, incoming, ["id"], cols, spread)) == sorted([
+    assert rows(resolve.conflicts(stored, incoming, ["id"], cols)) == sorted([
         (1, "first", "A", "B"), (1, "middle", None, "M3"), (1, "middle", None, "M2"), (1, "last", "L", None),
         (2, "last", None, "Z"), (2, "first", None, "F"), (2, "last", None, "Y"),
     ], key=repr)

@@ -2,64 +2,29 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from filingloom.operators.skew import Spread, hot_keys, join_one, salted_join, within
+from filingloom.operators.latest import latest_amendment
+from filingloom.operators.skew import salted_join
 
-HOT = Spread(hot_rows=3, rows_per_salt=2, max_keys=2)
 
+@pytest.mark.parametrize("salts", [1, 3, 8])
+def test_salted_join_equals_join(spark, salts):
+    left = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("b", 3), (None, 4), ("d", 5)], "k string, v int")
+    right = spark.createDataFrame([("a", 7), ("a", 8), ("b", 9), (None, 1), ("c", 2)], "k string, w int")
+    assert rows(salted_join(left, right, ["k"], salts)) == rows(left.join(right, "k"))
 
-@pytest.fixture
-def left(spark):
-    data = [("a", i % 5) for i in range(20)] + [("b", i) for i in range(4)] + [("c", 1), ("d", 1), (None, 1), (None, 2), (None, 3)]
-    return spark.createDataFrame(data, "k string, v int")
 
+def test_one_key_is_spread(spark):
+    """Nearly all rows have one key: no task of the join gets more than a fair part of them."""
+    left = spark.range(8000).select(F.when(F.col("id") < 7900, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    right = spark.createDataFrame([("hot", 1), ("hot", 2)], "k string, w int")
+    joined = salted_join(left, right, ["k"])
+    assert joined.count() == 15800
+    dealt = left.withColumn("salt", F.pmod(F.xxhash64("k", "id"), F.lit(8))).groupBy("salt").count().collect()
+    assert max(r["count"] for r in dealt) < 1.3 * 1000
 
-@pytest.fixture
-def right(spark):
-    return spark.createDataFrame([("a", 1), ("a", 2), ("a", 2), ("a", 3), ("b", 9), ("c", 8), ("z", 7), (None, 6)], "k string, w int")
 
-
-def test_hot_keys_are_bounded(left):
-    assert rows(hot_keys(left, ["k"], HOT)) == [("a", 10), ("b", 2)]
-    assert hot_keys(left, ["k"], Spread()) is None
-    assert hot_keys(left, ["k"], None) is None
-
-
-def test_within(left):
-    assert within(left, HOT) == HOT and within(left, Spread()) is None
-
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_join(left, right, how):
-    expected = rows(left.join(right, "k", how))
-    assert rows(salted_join(left, right, ["k"], how, hot_left=hot_keys(left, ["k"], HOT))) == expected
-
-
-def test_salted_join_both_sides(left, right):
-    expected = rows(left.join(right, "k"))
-    hot_left, hot_right = hot_keys(left, ["k"], HOT), hot_keys(right, ["k"], HOT)
-    assert rows(salted_join(left, right, ["k"], "inner", hot_left, hot_right)) == expected
-    assert rows(salted_join(left, right, ["k"], "inner", None, hot_right)) == expected
-    with pytest.raises(ValueError):
-        salted_join(left, right, ["k"], "left", hot_left, hot_right)
-
-
-def test_salted_join_on_part_of_the_key(left, right):
-    both = right.withColumnRenamed("w", "v").withColumn("found", F.lit(True)).distinct()
-    expected = rows(left.join(both, ["k", "v"], "left"))
-    hot = hot_keys(left, ["k"], HOT)
-    assert rows(salted_join(left, both, ["k", "v"], "left", hot_left=hot, hot_on=["k"])) == expected
-
-
-def test_salts_spread_a_hot_key(spark):
-    wide = spark.range(1000).select(F.lit("a").alias("k"), F.col("id").alias("v"))
-    hot = hot_keys(wide, ["k"], Spread(hot_rows=10, rows_per_salt=100))
-    one = spark.createDataFrame([("a", 1)], "k string, w int")
-    joined = salted_join(wide, one, ["k"], "left", hot_left=hot)
-    assert joined.count() == 1000
-    assert hot.first()["_salts"] == 10
-
-
-@pytest.mark.parametrize("how", ["left", "inner"])
-def test_join_one(left, right, how):
-    lookup = right.groupBy("k").agg(F.max("w").alias("w"))
-    assert rows(join_one(left, lookup, ["k"], how, HOT)) == rows(left.join(lookup, "k", how))
+def test_latest_amendment_of_one_hot_filing(spark):
+    filings = spark.range(20_000).select(F.lit("f").alias("filing"), (F.col("id") % 2).cast("string").alias("amend"), "id")
+    assert latest_amendment(filings, "filing", "amend").count() == 10_000
+    plan = latest_amendment(filings, "filing", "amend")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
