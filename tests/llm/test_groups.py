@@ -59,7 +59,7 @@ def texts():
     return [(i, t) for i, t in enumerate(out)]
 
 
-@pytest.mark.parametrize(("k", "num", "den", "block", "region"), [(3, 90, 100, 2048, None), (5, 80, 100, 2048, None), (2, 70, 100, 3, 0.9), (1, 80, 100, 5, 0.05)])
+@pytest.mark.parametrize(("k", "num", "den", "block", "region"), [(3, 90, 100, 512, None), (2, 70, 100, 3, 0.9), (1, 80, 100, 5, 0.05)])
 def test_components_against_all_pairs(spark, texts, monkeypatch, k, num, den, block, region):
     monkeypatch.setattr(jaccard, "BLOCK", block)
     docs = spark.createDataFrame(texts, "doc_id long, text string")
@@ -75,7 +75,7 @@ def test_given_documents(spark, sf_dir):
     assert got == closest(rows, 3, 90, 100)
 
 
-@pytest.mark.parametrize("boundary", [1, 8, 14, 20])
+@pytest.mark.parametrize("boundary", [1, 14])
 def test_any_boundary_gives_the_same(spark, texts, monkeypatch, boundary):
     monkeypatch.setattr(jaccard, "choose_boundary", lambda *a: boundary)
     docs = spark.createDataFrame(texts, "doc_id long, text string")
