@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from filingloom.operators.identity import merge_identities
 from filingloom.operators.latest import latest_amendment
 from filingloom.plans import candidates, committees, contracts, individuals, registrations
 from filingloom.sources import snapshots
-from filingloom.sources.tables import Table
+from filingloom.sources.tables import MART, Table
 from filingloom.staging import CORRUPT, Filings, family_name, filing_text, text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -713,3 +714,29 @@ def org_xref_rerun(spark, folder):
         F.col("name").alias("org_name"), F.lit("").alias("filer_id"), F.lit("again").alias("type"), "organization_id"
     )), key)
     return _org_label(merged, new_orgs).join(again.select(*key, "match_rule"), key, "left").select(*key, "org", "match_rule")
+
+
+def _added_again(run: Callable[[dict, dict], dict], sources: dict, label: str = "") -> DataFrame:
+    """Runs a job, keeps its mart tables, runs it again on them: table and rows that the second run adds."""
+    first = run(sources, {})
+    kept = {t: snapshots.stage(df, f"first-{t}") for t, df in first.items() if t in MART or t == "org_xref"}
+    second = run(sources, kept)
+    rows = [df.select(F.lit(t + label).alias("table"), F.lit(0).alias("added")) for t, df in kept.items()]
+    rows += [second[t].select(F.lit(t + label).alias("table"), F.lit(1).alias("added")) for t in kept if t in second]
+    return reduce(DataFrame.unionByName, rows).groupBy("table").agg(F.sum("added").alias("added"))
+
+
+@query
+def registration_rerun(spark, folder):
+    return _added_again(registrations.run_registrations, Filings(spark, folder).sources())
+
+
+@query
+def candidate_rerun(spark, folder):
+    """With offices told apart by district, as stored offices name their district by its id."""
+    return _added_again(partial(candidates.run_candidates, district_in_key=True), Filings(spark, folder).sources())
+
+
+@query
+def committee_rerun(spark, folder):
+    return _added_again(committees.run_committees, Filings(spark, folder).sources())

@@ -645,3 +645,16 @@ SQL["controlled_committees"] = (
         FROM (SELECT DISTINCT org, filer_id FROM filed WHERE cmtte_type = 'C' OR control_yn = 'Y') c
         JOIN found ON found.committee_id = c.filer_id WHERE p_first IS NOT NULL) WHERE nth = 1"""
 )
+
+
+def nothing_added(*tables: str) -> str:
+    """A second run on the first one's tables adds no row to any of them."""
+    return " UNION ALL ".join(f"SELECT '{t}' AS \"table\", 0 AS added" for t in tables)
+
+
+SQL["registration_rerun"] = nothing_added(
+    "activity", "direct_employment", "employed_lobbying", "filer_id", "lobbying_firm", "lobbyist", "lobbyist_employer", "org_xref",
+    "permanent_employment", "person")
+SQL["candidate_rerun"] = nothing_added("candidate", "district", "election", "filer_id", "office", "person", "running")
+SQL["committee_rerun"] = nothing_added(
+    "ballot", "ballot_committee", "ballot_support", "committee", "filer_id", "general_committee", "independent_committee", "org_xref")
