@@ -482,7 +482,7 @@ def code_lookup(spark, folder):
         ("office_cd", codes.OFFICE, "offic_dscr"), ("juris_cd", codes.JURISDICTION, None),
         ("elec_type", codes.ELECTION, None), ("district_cd", codes.DISTRICT, None),
     ):
-        rows = mart.decode(rows, column, codes.code_frame(spark, table), f"{column}_label", text_col)
+        rows = mart.decode(rows, column, table, f"{column}_label", text_col)
     return rows.select("filing_id", "amend_id", "office_cd_label", "juris_cd_label", "elec_type_label", "district_cd_label")
 
 

@@ -11,6 +11,9 @@ from pyspark.sql.window import Window
 from filingloom.sources.snapshots import stage
 
 
+MAX_CODES = 1_000
+
+
 def surrogate_key(*natural_key: Column, kind: str = "") -> Column:
     """A key computed from the natural key alone, so any run on any cluster gives the same one.
 
@@ -148,13 +151,15 @@ def parties_of(candidates: DataFrame) -> DataFrame:
 
 
 def decode(
-    df: DataFrame, code_col: str, codes: DataFrame, out: str, text_col: str | None = None, default: str = "N/A"
+    df: DataFrame, code_col: str, codes: dict[str, str], out: str, text_col: str | None = None, default: str = "N/A"
 ) -> DataFrame:
     """Add `out`: the text where given, else the code's label, else the default.
 
-    Code tables are fixed lists of under 200 rows, hence the broadcast.
+    Codes are a fixed list; one of up to MAX_CODES entries is broadcast.
     """
-    labels = F.broadcast(codes.select(F.col("code").alias("_code"), F.col("label").alias("_label")))
+    if len(codes) > MAX_CODES:
+        raise ValueError(f"a code table has at most {MAX_CODES} entries")
+    labels = F.broadcast(df.sparkSession.createDataFrame(list(codes.items()), "_code string, _label string"))
     text = F.nullif(F.col(text_col), F.lit("")) if text_col else F.lit(None).cast("string")
     return (
         df.join(labels, F.col(code_col) == F.col("_code"), "left")

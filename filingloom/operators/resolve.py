@@ -12,7 +12,7 @@ from filingloom.sources.snapshots import stage
 # Names that stand for "no name given". They say nothing about identity, so such
 # an organisation is told apart by its filer id.
 PLACEHOLDER_NAMES = ("X", "XX", "XXX", "NONE", "N/A", "NA", "UNKNOWN", "TBD", ".", "-")
-MIN_NAME_LENGTH = 2
+MIN_NAME_LENGTH = 1
 
 # Fixed value: the master source preferred when several people share a name.
 PREFERRED_SOURCE = "TT_Lobbyist"

@@ -267,7 +267,7 @@ def org_found(probe: str, order: str, filer: str = "NULL") -> str:
         FROM {probe} p LEFT JOIN named_orgs ON name = org_name),
     org_counts AS (SELECT *, coalesce(len(near), 0) AS n_place, list_min(near) AS one_place FROM org_places),
     org_rule AS (SELECT *, CASE WHEN known_filer IS NOT NULL THEN 'filer'
-        WHEN length(org_name) < 2 OR org_name IN ('X', 'XX', 'XXX', 'NONE', 'N/A', 'NA', 'UNKNOWN', 'TBD', '.', '-') THEN 'placeholder'
+        WHEN length(org_name) < 1 OR org_name IN ('X', 'XX', 'XXX', 'NONE', 'N/A', 'NA', 'UNKNOWN', 'TBD', '.', '-') THEN 'placeholder'
         WHEN n = 1 THEN 'name' WHEN n > 1 AND n_place = 1 THEN 'name_place' WHEN n > 1 THEN 'new_ambiguous' ELSE 'new' END
         AS match_rule FROM org_counts),
     org_made AS (SELECT *, CASE match_rule WHEN 'new' THEN org_name

@@ -88,7 +88,7 @@ def test_code_tables():
 
 def test_decode(spark):
     df = spark.createDataFrame([("30013", None), ("30013", "MAYOR"), ("99", ""), ("", None), (None, None), ("0", None)], "c string, t string")
-    decoded = mart.decode(df, "c", codes.code_frame(spark, codes.OFFICE), "label", "t")
+    decoded = mart.decode(df, "c", codes.OFFICE, "label", "t")
     assert sorted(r.label for r in decoded.collect()) == ["ASSEMBLY", "MAYOR", "N/A", "N/A", "N/A", "N/A"]
 
 
