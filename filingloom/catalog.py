@@ -740,3 +740,19 @@ def candidate_rerun(spark, folder):
 @query
 def committee_rerun(spark, folder):
     return _added_again(committees.run_committees, Filings(spark, folder).sources())
+
+
+@query
+def mart_violations(spark, folder):
+    """Violations of the declared contracts in each table that a job fills, by job and table."""
+    jobs = {
+        "registrations": registrations.run_registrations, "contracts": contracts.run_contracts,
+        "subcontracts": contracts.run_subcontracts, "individuals": individuals.run_individuals,
+        "candidates": candidates.run_candidates, "committees": committees.run_committees,
+    }
+    sources, rows = Filings(spark, folder).sources(), []
+    for job, run in jobs.items():
+        filled = {t: snapshots.stage(df, f"checked-{t}") for t, df in run(sources, {}).items() if t in MART}
+        rows += [df.select(F.lit(f"{job}.{t}").alias("table"), F.lit(0).cast("bigint").alias("violations")) for t, df in filled.items()]
+        rows.append(checks.check_mart(filled, MART).select(F.concat(F.lit(f"{job}."), "table").alias("table"), F.col("n").alias("violations")))
+    return reduce(DataFrame.unionByName, rows).groupBy("table").agg(F.sum("violations").alias("violations"))
