@@ -113,12 +113,26 @@ def train(rows: list[tuple[str, str]], n_landmarks: int = 40, ridge: float = 1e-
 def fit_languages(docs: DataFrame, per_language: int = 250, n_landmarks: int = 40, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on a sample of at most per_language rows for each language, the same in any run: those whose id and text hash lowest.
 
-    Rows without a language, or whose text is null or has no letter, are left out. Each task first keeps its own lowest rows.
+    Rows without a language, or whose text is null or has no letter, are left out. The languages are counted first, and only rows
+    with a hash so low that about eight times the sample passes are looked at further, so the same amount of text moves
+    at any size of the input. A language that then has too few, as when its rows repeat, is drawn from all its rows.
     """
-    some = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h"))
-    order = Window.partitionBy("lang").orderBy("h", "text")
-    picked = some.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language)
-    rows = sorted(((r.lang, r.h, r.text) for r in picked.collect()), key=lambda r: r[:2])
+    share = F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    some = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), share.alias("h"))
+    counts = {r.lang: r.n for r in some.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+
+    def lowest(limits: dict[str, float]) -> list[tuple]:
+        table = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv])
+        low = some.filter(F.col("h") < F.try_element_at(table, F.col("lang")))
+        picked = low.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).filter(F.col("r") <= per_language)
+        return [(r.lang, r.h, r.text) for r in picked.collect()]
+
+    rows = lowest({lang: 8 * per_language / n for lang, n in counts.items()}) if counts else []
+    found = [lang for lang, _, _ in rows]
+    short = {lang: 2.0 for lang, n in counts.items() if found.count(lang) < min(n, per_language)}
+    if short:
+        rows = [r for r in rows if r[0] not in short] + lowest(short)
+    rows.sort()
     return train([(lang, text) for lang, _, text in rows], n_landmarks)
 
 

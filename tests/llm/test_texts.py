@@ -122,6 +122,8 @@ def test_languages(spark, sf_dir):
     assert all(0 <= r.score <= 1 for r in out)
     assert [r.lang_pred for r in out if r.lang == "en" and (not r.text or r.text == "123 !?")] == ["und"] * 3
     assert {r.lang_pred for r in out if r.text and r.text != "123 !?"} <= set(model.languages)
+    copies = spark.createDataFrame([(1, "the same words", "en")] * 60 + [(2, "le la de et", "fr")] * 3, docs.schema)
+    assert fit_languages(copies, per_language=2).languages == ["en", "fr"]
     none = fit_languages(docs.limit(0))
     assert {r.p.lang_pred for r in docs.limit(3).select(predict_languages(docs, none).alias("p")).collect()} == {"und"}
     assert train([]).languages == []
