@@ -18,6 +18,7 @@ seating the rest of them in turn, in blocks of an eighth, for more. One customer
 
 from __future__ import annotations
 
+import io
 import posixpath
 from collections import Counter
 from collections.abc import Iterator
@@ -33,17 +34,16 @@ from filingloom.llm.common import Stage, documents
 from filingloom.sources.snapshots import new_path
 
 CONTEXTS = 1 << 16
-MAX_HOT = 1024
-BUCKET_TOKENS = 4_000_000
-GROUP_TOKENS = 1_000_000
+MAX_HOT = 1 << 16
+BUCKET_TOKENS = 2_000_000
+GROUP_TOKENS = 500_000
 GROUP_DOCS = 60_000
 EXACT = 32
 _END, _BEGIN = np.uint64(0x5EED0E4D00000001), np.uint64(0x5EED0E4D00000002)  # hashes that stand for the end and the begin of a text
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SCALARS = ["tokens", "words", "customers", "tables", "pairs_1", "pairs_2", "words_1", "words_2"]
 _GROUP = "bucket int, grp bigint, words binary, runs binary, ctx binary, doc binary, cnt binary, n_train int"
-_STATE = ("bucket int, path string, words binary, count binary, single binary, pair_word binary, pair_ctx binary, pair_count binary, "
-          "t binary, t1 binary, samples array<struct<t:binary,t1:binary>>, totals binary")
+_STATE = "bucket int, path string, seats string, samples array<string>, totals binary"
 _HEADS = "grp bigint, ids binary, lengths binary, missing binary, n_train int"
 _WORDS: dict[bytes, int] = {}
 
@@ -84,8 +84,9 @@ def sample_tables(count: np.ndarray, p: np.ndarray, others: np.ndarray, discount
     logp, start = np.log(np.maximum(p, 1e-300)), np.maximum(others, 0) * discount + strength
     for c in range(2, EXACT + 1):
         at = np.flatnonzero(count == c if c < EXACT else count >= c)
-        for cut in range(0, len(at), 200_000):
-            own = at[cut : cut + 200_000]
+        step = 500_000 // c  # so that a table of ways stays small
+        for cut in range(0, len(at), step):
+            own = at[cut : cut + step]
             ways = table[c, 1 : c + 1] + np.arange(1, c + 1) * logp[own][:, None]
             ways += np.cumsum(np.log(start[own][:, None] + discount * np.arange(c)), axis=1)
             ways = np.cumsum(np.exp(ways - ways.max(axis=1, keepdims=True)), axis=1)
@@ -104,9 +105,10 @@ def sample_tables(count: np.ndarray, p: np.ndarray, others: np.ndarray, discount
 
 
 def _hot_words(texts: DataFrame) -> tuple[np.ndarray, int]:
-    """Hashes of words that make up a thousandth of all or more, and about how many words there are.
+    """Hashes of words that would fill a quarter of a bucket or more, and how many words there are.
 
-    Only used to deal the work: any list gives the same counts. Counted on every 16th word of each text.
+    Only used to deal the work: any list gives the same counts. Counted on every 16th word of each text; a task reports
+    words that make up a hundred-thousandth of its own.
     """
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,16 +119,16 @@ def _hot_words(texts: DataFrame) -> tuple[np.ndarray, int]:
                 words = (text.as_py() or "").encode().lower().split()
                 total += len(words) + 1
                 seen.update(words[len(words) % 16 :: 16])
-            if len(seen) > 400_000:  # rare words can't reach a thousandth of a part
+            if len(seen) > 400_000:  # rare words are not reported
                 seen = Counter(dict(seen.most_common(50_000)))
-        often = [(w, n) for w, n in seen.most_common(2 * MAX_HOT) if n * 16 * 2000 >= total]
+        often = [(w, n) for w, n in seen.most_common(2 * MAX_HOT) if n * 16 * 100_000 >= total]
         hashes = np.array([_word(w) for w, _ in often], np.uint64).view(np.int64)
         yield pa.RecordBatch.from_arrays([pa.array([*hashes.tolist(), None], pa.int64()), pa.array([*(16 * n for _, n in often), total], pa.int64())], names=["word", "n"])
 
     found = texts.mapInArrow(local, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     total = found.filter("word IS NULL").first()
     total = total.n if total else 0
-    hot = found.filter(F.col("word").isNotNull() & (F.col("n") * 1000 >= total)).orderBy(F.col("n").desc(), "word").limit(MAX_HOT).collect()
+    hot = found.filter(F.col("word").isNotNull() & (F.col("n") * 4 >= BUCKET_TOKENS)).orderBy(F.col("n").desc(), "word").limit(MAX_HOT).collect()
     return np.sort(np.array([r.word for r in hot], np.int64).view(np.uint64)), total
 
 
@@ -239,73 +241,103 @@ def _dump(rows: list[dict]) -> bytes:
     return sink.getvalue()
 
 
+def _put(folder: str, name: str, data: bytes) -> None:
+    from pyarrow import fs
+
+    store, root = fs.FileSystem.from_uri(folder)
+    store.create_dir(root, recursive=True)
+    with store.open_output_stream(posixpath.join(root, name)) as out:
+        out.write(data)
+
+
+def _get(path: str) -> bytes:
+    from pyarrow import fs
+
+    store, name = fs.FileSystem.from_uri(path)
+    with store.open_input_stream(name) as f:
+        return f.read()
+
+
+def _put_arrays(folder: str, name: str, arrays: dict[str, np.ndarray]) -> None:
+    out = io.BytesIO()
+    np.savez(out, **arrays)
+    _put(folder, name, out.getvalue())
+
+
+def _arrays(path: str) -> dict[str, np.ndarray]:
+    with np.load(io.BytesIO(_get(path))) as held:
+        return {c: held[c] for c in held.files}
+
+
+def _attempt() -> str:
+    """Told apart by the attempt: a repeated task writes other files, and only the winner's row names its own."""
+    return str(TaskContext.get().taskAttemptId())
+
+
+_HEAD_TYPES = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int32()]
+_STATE_NAMES = ["bucket", "path", "seats", "samples", "totals"]
+_STATE_TYPES = [pa.int32(), pa.string(), pa.string(), pa.list_(pa.string()), pa.binary()]
+
+
 def _start(hot: np.ndarray, folder: str):
-    """The first state of each bucket, from its occurrences, which go to a file of the bucket in the shared folder.
+    """The first state of each bucket, from its occurrences; these, what never changes and the seating go to files.
 
-    Rows with the ids and lengths of texts pass through.
+    A bucket's row has only the files' names and its totals. Rows with the ids and lengths of texts pass through.
     """
-
-    def passed(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-        for row in rows:
-            values = [row["grp"], row["words"], row["runs"], row["ctx"], row["n_train"]]
-            types = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int32()]
-            state = [pa.array([-1], pa.int32()), *[pa.nulls(1, t) for t in _STATE_TYPES[1:]]]
-            yield pa.RecordBatch.from_arrays([*state, *[pa.array([v], t) for v, t in zip(values, types, strict=True)]], names=[*_STATE_NAMES, "grp", "ids", "lengths", "missing", "n_train"])
+    names = [*_STATE_NAMES, "grp", "ids", "lengths", "missing", "n_train"]
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
         for bucket, rows in _by_bucket(batches):
             if bucket < 0:
-                yield from passed(rows)
+                for row in rows:
+                    values = [row["grp"], row["words"], row["runs"], row["ctx"], row["n_train"]]
+                    heads = [pa.array([v], t) for v, t in zip(values, _HEAD_TYPES, strict=True)]
+                    yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), *[pa.nulls(1, t) for t in _STATE_TYPES[1:]], *heads], names=names)
                 continue
-            path = f"{folder}/bucket-{bucket}-{TaskContext.get().taskAttemptId()}.arrow"
-            store, root = fs.FileSystem.from_uri(folder)
-            store.create_dir(root, recursive=True)
-            with store.open_output_stream(posixpath.join(root, posixpath.basename(path))) as out:
-                out.write(_dump(rows))
+            path = f"bucket-{bucket}-{_attempt()}"
+            _put(folder, f"{path}.occurrences", _dump(rows))
             words = np.unique(np.concatenate([np.frombuffer(r["words"], np.uint64) for r in rows]))
             key, cnt = _pairs(rows, words)
             at, ctx = key >> 16, key & 0xFFFF
-            count = np.bincount(at, weights=cnt, minlength=len(words)).astype(np.int64)
-            single = np.bincount(at[cnt == 1], minlength=len(words))
-            many = cnt > 1
-            hot_at = np.isin(words, hot)
-            contexts = np.bincount(ctx, weights=cnt, minlength=CONTEXTS).astype(np.int64)
+            many, own = cnt > 1, ~np.isin(words, hot)
+            fixed = {
+                "words": words, "count": np.bincount(at, weights=cnt, minlength=len(words)).astype(np.int64),
+                "single": np.bincount(at[cnt == 1], minlength=len(words)), "pair_word": at[many].astype(np.int32),
+                "pair_ctx": ctx[many].astype(np.uint16), "pair_count": cnt[many],
+            }
+            _put_arrays(folder, f"{path}.fixed", fixed)
             spread = np.bincount(at, minlength=len(words))
-            own = ~hot_at & (count > 0)
-            scalars = [int(cnt.sum()), int(own.sum()), 0, 0, int((cnt == 1).sum()), int((cnt == 2).sum()), int((spread[own] == 1).sum()), int((spread[own] == 2).sum())]
-            pair_word, pair_ctx, pair_count = at[many].astype(np.int32), ctx[many].astype(np.uint16), cnt[many]
-            t = np.ones(len(pair_word), np.int64)
-            state = _state_row(bucket, path, words, count, single, pair_word, pair_ctx, pair_count, t, np.ones(len(words), np.int64), [], hot, contexts, scalars, key, cnt)
-            heads = [pa.nulls(1, t) for t in (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int32())]
-            yield pa.RecordBatch.from_arrays([*state.columns, *heads], names=[*_STATE_NAMES, "grp", "ids", "lengths", "missing", "n_train"])
+            own &= fixed["count"] > 0
+            scalars = [int(cnt.sum()), int(own.sum()), 0, 0, int((cnt == 1).sum()), int(many.sum() and (cnt == 2).sum()), int((spread[own] == 1).sum()), int((spread[own] == 2).sum())]
+            first = [np.bincount(ctx, weights=cnt, minlength=CONTEXTS), np.bincount(ctx[cnt == 1], minlength=CONTEXTS)]
+            seats = {"t": np.ones(len(fixed["pair_word"]), np.int32), "t1": np.ones(len(words), np.int32)}
+            state = _state_row(bucket, f"{folder}/{path}", fixed, seats, [], hot, first, scalars)
+            yield pa.RecordBatch.from_arrays([*state.columns, *[pa.nulls(1, t) for t in _HEAD_TYPES]], names=names)
 
     return start
 
 
-_STATE_NAMES = ["bucket", "path", "words", "count", "single", "pair_word", "pair_ctx", "pair_count", "t", "t1", "samples", "totals"]
-_STATE_TYPES = [pa.int32(), pa.string(), *[pa.binary()] * 8, pa.list_(pa.struct([("t", pa.binary()), ("t1", pa.binary())])), pa.binary()]
-
-
-def _state_row(bucket, path, words, count, single, pair_word, pair_ctx, pair_count, t, t1, samples, hot, contexts, scalars, key=None, cnt=None) -> pa.RecordBatch:
-    """A bucket's state with the totals to be summed over buckets.
+def _state_row(bucket: int, path: str, fixed: dict, seats: dict, samples: list[str], hot: np.ndarray, first: list[np.ndarray], scalars: list[int], keep: bool = False) -> pa.RecordBatch:
+    """A bucket's row; its seating goes to a file, which becomes one of the samples if it is to be kept.
 
-    Totals: customers of each context (in the first state only), tables of each context with several customers a table may
-    hold, tables with one, and for each hot word its customers in the parent and its count; then the scalars.
+    Totals to be summed over buckets: customers of each context and its tables with one customer (in the first state only), its
+    other tables, for each hot word its customers in the parent and its count, and the scalars.
     """
-    tables = np.bincount(pair_ctx, weights=t, minlength=CONTEXTS).astype(np.int64)
-    alone = np.bincount((key & 0xFFFF)[cnt == 1], minlength=CONTEXTS) if key is not None else np.zeros(CONTEXTS, np.int64)
-    customers = single + np.bincount(pair_word, weights=t, minlength=len(words)).astype(np.int64)
-    is_hot = np.isin(words, hot)
-    place = np.searchsorted(hot, words[is_hot])
+    folder, name = posixpath.split(path)
+    seating = f"{name}.seats-{_attempt()}"
+    _put_arrays(folder, seating, seats)
+    n = len(fixed["words"])
+    tables = np.bincount(fixed["pair_ctx"], weights=seats["t"], minlength=CONTEXTS)
+    customers = fixed["single"] + np.bincount(fixed["pair_word"], weights=seats["t"], minlength=n).astype(np.int64)
+    is_hot = np.isin(fixed["words"], hot)
+    place = np.searchsorted(hot, fixed["words"][is_hot])
     hot_customers, hot_count = np.zeros(len(hot), np.int64), np.zeros(len(hot), np.int64)
-    hot_customers[place], hot_count[place] = customers[is_hot], count[is_hot]
+    hot_customers[place], hot_count[place] = customers[is_hot], fixed["count"][is_hot]
     own = ~is_hot & (customers > 0)
-    scalars = [*scalars[:2], int(customers[own].sum()), int(t1[own].sum()), *scalars[4:]]
-    totals = np.concatenate([contexts, tables, alone, hot_customers, hot_count, np.array(scalars, np.int64)]).astype(np.int64)
-    values = [bucket, path, words.astype(np.uint64).tobytes(), count.astype(np.int64).tobytes(), single.astype(np.int64).tobytes(), pair_word.astype(np.int32).tobytes(), pair_ctx.astype(np.uint16).tobytes(),
-              pair_count.astype(np.int64).tobytes(), t.astype(np.int32).tobytes(), t1.astype(np.int32).tobytes(), samples, totals.tobytes()]
+    scalars = [*scalars[:2], int(customers[own].sum()), int(seats["t1"][own].sum()), *scalars[4:]]
+    totals = np.concatenate([first[0], tables, first[1], hot_customers, hot_count, np.array(scalars)]).astype(np.int64)
+    kept = [*samples, f"{folder}/{seating}"] if keep else samples
+    values = [bucket, path, f"{folder}/{seating}", kept, totals.tobytes()]
     return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _STATE_TYPES, strict=True)], names=_STATE_NAMES)
 
 
@@ -354,30 +386,23 @@ class _Globals:
         return (customers - self.discount_1 * tables + (self.strength + self.discount_1 * self.all_tables) * self.uniform) / (self.strength + self.all_customers)
 
 
-_FIELDS = {"words": np.uint64, "count": np.int64, "single": np.int64, "pair_word": np.int32, "pair_ctx": np.uint16, "pair_count": np.int64, "t": np.int32, "t1": np.int32}
-
-
-def _arrays(row: dict) -> dict[str, np.ndarray]:
-    return {c: np.frombuffer(row[c], kind) for c, kind in _FIELDS.items()}
-
-
 def _sweep(sent, number: int, seed: int, keep: bool):
     """One Gibbs sweep over a bucket's words; keep: its seating becomes one of the samples."""
 
     def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g: _Globals = sent.value
+        none = [np.zeros(CONTEXTS, np.int64)] * 2
         for batch in batches:
             for row in batch.to_pylist():
-                a = _arrays(row)
+                a, old = _arrays(f"{row['path']}.fixed"), _arrays(row["seats"])
                 rng = np.random.default_rng([seed, number, row["bucket"]])
                 seen = lambda t: a["single"] + np.bincount(a["pair_word"], weights=t, minlength=len(a["words"])).astype(np.int64)  # noqa: B023, E731
-                p = g.parent(a["words"], seen(a["t"]), a["t1"])
-                t = sample_tables(a["pair_count"], p[a["pair_word"]], g.tables[a["pair_ctx"]] - a["t"], g.discount, g.strength, rng)
+                p = g.parent(a["words"], seen(old["t"]), old["t1"])
+                t = sample_tables(a["pair_count"], p[a["pair_word"]], g.tables[a["pair_ctx"]] - old["t"], g.discount, g.strength, rng)
                 customers = seen(t)
-                t1 = sample_tables(customers, np.full(len(customers), g.uniform), g.all_tables - a["t1"].astype(np.int64), g.discount_1, g.strength, rng)
-                samples = [*row["samples"], *([{"t": t.astype(np.int32).tobytes(), "t1": t1.astype(np.int32).tobytes()}] if keep else [])]
-                yield _state_row(row["bucket"], row["path"], a["words"], a["count"], a["single"], a["pair_word"], a["pair_ctx"], a["pair_count"], t, t1, samples,
-                                 g.hot, np.zeros(CONTEXTS, np.int64), [0] * len(_SCALARS))
+                t1 = sample_tables(customers, np.full(len(customers), g.uniform), g.all_tables - old["t1"].astype(np.int64), g.discount_1, g.strength, rng)
+                seats = {"t": t.astype(np.int32), "t1": t1.astype(np.int32)}
+                yield _state_row(row["bucket"], row["path"], a, seats, row["samples"], g.hot, none, [0] * len(_SCALARS), keep)
 
     return sweep
 
@@ -386,16 +411,12 @@ def _score(sent):
     """Per group and text with words in a bucket: the sums of its log probabilities and its number of known tokens."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
         samples: list[_Globals] = sent.value
         g = samples[0]
         for batch in batches:
             for row in batch.to_pylist():
-                a = _arrays(row)
-                store, name = fs.FileSystem.from_uri(row["path"])
-                with store.open_input_file(name) as f:
-                    rows = pa.ipc.open_file(f).read_all().to_pylist()
+                a = _arrays(f"{row['path']}.fixed")
+                rows = pa.ipc.open_file(pa.BufferReader(_get(f"{row['path']}.occurrences"))).read_all().to_pylist()
                 words, n_words = a["words"], len(a["words"])
                 count = a["count"].copy()
                 if len(g.hot):
@@ -406,9 +427,10 @@ def _score(sent):
                 pair_key = (a["pair_word"].astype(np.int64) << 16) | a["pair_ctx"]
                 keys, cnts = _pairs(rows, words)
                 single_key = keys[cnts == 1]
-                seats = [np.frombuffer(s["t"], np.int32) for s in row["samples"]]
-                parents = [s_g.parent(words, a["single"] + np.bincount(a["pair_word"], weights=t, minlength=n_words).astype(np.int64), np.frombuffer(s["t1"], np.int32))
-                           for s_g, s, t in zip(samples, row["samples"], seats, strict=True)]
+                held = [_arrays(path) for path in row["samples"]]
+                seats = [h["t"] for h in held]
+                parents = [s_g.parent(words, a["single"] + np.bincount(a["pair_word"], weights=t, minlength=n_words).astype(np.int64), h["t1"])
+                           for s_g, h, t in zip(samples, held, seats, strict=True)]
                 for r in rows:
                     own, runs, ctx, doc, cnt = _occurrences(r)
                     w = np.repeat(np.searchsorted(words, own), runs)
@@ -494,16 +516,17 @@ def score_texts(docs: DataFrame, train: Column, burn_in: int = 2, samples: int =
     state = begun.filter("bucket >= 0").select(*_STATE_NAMES)
     if state.isEmpty():
         return spark.createDataFrame([], "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
+    spread = lambda df: df.select("bucket", "path", "seats", "samples").repartition(buckets, "bucket")  # noqa: E731  a row stands for files
     first = now = _Globals(_summed(state, stage), hot, None, seed)
     kept: list[_Globals] = []
     for number in range(burn_in + samples):
         sent = spark.sparkContext.broadcast(now)
-        state = stage.write(state.mapInArrow(_sweep(sent, number, seed, number >= burn_in), _STATE), "restaurants")
+        state = stage.write(spread(state).mapInArrow(_sweep(sent, number, seed, number >= burn_in), _STATE), "restaurants")
         now = _Globals(_summed(state, stage), hot, now, seed + number)
         if number >= burn_in:
             kept.append(now)
         sent.unpersist()
-    parts = state.mapInArrow(_score(spark.sparkContext.broadcast(kept)), "grp bigint, doc binary, score binary, base binary, known binary")
+    parts = spread(state).mapInArrow(_score(spark.sparkContext.broadcast(kept)), "grp bigint, doc binary, score binary, base binary, known binary")
     null = F.lit(None).cast("binary")
     both = parts.select("grp", null.alias("ids"), null.alias("lengths"), null.alias("missing"), F.lit(0).alias("n_train"), "doc", "score", "base", "known")
     both = heads.select("*", *[null.alias(c) for c in ("doc", "score", "base", "known")]).unionByName(both)
