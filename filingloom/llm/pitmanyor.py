@@ -35,7 +35,7 @@ from filingloom.sources.snapshots import new_path
 
 CONTEXTS = 1 << 16
 MAX_HOT = 1 << 16
-BUCKET_TOKENS = 2_000_000
+BUCKET_TOKENS = 3_000_000
 GROUP_TOKENS = 500_000
 GROUP_DOCS = 60_000
 EXACT = 32
@@ -407,6 +407,9 @@ def _sweep(sent, number: int, seed: int, keep: bool):
     return sweep
 
 
+_SUMS = {"score": np.float32, "base": np.float64, "known": np.uint32}  # what a bucket sends for a text
+
+
 def _score(sent):
     """Per group and text with words in a bucket: the sums of its log probabilities and its number of known tokens."""
 
@@ -447,7 +450,7 @@ def _score(sent):
                         total += (c - s_g.discount * tables + (s_g.strength + s_g.discount * s_g.tables[ctx]) * p[w]) / (s_g.strength + s_g.customers[ctx])
                     logs = np.log10(total / len(samples)) * cnt
                     texts = np.flatnonzero(np.bincount(doc))
-                    sums = [np.bincount(doc, weights=v)[texts] for v in (logs, base[w] * cnt, (count[w] > 0) * cnt)]
+                    sums = [np.bincount(doc, weights=v)[texts].astype(kind) for v, kind in zip((logs, base[w] * cnt, (count[w] > 0) * cnt), _SUMS.values(), strict=True)]
                     yield pa.RecordBatch.from_arrays([pa.array([r["grp"]], pa.int64()), pa.array([texts.astype(np.uint16).tobytes()], pa.binary()), *[pa.array([v.tobytes()], pa.binary()) for v in sums]],
                                                      names=["grp", "doc", "score", "base", "known"])
 
@@ -472,8 +475,8 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 head, sums = row, np.zeros((3, len(row["ids"]) // 8))
             else:
                 at = np.frombuffer(row["doc"], np.uint16)
-                for k, c in enumerate(("score", "base", "known")):
-                    sums[k, at] += np.frombuffer(row[c], float)
+                for k, (c, kind) in enumerate(_SUMS.items()):
+                    sums[k, at] += np.frombuffer(row[c], kind)
     if head is not None:
         yield done(head, sums)
 
