@@ -210,6 +210,23 @@ def test_scores(spark, sf_dir, monkeypatch, small):
     assert score_texts(docs.limit(2), F.lit(False)).filter("base_score <> 0").count() == 0
 
 
+def test_each_context_has_its_own_restaurant(spark):
+    """Two words whose hashes agree in the 16 bits that once chose a restaurant; what follows them is told apart all the same."""
+    seen, pair = {}, None
+    for k in range(5_000):
+        word = f"w{k}"
+        short = (pitmanyor._word(word.encode()) * 0x9E3779B97F4A7C15 & (2**64 - 1)) >> 48
+        if short in seen:
+            pair = (seen[short], word)
+            break
+        seen[short] = word
+    rows = [(i, f"{pair[i % 2]} {'ab'[i % 2]}", True) for i in range(2_000)] + [(5_000, f"{pair[0]} a", False), (5_001, f"{pair[1]} a", False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(3)
+    score = {r.doc_id: r.score for r in score_texts(docs, F.col("train")).filter("doc_id >= 5000").collect()}
+    assert -0.32 < score[5_000] < -0.29  # a half for the first word; then it is nearly certain
+    assert score[5_001] < -2
+
+
 def test_seating_has_the_right_mean():
     """A dish alone in its restaurant, with p = 1: the mean number of tables of the two-parameter process."""
     rng = np.random.default_rng(0)
