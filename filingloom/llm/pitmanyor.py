@@ -110,7 +110,7 @@ def sample_tables(count: np.ndarray, p: np.ndarray, others: np.ndarray, discount
 
 
 def _hot_words(texts: DataFrame) -> tuple[np.ndarray, int]:
-    """Hashes of words that would fill a quarter of a bucket or more, and how many words there are.
+    """Hashes of words that would fill a quarter of a bucket or more, the end among them, and how many words there are.
 
     Only used to deal the work: any list gives the same counts. Counted on every 16th word of each text; a task reports
     words that make up a hundred-thousandth of its own.
@@ -118,17 +118,18 @@ def _hot_words(texts: DataFrame) -> tuple[np.ndarray, int]:
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
-        total = 0
+        total = ends = 0
         for batch in batches:
             for text in batch.column(0):
                 words = (text.as_py() or "").encode().lower().split()
                 total += len(words) + 1
+                ends += 1
                 seen.update(words[len(words) % 16 :: 16])
             if len(seen) > 400_000:  # rare words are not reported
                 seen = Counter(dict(seen.most_common(50_000)))
         often = [(w, n) for w, n in seen.most_common(2 * MAX_HOT) if n * 16 * 100_000 >= total]
         hashes = np.array([_word(w) for w, _ in often], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([*hashes.tolist(), None], pa.int64()), pa.array([*(16 * n for _, n in often), total], pa.int64())], names=["word", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([*hashes.tolist(), int(_END), None], pa.int64()), pa.array([*(16 * n for _, n in often), ends, total], pa.int64())], names=["word", "n"])
 
     found = texts.mapInArrow(local, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     total = found.filter("word IS NULL").first()

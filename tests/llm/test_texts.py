@@ -227,6 +227,23 @@ def test_each_context_has_its_own_restaurant(spark):
     assert score[5_001] < -2
 
 
+def test_no_bucket_grows_with_the_number_of_texts(spark, tmp_path, monkeypatch):
+    """The end is dealt by context like other hot words, and a pair that stands in every text is one entry a group."""
+    monkeypatch.setattr(pitmanyor, "BUCKET_TOKENS", 1_000)
+    docs = spark.createDataFrame([(i, f"common last{i}", True) for i in range(4_000)], "doc_id long, text string, train boolean").repartition(2)
+    hot, total = pitmanyor._hot_words(docs.select("text"))
+    assert total == 12_000 and pitmanyor._END in hot
+    rows = docs.mapInArrow(pitmanyor._gather(hot, 12, f"file://{tmp_path}"), pitmanyor._ROW).filter("bucket >= 0").collect()
+    ends, common = Counter(), []
+    for r in rows:
+        sent = pitmanyor._unpack(bytes(r.data))
+        word = np.repeat(sent["words"], sent["runs"])
+        ends[r.bucket] += int((word == pitmanyor._END).sum())
+        common += sent["cnt"][word == pitmanyor._word(b"common")].tolist()
+    assert sum(ends.values()) == 4_000 and max(ends.values()) < 600
+    assert len(common) == 2 and sum(common) == 4_000
+
+
 def test_seating_has_the_right_mean():
     """A dish alone in its restaurant, with p = 1: the mean number of tables of the two-parameter process."""
     rng = np.random.default_rng(0)
