@@ -1,8 +1,8 @@
 """Personal data, and the words that give it away, in built-in expressions only.
 
-Patterns find the protected entities: e-mail and IP addresses, card and phone numbers. How much a word near one
-discloses is estimated from the whole corpus: with N documents, n(e) that hold entity e, n(t) that hold word t and
-n(e,t) in which t stands near e, the pointwise mutual information is log(N n(e,t) / (n(e) n(t))), and its share of
+Patterns find the protected entities: e-mail and IP addresses, card and phone numbers. How much a word in a document
+with one discloses is estimated from the whole corpus: with N documents, n(e) that hold entity e, n(t) that hold word t and
+n(e,t) that hold both, the pointwise mutual information is log(N n(e,t) / (n(e) n(t))), and its share of
 the information content log(N / n(e)) is what a reader of t learns of e. Words above one threshold are
 generalised and above another removed.
 """
@@ -24,20 +24,18 @@ KINDS: dict[str, str] = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 NAMES = list(KINDS)
-TERM = r"(?<!\S)\p{L}{4,}(?=[.,;:!?]?(?!\S))"
-CONTEXT = 80  # code points looked at on each side of an entity
-_HIT = "struct<kind:int,i:int,gap:bigint,size:bigint,value:string,before:string,after:string>"
+TERM = r"[\p{L}\p{M}\p{N}]++(?:[-'\u2019][\p{L}\p{M}\p{N}]++)*+"
+MANY_DIGITS = r"(?<![0-9])[0-9](?:[\x20-]?+[0-9]){12}"  # in every card number
+_HIT = "struct<kind:int,i:int,gap:bigint,size:bigint,value:string>"
 
 
 def _hits(text: Column, kind: int) -> Column:
-    """All matches of a kind, each with the length of the text since the one before, and the text around it."""
+    """All matches of a kind, each with the length of the text since the one before."""
     pattern = F.lit(list(KINDS.values())[kind])
     found, gaps = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, list(KINDS.values())[kind], -1)
-    zipped = F.arrays_zip(found.alias("m"), F.slice(gaps, F.lit(1), F.size(found)).alias("g"), F.slice(gaps, F.lit(2), F.size(found)).alias("h"))
+    zipped = F.arrays_zip(found.alias("m"), F.slice(gaps, F.lit(1), F.size(found)).alias("g"))
     hit = lambda x, i: F.struct(
-        F.lit(kind).alias("kind"), i.cast("int").alias("i"), F.length(x["g"]).cast("bigint").alias("gap"), F.length(x["m"]).cast("bigint").alias("size"), x["m"].alias("value"),
-        F.when(F.length(x["g"]) > CONTEXT, F.regexp_replace(F.substring(x["g"], -CONTEXT, CONTEXT), r"^\S+", "")).otherwise(x["g"]).alias("before"),
-        F.when(F.length(x["h"]) > CONTEXT, F.regexp_replace(F.substring(x["h"], 1, CONTEXT), r"\S+$", "")).otherwise(x["h"]).alias("after"))
+        F.lit(kind).alias("kind"), i.cast("int").alias("i"), F.length(x["g"]).cast("bigint").alias("gap"), F.length(x["m"]).cast("bigint").alias("size"), x["m"].alias("value"))
     return F.when(text.rlike(list(KINDS.values())[kind]), F.transform(zipped, hit)).otherwise(F.array().cast(f"array<{_HIT}>"))
 
 
@@ -54,60 +52,80 @@ def _valid(kind: Column, value: Column) -> Column:
             .when(kind == NAMES.index("phone"), n.between(9, 15)).otherwise(True))
 
 
-def _terms(context: Column, first: Column, text: Column) -> Column:
-    """Words in a context, with their places; a context holds at most CONTEXT code points."""
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
+
+
+def _words(held: DataFrame, base: DataFrame) -> DataFrame:
+    """row, term, start and end of all words that share no character with an entity."""
+    text = F.col("text")
     found, gaps = F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.split(text, TERM, -1)
-    step = lambda acc, x: F.struct(
-        (acc["at"] + F.length(x["g"]) + F.length(x["m"])).alias("at"),
-        F.array_append(acc["all"], F.struct(F.lower(x["m"]).alias("term"), (acc["at"] + F.length(x["g"])).alias("start"), (acc["at"] + F.length(x["g"]) + F.length(x["m"])).alias("end"))).alias("all"))
     zipped = F.arrays_zip(found.alias("m"), F.slice(gaps, F.lit(1), F.size(found)).alias("g"))
-    start = F.struct(first.cast("bigint").alias("at"), F.array().cast("array<struct<term:string,start:bigint,end:bigint>>").alias("all"))
-    return F.aggregate(zipped, start, step, lambda acc: acc["all"])
+    size = lambda x: F.struct(F.lower(x["m"]).alias("term"), F.length(x["m"]).cast("bigint").alias("size"), F.length(x["g"]).cast("bigint").alias("gap"))
+    words = held.select("row", F.posexplode(F.transform(zipped, size)).alias("i", "w")).select("row", "i", "w.*")
+    words = words.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("row").orderBy("i"))).withColumn("start", F.col("end") - F.col("size"))
+    both = words.select("row", "term", "start", "end").unionByName(base.select("row", F.lit(None).cast("string").alias("term"), "start", "end"))
+    so_far = lambda *order: Window.partitionBy("row").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    entity = F.col("term").isNull()
+    both = both.withColumn("before", F.max(F.when(entity, F.col("end"))).over(so_far(F.col("start"), F.col("term").isNotNull())))
+    both = both.withColumn("after", F.min(F.when(entity, F.col("start"))).over(so_far(F.col("start").desc(), F.col("term").isNotNull())))
+    free = (F.coalesce("before", F.lit(0)) <= F.col("start")) & (F.coalesce("after", F.col("end")) >= F.col("end"))
+    return both.filter(~entity & free).select("row", "term", "start", "end")
 
 
 def find_private(docs: DataFrame, generalise: float = 0.6, remove: float = 0.9, support: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: row (a number of the row), doc_id and spans, sorted by kind and place; columns row, doc_id, text, spans.
 
     A span has kind (0 to 3 as listed in KINDS; 4: word to generalise, 5: word to remove), start and end in code points.
-    Words are whole tokens of four letters or more within CONTEXT code points of an entity, that stand near it in at least
-    support documents. generalise, remove: least share of an entity's information that a word discloses. A word in a document
-    counts near the entities of that document only. A null or empty text has no spans. Each row counts as a document of its
-    own, whatever its id.
+    Words are runs of letters and digits, with single hyphens or apostrophes inside, that share no character with an entity; all
+    in a document with an entity count, and every place of a word that discloses one is marked. A word must be in at least
+    support documents with an entity that is in so many; for an entity in fewer, in all of them. generalise, remove: least
+    share of an entity's information that a word discloses. A word in a document counts with the entities of that document
+    only. A null or empty text has no spans. Each row counts as a document of its own, whatever its id.
     """
     stage = Stage(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    found = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), text.alias("text"))
-    found = found.select("row", "doc_id", F.concat(*[_hits(F.col("text"), k) for k in range(len(NAMES))]).alias("hits"))
+    maybe = text.rlike(MANY_DIGITS)
+    for name in ("email", "ip", "phone"):
+        maybe = maybe | text.rlike(KINDS[name])
+    all_hits = F.concat(*[_hits(text, k) for k in range(len(NAMES))])
+    found = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.when(maybe, text).alias("text"), all_hits.alias("hits"))
     found = stage.write(found, "private-hits")
+    total = float(max(found.count(), 1))
     hits = found.select("row", F.explode("hits").alias("h")).select("row", "h.*")
     before = Window.partitionBy("row", "kind").orderBy("i")
     end = F.sum(F.col("gap") + F.col("size")).over(before)
     base = hits.withColumn("end", end).withColumn("start", F.col("end") - F.col("size")).filter(_valid(F.col("kind"), F.col("value")))
     value = F.when(F.col("kind") == 0, F.lower("value")).when(F.col("kind") == 1, F.col("value")).otherwise(F.regexp_replace("value", "[^0-9]", ""))
-    base = stage.write(base.withColumn("entity", F.sha2(F.concat_ws(":", "kind", value), 256)).select("row", "kind", "start", "end", "entity", "before", "after"), "private-base")
-
-    # a mark beyond the context keeps a word that touches the entity from counting as a whole token
-    left = _terms(F.col("before"), F.col("start") - F.length("before"), F.concat("before", F.lit("@")))
-    right = _terms(F.col("after"), F.col("end") - 1, F.concat(F.lit("@"), F.col("after")))
-    near = base.select("row", "entity", F.explode(F.concat(left, right)).alias("t")).select("row", "entity", "t.*")
-    near = stage.write(near, "private-near")
-    together = near.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= support)
-    together = stage.write(together, "private-together")
-    entities = base.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))).alias("term"))
-    terms = words.groupBy("term").agg(F.count("*").alias("n_t")).join(together.select("term").distinct(), "term", "left_semi")
-    total = found.count()
-    known = stage.write(entities, "private-entities")
-    content = F.log(F.lit(float(max(total, 1))) / F.col("n_e"))
+    base = stage.write(base.withColumn("entity", F.sha2(F.concat_ws(":", "kind", value), 256)).select("row", "kind", "start", "end", "entity"), "private-base")
+    words = stage.write(_words(found.filter("text IS NOT NULL"), base), "private-words")
+
+    held = base.select("row", "entity").distinct()
+    entities = held.groupBy("entity").agg(F.count("*").alias("n_e")).withColumn("e", F.monotonically_increasing_id())
+    held = stage.write(held.join(stage.write(entities, "private-entities"), "entity").select("row", "e", "n_e"), "private-held")
+    own = words.select("row", "term").distinct()
+    # of texts that may hold an entity only the words outside of entities count
+    inside = found.filter("text IS NOT NULL").select(F.explode(_terms(F.col("text"))).alias("term"), F.lit(-1).alias("n"))
+    everywhere = docs.select(F.explode(_terms(text)).alias("term"), F.lit(1).alias("n")).unionByName(inside).unionByName(own.select("term", F.lit(1).alias("n")))
+    terms = everywhere.groupBy("term").agg(F.sum("n").alias("n_t")).join(words.select("term").distinct(), "term", "left_semi")
+    own = stage.write(own.join(terms, "term").select("row", "term", "n_t"), "private-own")
+
+    content = F.log(F.lit(total) / F.col("n_e"))
     share = F.when(content > 0, 1 + F.log(F.least(F.col("n_et") / F.col("n_t"), F.lit(1.0))) / content).otherwise(0.0)
-    telling = together.join(terms, "term").join(known, "entity").withColumn("share", share).filter(F.col("share") >= generalise).select("entity", "term", "share")
-    telling = stage.write(telling, "private-telling")
-    added = near.join(telling, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("share").alias("share"))
-    added = added.select("row", F.when(F.col("share") >= remove, 5).otherwise(4).alias("kind"), "start", "end")
+    # an entity of one document has each of its words once, so all such entities of a document make one
+    once = own.join(held.filter("n_e = 1").select("row").distinct(), "row").withColumns({"n_e": F.lit(1), "n_et": F.lit(1)})
+    once = once.select("row", "term", share.alias("share")).filter(F.col("share") >= generalise)
+    # no word in more documents than that can reach the share, even if it is in all documents with the entity
+    most = F.col("n_e") * F.pow(F.lit(total) / F.col("n_e"), F.lit(1.0 - generalise)) * (1 + 1e-9)
+    pairs = stage.write(held.filter("n_e > 1").join(own, "row").filter(F.col("n_t") <= most), "private-pairs")
+    together = pairs.groupBy("e", "term").agg(F.count("*").alias("n_et"), F.max("n_e").alias("n_e"), F.max("n_t").alias("n_t"))
+    together = together.filter(F.col("n_et") >= F.least(F.lit(support), F.col("n_e")))
+    telling = stage.write(together.withColumn("share", share).filter(F.col("share") >= generalise).select("e", "term", "share"), "private-telling")
+    marked = pairs.join(telling, ["e", "term"]).select("row", "term", "share").unionByName(once).groupBy("row", "term").agg(F.max("share").alias("share"))
+    added = words.join(marked, ["row", "term"]).select("row", F.when(F.col("share") >= remove, 5).otherwise(4).alias("kind"), "start", "end")
     spans = base.select("row", "kind", "start", "end").unionByName(added).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("spans"))
     empty = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")
-    out = found.select("row", "doc_id").join(spans, "row", "left").select("row", "doc_id", F.coalesce("spans", empty).alias("spans"))
-    return out
+    return found.select("row", "doc_id").join(spans, "row", "left").select("row", "doc_id", F.coalesce("spans", empty).alias("spans"))
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **thresholds) -> DataFrame:

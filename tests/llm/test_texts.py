@@ -180,6 +180,18 @@ def test_words_that_disclose(spark):
     assert sanitise(overlap).first().text == "call [PHONE][CARD] now \U0001f600 [IP]" or "1111" not in sanitise(overlap).first().text
 
 
+def test_words_that_disclose_are_found_anywhere(spark):
+    """Far from the entity, at every place, in quotes, short or with digits, and for an entity of one document."""
+    far = "common words everywhere plain text " * 20
+    text = f"Zarathust ({far}) 'Qu7-x' a.b@example.org {far} \"Zarathust\" Ono example"
+    rows = [(1, text), (2, "Zarathust without one"), (3, "example of others")] + [(100 + i, f"{far} example ono") for i in range(200)]
+    found = {r.doc_id: [(s.kind, rows[0][1][s.start : s.end]) for s in r.spans] for r in find_private(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    share = lambda n_t: 1 - math.log(n_t) / math.log(len(rows))
+    assert share(2) < 0.9 < share(1) and share(201) < 0.6
+    assert found.pop(1) == [(0, "a.b@example.org"), (4, "Zarathust"), (4, "Zarathust"), (5, "Qu7-x")]
+    assert not any(found.values())
+
+
 def is_train(i):
     return zlib.crc32(str(i).encode()) % 7 != 2
 
