@@ -7,16 +7,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from filingloom.session import local_session  # noqa: E402
 
-DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, "filingloom-tests", "6g")
     yield session
     session.stop()
-
-
-def rows(df, *columns):
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

@@ -1,4 +1,4 @@
-from conftest import rows
+from support import rows
 
 from filingloom.operators.checks import check, check_mart
 from filingloom.sources.tables import MART, Table, conform, empty_mart

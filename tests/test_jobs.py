@@ -1,7 +1,7 @@
 """The jobs on hand-made filings: results, constraints, reruns."""
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from filingloom.operators.checks import check_mart

@@ -4,7 +4,7 @@ from collections import Counter
 
 import duckdb
 import pytest
-from conftest import DATA
+from support import DATA
 
 from filingloom.catalog import QUERIES
 from filingloom.oracle import SQL

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from support import rows
 
 from filingloom.operators import resolve
 

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import rows
+from support import rows
 
 from filingloom.sources import snapshots
 from filingloom.sources.tables import RAW, raw_schema, read_master, read_raw
