@@ -12,6 +12,13 @@ from filingloom.llm.privacy import op6_private_spans
 from filingloom.llm.records import op1_token_records
 from filingloom.llm.rules import OP7_SQL, op7_quality_rules
 from filingloom.llm.search import OP4_SQL, op4_exact_top_k
+from filingloom.llm.turns import op12_repair_turns
 
-QUERIES = {f.__name__: f for f in (op1_token_records, op2_language_id, op3_jaccard_join, op4_exact_top_k, op5_best_fit_packing, op6_private_spans, op7_quality_rules, op8_line_dedup, op9_mixing_sources, op10_pitman_yor_score)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_records, op2_language_id, op3_jaccard_join, op4_exact_top_k, op5_best_fit_packing, op6_private_spans, op7_quality_rules,
+        op8_line_dedup, op9_mixing_sources, op10_pitman_yor_score, op12_repair_turns,
+    )
+}
 SQL = {"op4_exact_top_k": OP4_SQL, "op7_quality_rules": OP7_SQL, "op8_line_dedup": OP8_SQL, "op9_mixing_sources": OP9_SQL}
