@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from filingloom.llm.jaccard import op3_jaccard_join
+from filingloom.llm.hyperminhash import OP11_SQL, op11_hyperminhash_dedup
+from filingloom.llm.jaccard import OP3_SQL, op3_jaccard_join
 from filingloom.llm.language import op2_language_id
 from filingloom.llm.lines import OP8_SQL, op8_line_dedup
 from filingloom.llm.mixing import OP9_SQL, op9_mixing_sources
+from filingloom.llm.negatives import OP13_SQL, op13_hard_negatives
 from filingloom.llm.packing import op5_best_fit_packing
 from filingloom.llm.pitmanyor import op10_pitman_yor_score
 from filingloom.llm.privacy import op6_private_spans
@@ -18,7 +20,10 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_token_records, op2_language_id, op3_jaccard_join, op4_exact_top_k, op5_best_fit_packing, op6_private_spans, op7_quality_rules,
-        op8_line_dedup, op9_mixing_sources, op10_pitman_yor_score, op12_repair_turns,
+        op8_line_dedup, op9_mixing_sources, op10_pitman_yor_score, op11_hyperminhash_dedup, op12_repair_turns, op13_hard_negatives,
     )
 }
-SQL = {"op4_exact_top_k": OP4_SQL, "op7_quality_rules": OP7_SQL, "op8_line_dedup": OP8_SQL, "op9_mixing_sources": OP9_SQL}
+SQL = {
+    "op3_jaccard_join": OP3_SQL, "op4_exact_top_k": OP4_SQL, "op7_quality_rules": OP7_SQL, "op8_line_dedup": OP8_SQL,
+    "op9_mixing_sources": OP9_SQL, "op11_hyperminhash_dedup": OP11_SQL, "op13_hard_negatives": OP13_SQL,
+}

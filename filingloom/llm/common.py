@@ -49,15 +49,15 @@ class Stage:
         write_snapshot(df, path)
         self.paths[name] = path
         if old:
-            self._delete(old)
+            self.delete(old)
         return read_snapshot(self.spark, path, df.schema)
 
     def release(self, *names: str) -> None:
         for name in names:
             if path := self.paths.pop(name, None):
-                self._delete(path)
+                self.delete(path)
 
-    def _delete(self, path: str) -> None:
+    def delete(self, path: str) -> None:
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 

@@ -27,6 +27,7 @@ from pyspark.sql.window import Window
 
 from filingloom.llm.common import Stage, documents, free_name
 from filingloom.llm.components import components
+from filingloom.llm.near_sql import near_copies_sql
 
 MAX_LIGHT = 24  # sets below this size are sent whole, so that any smaller boundary can be chosen
 BITS = 1024  # of a set's bit map
@@ -376,3 +377,8 @@ def one_of_each_group(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size of each document's set of three-word shingles, and its component at a similarity of 0.9."""
     return similar_documents(documents(spark, sf_dir), k=3, num=90, den=100).select("doc_id", "n_shingles", "component_id", "node")
+
+
+OP3_SQL = f"""{near_copies_sql(3, 90)}
+SELECT doc_id, n_shingles, component_id, node FROM found
+"""

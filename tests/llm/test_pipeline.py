@@ -3,9 +3,8 @@
 from collections import Counter
 
 import corpus_pipeline
+from plain_text import closest, kept_lines, plain_measures
 from pyspark.sql import functions as F
-from test_groups import closest, kept_lines
-from test_texts import plain_measures
 
 from filingloom.llm.mixing import WEIGHTS, mix_sources
 from filingloom.llm.rules import MEASURES, POLICIES, RULES

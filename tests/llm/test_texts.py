@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from plain_text import WORD, plain_measures
 from pyspark.sql import functions as F
 
 from filingloom.llm import pitmanyor
@@ -17,19 +18,6 @@ from filingloom.llm.pitmanyor import sample_tables, score_texts
 from filingloom.llm.privacy import find_private, sanitise
 from filingloom.llm.rules import MEASURES, POLICIES, RULES, ablations, kept_by, measure_text, policy_mask, with_ledger
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-
-
-def plain_measures(text):
-    text = text or ""
-    words = WORD.findall(text)
-    lines = [x for x in text.split("\n") if WORD.search(x)]
-    windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
-    repeated = {i + k for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for k in range(3)}
-    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), sum(x in lines[:i] for i, x in enumerate(lines)), len(repeated),
-            len(lines), len(re.findall("[A-Za-z]", text)), len(re.findall("[A-Z]", text)))
-
-
 def test_measures():
     rng = random.Random(3)
     texts = [None, "", " \n\t ", "a", "a b", "a a a a", "x y z x y z", "é ü ß\x1c|||\nA\n a\nA"]
