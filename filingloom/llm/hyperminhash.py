@@ -7,7 +7,8 @@ Two sets share a band if its four registers agree. At a similarity of 0.8 none o
 
 The sets that share a band are compared with the smallest id among them. By the sketches' estimate, less a margin that one pair in
 10**9 exceeds, a pair is left out or verified on the full sets. Only the groups that these links leave in several
-components are looked at again, by the estimates of all their pairs of different components in bounded cells, verified where they are.
+components are looked at again: their members outside the main component, first against some of its members, and what is
+still outside against all members, in blocks, by the estimates of pairs of different components, verified where they are.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ BANDS, BUCKETS = 40, 4
 REGISTERS = BANDS * BUCKETS
 MANTISSA = 10  # bits
 _BAND_BYTES = 2 * BUCKETS
+SCOUTS = 8  # members of a group's main component that the others are compared with before all
 CELL = 512  # members of a block of a group; a task compares two blocks at a time
 MISS = 1e-9  # share of similar pairs that an estimate may leave out
 FILTER_BITS = 1 << 27  # of the filter of wanted sets, at most (16 MB); beyond 8 million wanted sets more texts are read again
@@ -115,41 +117,45 @@ def _first_band(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def _cell_links(near: Threshold) -> Callable:
-    """Links between members of different components, from rows sorted by cell (a group, or two of its blocks).
+    """Links between askers of a group and its members, from rows sorted by cell (a block of members and one of askers).
 
-    Columns: token, left, right, band, node, n, regs, block, label, tokens. Pairs that may be similar are verified on the full
-    sets, the most similar first, unless the links found before connect them. A pair is looked at in its first band only.
+    Columns: token, left, right, asks, open, band, node, n, regs, label, tokens. Pairs of different components that may be
+    similar are verified on the full sets, the most similar first, unless the links found before connect them. A pair is
+    looked at in its first band only, and if both are askers once.
     """
     def one(rows: pa.Table) -> list[tuple[int, int]]:
         rows = rows.combine_chunks()
-        node, n, block, label, band = (rows.column(c).to_numpy() for c in ("node", "n", "block", "label", "band"))
-        order = np.lexsort((node, n))
-        node, n, block, label, band = node[order], n[order], block[order], label[order], int(band[0])
-        regs, sets = _matrix(rows.column("regs").take(pa.array(order)).combine_chunks()), rows.column("tokens")
-        two = block.min() != block.max()
-        most = np.searchsorted(n, [near.most_partner(int(x)) for x in n], side="right")
+        asks = rows.column("asks").to_numpy()
+        if asks.all() or not asks.any():
+            return []
+        node, n, label, is_open = (rows.column(c).to_numpy() for c in ("node", "n", "label", "open"))
+        band, regs, sets = rows.column("band")[0].as_py(), _matrix(rows.column("regs")), rows.column("tokens")
+        members = np.flatnonzero(~asks)
+        members = members[np.lexsort((node[members], n[members]))]
+        sizes, own_regs = n[members], regs[members]
         a, b, value = [], [], []
-        for i in range(len(node) - 1):
-            other = slice(i + 1, most[i])
-            ok = label[other] != label[i]
-            if two:  # pairs within a block belong to the block's own cell
-                ok &= block[other] != block[i]
-            at = np.flatnonzero(ok) + i + 1
-            at = at[_first_band(regs[i][None], regs[at]) == band] if len(at) else at
+        for i in np.flatnonzero(asks).tolist():
+            some = slice(np.searchsorted(sizes, near.least_partner(int(n[i]))), np.searchsorted(sizes, near.most_partner(int(n[i])), side="right"))
+            at = members[some]
+            ok = (label[at] != label[i]) & (~is_open[at] | (node[i] < node[at]))
+            at, there = at[ok], own_regs[some][ok]
             if len(at):
-                guess, margin = estimate(regs[i][None], regs[at], np.full(len(at), n[i]), n[at])
+                first = _first_band(regs[i][None], there) == band
+                at, there = at[first], there[first]
+            if len(at):
+                guess, margin = estimate(regs[i][None], there, np.full(len(at), n[i]), n[at])
                 good = guess + margin >= near.num / near.den
                 a += [i] * int(good.sum())
                 b += at[good].tolist()
                 value += guess[good].tolist()
         up: dict[int, int] = {}
         links = []
-        for k in np.lexsort((b, a, -np.array(value))).tolist() if a else []:
+        for k in np.lexsort((node[b], node[a], -np.array(value))).tolist() if a else []:
             i, j = a[k], b[k]
             x, y = _root(up, int(label[i])), _root(up, int(label[j]))
             if x == y:
                 continue
-            left, right = (sets[int(order[e])].values.to_numpy() for e in (i, j))
+            left, right = sets[i].values.to_numpy(), sets[j].values.to_numpy()
             common = len(np.intersect1d(left, right, assume_unique=True))
             if near.den * common >= near.num * (len(left) + len(right) - common):
                 up[max(x, y)] = min(x, y)
@@ -235,8 +241,9 @@ def near_copies(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
     miss more). Very long texts are taken whole. Rows with one id are one document, whose texts may link it to others in
     turn; a row with a null id has no node or component; an empty table gives an empty one; other columns take no part.
 
-    One node stands for all rows of one set. The members of a group are compared with its smallest node only, and what
-    these links leave in several components in cells of two blocks of `cell` members, which yield a spanning forest.
+    One node stands for all rows of one set. The members of a group are compared with its smallest node, those outside its main
+    component then with a few of that, and only those still outside with all, in cells of two blocks of `cell` members,
+    which yield a spanning forest. So a group costs its size times the blocks of members that are like few others.
     """
     spark, near = docs.sparkSession, Threshold(num, den)
     stage = Stage(spark)
@@ -276,33 +283,50 @@ def near_copies(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_c
     full = texts.filter("doc_id IS NOT NULL").select("doc_id", "text", place.alias("place")).mapInArrow(whole, "node bigint, tokens array<bigint>")
     full = stage.write(full.filter(F.size("tokens") > 0).join(named, "node", "left_semi"), "hyper-full")
 
-    # each member against the head of its groups
-    pairs = members.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
     left = nodes.select(F.col("node").alias("a"), "n", F.col("regs").alias("s"))
     right = nodes.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("regs").alias("t"))
-    fit = (den * F.least("n", "m") >= num * F.greatest("n", "m"))
-    likely = pairs.join(left, "a").join(right, "b").filter(fit).select("a", "b", "n", "m", "s", "t").mapInArrow(_likely(near), "a bigint, b bigint")
-    likely = stage.write(likely, "hyper-likely")
-    both = likely.join(full.select(F.col("node").alias("a"), F.col("tokens").alias("s")), "a").join(full.select(F.col("node").alias("b"), F.col("tokens").alias("t")), "b")
-    common = both.withColumn("common", F.size(F.array_intersect("s", "t")).cast("bigint"))
-    links = stage.write(common.filter(den * F.col("common") >= num * (F.size("s") + F.size("t") - F.col("common"))).select("a", "b").unionAll(same_id), "hyper-links")
+    left_set, right_set = full.select(F.col("node").alias("a"), F.col("tokens").alias("s")), full.select(F.col("node").alias("b"), F.col("tokens").alias("t"))
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are links: first by size and estimate, then by the full sets."""
+        fit = den * F.least("n", "m") >= num * F.greatest("n", "m")
+        likely = pairs.distinct().join(left, "a").join(right, "b").filter(fit).select("a", "b", "n", "m", "s", "t").mapInArrow(_likely(near), "a bigint, b bigint")
+        likely = stage.write(likely, "hyper-likely")
+        common = likely.join(left_set, "a").join(right_set, "b").withColumn("common", F.size(F.array_intersect("s", "t")).cast("bigint"))
+        return common.filter(den * F.col("common") >= num * (F.size("s") + F.size("t") - F.col("common"))).select("a", "b")
+
+    def still_open(labels: DataFrame, name: str) -> DataFrame:
+        """Members of groups of several components, with their label and main, the label of most of the group."""
+        labelled = stage.write(members.filter("size > 2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), f"{name}-labelled")
+        parts = labelled.groupBy("token", "label").agg(F.count("*").alias("n")).groupBy("token").agg(F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("parts"))
+        mixed = stage.write(parts.filter("parts > 1").select("token", F.col("most.label").alias("main")), f"{name}-mixed")
+        return labelled.join(mixed, "token")
+
+    # each member against the head of its groups
+    links = stage.write(confirmed(members.filter("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"))).unionAll(same_id), "hyper-links")
     labels = stage.write(components(links, stage, "hyper-stars"), "hyper-labels")
-    stage.release("hyper-likely", "hyper-same-id")
-
-    # groups that still hold several components
-    labelled = members.filter("size > 2").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_groups = stage.write(labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("token"), "hyper-open")
-    cell = cell or CELL
-    blocks = F.ceil(F.col("size") / cell).cast("int")
-    dealt = labelled.join(open_groups, "token").withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), "blocks").cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("token", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "band", "node", "block", "label")
-    cells = dealt.join(nodes.select("node", "n", "regs"), "node").join(full, "node").select("token", "left", "right", "band", "node", "n", "regs", "block", "label", "tokens")
+
+    # in groups of several components, those outside the main one against some of its members
+    mixed = still_open(labels, "hyper-first")
+    scouts = mixed.filter("label = main").groupBy("token").agg(*[F.min_by("node", F.xxhash64("node", F.lit(i))).alias(f"s{i}") for i in range(SCOUTS)])
+    asked = mixed.filter("label <> main").join(scouts, "token").select("node", F.explode(F.array_distinct(F.array(*[f"s{i}" for i in range(SCOUTS)]))).alias("scout"))
+    more = stage.write(confirmed(asked.select(F.least("node", "scout").alias("a"), F.greatest("node", "scout").alias("b"))), "hyper-more")
+    labels = stage.write(components(labels.toDF("a", "b").unionAll(more), stage, "hyper-stars"), "hyper-labels")
+
+    # those that are still outside against all members, in blocks of both
+    mixed = still_open(labels, "hyper-second").withColumn("open", F.col("label") != F.col("main"))
+    counted = mixed.groupBy("token").agg(F.ceil(F.count("*") / (cell or CELL)).cast("int").alias("lefts"), F.ceil(F.sum(F.col("open").cast("int")) / (cell or CELL)).cast("int").alias("rights"))
+    dealt = mixed.join(stage.write(counted, "hyper-counted"), "token").withColumn("h", F.xxhash64("node", F.lit(7)))
+    every = lambda many: F.explode(F.sequence(F.lit(0), F.col(many) - 1))
+    as_member = dealt.select("token", F.pmod("h", "lefts").cast("int").alias("left"), every("rights").alias("right"), F.lit(False).alias("asks"), "open", "band", "node", "label")
+    as_asker = dealt.filter("open").select("token", every("lefts").alias("left"), F.pmod("h", "rights").cast("int").alias("right"), F.lit(True).alias("asks"), "open", "band", "node", "label")
+    cells = as_member.unionAll(as_asker).join(nodes.select("node", "n", "regs"), "node").join(full, "node")
+    cells = cells.select("token", "left", "right", "asks", "open", "band", "node", "n", "regs", "label", "tokens")
     with _small_batches(spark, 256):
         late = cells.repartition("token", "left", "right").sortWithinPartitions("token", "left", "right").mapInArrow(_cell_links(near), "a bigint, b bigint")
         late = stage.write(late, "hyper-late")
     labels = components(labels.toDF("a", "b").unionAll(late), stage, "hyper-final")
-    stage.release("hyper-members", "hyper-heads", "hyper-named", "hyper-full", "hyper-open", "hyper-links", "hyper-nodes", "hyper-late", "hyper-labels", "hyper-stars")
+    stage.release(*[n for n in stage.paths if n not in ("hyper-rows", "hyper-final")])
     out = rows.join(labels, "node", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("node", F.col("doc_id")).alias("node"), F.coalesce("label", "node", F.col("doc_id")).alias("component_id"))
 
