@@ -16,7 +16,7 @@ from filingloom.operators import bills, checks, mart, offices, resolve, roles
 from filingloom.operators.identity import merge_identities
 from filingloom.operators.latest import latest_amendment
 from filingloom.plans import candidates, committees, contracts, individuals, registrations
-from filingloom.sources import snapshots
+from filingloom.sources import commits, snapshots
 from filingloom.sources.tables import MART, Table
 from filingloom.staging import CORRUPT, Filings, family_name, filing_text, text
 
@@ -189,13 +189,20 @@ CONTRACT_COLUMNS = [
 
 @query
 def contracts_not_subcontracted(spark, folder):
-    rows = contracts.contract_rows((f := Filings(spark, folder)).sources(), copies=True)
+    rows, _ = contracts.contract_rows(Filings(spark, folder).sources(), copies=True)
+    return rows.select(*CONTRACT_COLUMNS, "cli_city", "cli_st")
+
+
+@query
+def contracts_with_bad_ids(spark, folder):
+    """The same over sources some of whose ids are no numbers: those rows make no contract and hide none."""
+    rows, _ = contracts.contract_rows(Filings(spark, folder, damaged=True).sources(), copies=True)
     return rows.select(*CONTRACT_COLUMNS, "cli_city", "cli_st")
 
 
 @query
 def subcontracts(spark, folder):
-    rows = contracts.subcontract_rows((f := Filings(spark, folder)).sources(), copies=True)
+    rows, _ = contracts.subcontract_rows(Filings(spark, folder).sources(), copies=True)
     return rows.select(*CONTRACT_COLUMNS, "subfirm_name", "subfirm_city", "subfirm_st")
 
 
@@ -232,7 +239,7 @@ def _person_probes(f: Filings) -> DataFrame:
 @query
 def registration_rejects(spark, folder):
     """Covers that the registrations can't use, with the reason."""
-    return registrations.run_registrations(Filings(spark, folder).sources())["rejected"].filter("reason <> 'no name'")
+    return registrations.registration_rows(Filings(spark, folder).sources())[1]
 
 
 @query
@@ -245,6 +252,43 @@ def committee_rejects(spark, folder):
     return committees.run_committees(Filings(spark, folder).sources())["rejected_covers"]
 
 
+def _account(run, spark, folder):
+    return run(Filings(spark, folder, damaged=True).sources(), {})["ledger"]
+
+
+# What becomes of the rows of each source, with ids, names, dates and years that can't be used: outcomes add up to the rows.
+
+
+@query
+def registration_ledger(spark, folder):
+    return _account(registrations.run_registrations, spark, folder)
+
+
+@query
+def contract_ledger(spark, folder):
+    return _account(contracts.run_contracts, spark, folder)
+
+
+@query
+def subcontract_ledger(spark, folder):
+    return _account(contracts.run_subcontracts, spark, folder)
+
+
+@query
+def individual_ledger(spark, folder):
+    return _account(individuals.run_individuals, spark, folder)
+
+
+@query
+def candidate_ledger(spark, folder):
+    return _account(candidates.run_candidates, spark, folder)
+
+
+@query
+def committee_ledger(spark, folder):
+    return _account(committees.run_committees, spark, folder)
+
+
 @query
 def person_cascade(spark, folder):
     f = Filings(spark, folder)
@@ -293,16 +337,31 @@ def org_cascade(spark, folder):
     )
 
 
-@query
-def org_by_filer_first(spark, folder):
+def _by_filer(spark, folder) -> tuple[DataFrame, DataFrame]:
     """Committees: a filer that has an organisation keeps it; others take that of their first row."""
     f = Filings(spark, folder)
     bridge = f.table("supplier").filter("s_suppkey % 2 = 0").select(
         (F.col("s_suppkey") + 5_000_000).alias("organization_id"), text("s_suppkey").alias("filer_id")
     )
     probes = snapshots.stage(resolve.org_probes(_org_probe_rows(f), ORG_ORDER), "filer-probes")
-    resolved, new_orgs = resolve.resolve_orgs(probes, f.master_org, ORG_ORDER, bridge=bridge, by_filer=True)
-    return _org_label(resolved, new_orgs).select("org_name", "filer_id", "type", "org", "match_rule")
+    return resolve.resolve_orgs(probes, f.master_org, ORG_ORDER, bridge=bridge, by_filer=True)
+
+
+@query
+def org_by_filer_first(spark, folder):
+    """The names of filers that have an organisation already."""
+    resolved, _ = _by_filer(spark, folder)
+    return resolved.filter("match_rule = 'filer'").select(
+        "org_name", "filer_id", "type", F.concat(F.lit("oid:"), text("organization_id")).alias("org"), "match_rule"
+    )
+
+
+@query
+def org_by_filer_cascade(spark, folder):
+    """The names of the other filers, each resolved as its filer's first row, and names without a filer."""
+    resolved, new_orgs = _by_filer(spark, folder)
+    rest = resolved.filter("match_rule <> 'filer'")
+    return _org_label(rest, new_orgs).select("org_name", "filer_id", "type", "org", "match_rule")
 
 
 @query
@@ -686,13 +745,16 @@ def ballot_support(spark, folder):
     )
 
 
+def _loaded_candidates(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    loaded = candidates.run_candidates(sources)
+    return {t: snapshots.stage(loaded[t], t) for t in ("person", "filer_id", "candidate")}
+
+
 @query
 def controlled_committees(spark, folder):
     """Committees and the candidate who controls each, after the candidates job has loaded people."""
-    f = Filings(spark, folder)
-    sources = f.sources()
-    loaded = candidates.run_candidates(sources)
-    mart_frames = {t: snapshots.stage(loaded[t], t) for t in ("person", "filer_id", "candidate")}
+    sources = Filings(spark, folder).sources()
+    mart_frames = _loaded_candidates(sources)
     out = committees.run_committees(sources, mart_frames)
     rows = _with_org(out["controlled_committee"], _orgs(out), "committee_id", "org")
     return _with_person(rows, mart_frames, "candidate_id").select("org", "person_filer", "p_first")
@@ -716,30 +778,63 @@ def org_xref_rerun(spark, folder):
     return _org_label(merged, new_orgs).join(again.select(*key, "match_rule"), key, "left").select(*key, "org", "match_rule")
 
 
-def _added_again(run: Callable[[dict, dict], dict], sources: dict, label: str = "") -> DataFrame:
-    """Runs a job, keeps its mart tables, runs it again on them: table and rows that the second run adds."""
-    first = run(sources, {})
-    kept = {t: snapshots.stage(df, f"first-{t}") for t, df in first.items() if t in MART or t == "org_xref"}
+@query
+def committee_candidates_json(spark, folder):
+    """Candidates who control or are named by a committee, written as JSON and read back with a declared schema."""
+    sources = Filings(spark, folder).sources()
+    mart_frames = _loaded_candidates(sources)
+    people = committees.run_committees(sources, mart_frames)["committee_candidates"]
+    path = snapshots.new_path(spark, "committee-candidates-json")
+    snapshots.write_json(people, path)
+    rows = _with_person(snapshots.read_json(spark, path, people.schema), mart_frames, "_id")
+    return rows.select("person_filer", "p_first", "first", "middle", "last", "suffix", "title")
+
+
+MART_TABLES = {*MART, "org_xref", "organizations"}
+UPDATES = {"person_updates": ("person", ["_id"])}
+
+
+def _added_again(run: Callable[[dict, dict], dict], spark: SparkSession, folder: str) -> DataFrame:
+    """A job commits its tables, then runs again on them: the rows of each table, and how many the second run adds."""
+    sources, mart_folder = Filings(spark, folder).sources(), snapshots.new_path(spark, "mart")
+    commits.run_job(spark, mart_folder, run, sources, MART_TABLES, UPDATES)
+    kept = commits.read_mart(spark, mart_folder)
     second = run(sources, kept)
-    rows = [df.select(F.lit(t + label).alias("table"), F.lit(0).alias("added")) for t, df in kept.items()]
-    rows += [second[t].select(F.lit(t + label).alias("table"), F.lit(1).alias("added")) for t in kept if t in second]
-    return reduce(DataFrame.unionByName, rows).groupBy("table").agg(F.sum("added").alias("added"))
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    rows = [df.select(F.lit(t).alias("table"), one.alias("rows"), none.alias("added")) for t, df in kept.items()]
+    rows += [second[t].select(F.lit(t).alias("table"), none.alias("rows"), one.alias("added")) for t in second if t in MART_TABLES]
+    return reduce(DataFrame.unionByName, rows).groupBy("table").agg(F.sum("rows").alias("rows"), F.sum("added").alias("added"))
 
 
 @query
 def registration_rerun(spark, folder):
-    return _added_again(registrations.run_registrations, Filings(spark, folder).sources())
+    return _added_again(registrations.run_registrations, spark, folder)
+
+
+@query
+def contract_rerun(spark, folder):
+    return _added_again(contracts.run_contracts, spark, folder)
+
+
+@query
+def subcontract_rerun(spark, folder):
+    return _added_again(contracts.run_subcontracts, spark, folder)
+
+
+@query
+def individual_rerun(spark, folder):
+    return _added_again(individuals.run_individuals, spark, folder)
 
 
 @query
 def candidate_rerun(spark, folder):
     """With offices told apart by district, as stored offices name their district by its id."""
-    return _added_again(partial(candidates.run_candidates, district_in_key=True), Filings(spark, folder).sources())
+    return _added_again(partial(candidates.run_candidates, district_in_key=True), spark, folder)
 
 
 @query
 def committee_rerun(spark, folder):
-    return _added_again(committees.run_committees, Filings(spark, folder).sources())
+    return _added_again(committees.run_committees, spark, folder)
 
 
 @query

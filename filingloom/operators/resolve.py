@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from filingloom.functions.text import blank_to_null, middle_initial, name_key
@@ -51,7 +51,7 @@ def resolve_orgs(
     """Resolve organisations by a cascade; returns (resolved, new_orgs).
 
     `probes` come from `org_probes`; `master` has oid, name, city, state. The rules, in order:
-    "cache" (in `xref` already), "filer" (the filer id has an organisation in `bridge`),
+    "cache" (in `xref` already; the master data is then not asked, so n_candidates is 0), "filer" (the filer id has an organisation in `bridge`),
     "placeholder" (no usable name: told apart by filer id), "name" (one organisation of that name),
     "name_place" (several, one of them in the same city or state), "new_ambiguous" (several and
     no single one fits: new per name and place), "new" (none: new per name). With `by_filer` one
@@ -72,19 +72,21 @@ def resolve_orgs(
         lead = first_wins(lead.filter("filer_id <> ''"), ["filer_id"], order).unionByName(
             lead.filter("filer_id = ''")
         )
-    # "in the same city or state" as two equi lookups: a name's probes never meet all its organisations
-    looked = lead.join(by_name, "org_name", "left")
-    looked = looked.join(by_city, ["org_name", "city"], "left")
-    looked = looked.join(by_state, ["org_name", "state"], "left")
-    if xref is not None:
+    if xref is not None:  # what is known leaves before any lookup in the master data
         cached = (
             xref.withColumn("filer_id", F.coalesce("filer_id", F.lit("")))
             .groupBy(*ORG_KEY)
             .agg(F.min("organization_id").alias("_cache_id"))
         )
-        looked = looked.join(cached, ORG_KEY, "left")
-    else:
-        looked = looked.withColumn("_cache_id", F.lit(None).cast("bigint"))
+        seen = Observation()
+        lead = stage(lead.join(cached, ORG_KEY, "left").observe(seen, F.count_if(F.col("_cache_id").isNull()).alias("unknown")), "asked-orgs")
+        known_before, lead = lead.filter("_cache_id IS NOT NULL"), lead.filter("_cache_id IS NULL").drop("_cache_id")
+        if not seen.get["unknown"]:  # nobody asks, so the master data need not be read
+            by_name, by_city, by_state = (df.sparkSession.createDataFrame([], df.schema) for df in (by_name, by_city, by_state))
+    # "in the same city or state" as two equi lookups: a name's probes never meet all its organisations
+    looked = lead.join(by_name, "org_name", "left")
+    looked = looked.join(by_city, ["org_name", "city"], "left")
+    looked = looked.join(by_state, ["org_name", "state"], "left")
     if bridge is not None:
         known = (
             bridge.filter("organization_id IS NOT NULL AND filer_id <> ''")
@@ -106,8 +108,7 @@ def resolve_orgs(
     n, rule = F.col("n_candidates"), F.col("match_rule")
     looked = looked.withColumn(
         "match_rule",
-        F.when(F.col("_cache_id").isNotNull(), "cache")
-        .when(F.col("_filer_id").isNotNull(), "filer")
+        F.when(F.col("_filer_id").isNotNull(), "filer")
         .when(no_name, "placeholder")
         .when(n == 1, "name")
         .when((n > 1) & F.col("_one_place"), "name_place")
@@ -120,8 +121,7 @@ def resolve_orgs(
         "city",
         "state",
         *order,
-        F.when(rule == "cache", F.col("_cache_id"))
-        .when(rule == "filer", F.col("_filer_id"))
+        F.when(rule == "filer", F.col("_filer_id"))
         .when(rule == "name", F.col("_name_id"))
         .when(rule == "name_place", F.col("_place_id"))
         .when(rule == "new", surrogate_key(F.col("org_name"), kind="org-name"))
@@ -131,6 +131,10 @@ def resolve_orgs(
         "match_rule",
         "n_candidates",
     )
+    if xref is not None:
+        again = [*ORG_KEY, "city", "state", *order]
+        cache = known_before.select(*again, F.col("_cache_id").alias("organization_id"), F.lit("cache").alias("match_rule"), F.lit(0).cast("bigint").alias("n_candidates"))
+        decided = decided.withColumn("n_candidates", F.col("n_candidates").cast("bigint")).unionByName(cache)
     decided = stage(decided, "decided-orgs")  # both results come from it
     new_orgs = first_wins(
         decided.filter(F.col("match_rule").isin("placeholder", "new", "new_ambiguous")).select(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from filingloom.functions import codes
-from filingloom.oracle_views import parsed, place_city, place_state, session, with_views
+from filingloom.oracle_views import parsed, place_city, place_state, session, with_damaged, with_views
 
 SQL: dict[str, str] = {}
 
@@ -195,6 +195,10 @@ subcont AS (SELECT * EXCLUDE (n, times) FROM (SELECT *, unnest(range(n)) AS time
     FROM engaged JOIN passed USING (act_filing_id, emplr_name) JOIN partners USING (subfirm_name, filing_start)))"""
 
 SQL["contracts_not_subcontracted"] = with_views(*ENGAGEMENT_VIEWS).rstrip() + f", {ENGAGEMENTS}, {CONTRACTS} SELECT * FROM cont"
+SQL["contracts_with_bad_ids"] = (
+    with_damaged(*ENGAGEMENT_VIEWS, usable=True).rstrip()
+    + f", {ENGAGEMENTS.replace('ls_beg_yr::INT AS ls, filing_id, amend_id', 'TRY_CAST(ls_beg_yr AS INT) AS ls, filing_id, amend_id')}, {CONTRACTS} SELECT * FROM cont"
+)
 SQL["subcontracts"] = (
     with_views(*ENGAGEMENT_VIEWS).rstrip() + f", {ENGAGEMENTS}, {SUBCONTRACTS} SELECT * EXCLUDE (cli_city, cli_st) FROM subcont"
 )
@@ -305,10 +309,21 @@ def org_by_filer(rows: str, order: str, known: str) -> str:
     UNION ALL SELECT org_name, filer_id, type, org, match_rule FROM org_found WHERE filer_id = '')"""
 
 
-SQL["org_by_filer_first"] = (
+SQL["org_by_filer_first"] = f"""
+WITH {ORG_ROWS}
+SELECT DISTINCT org_name, filer_id, type, 'oid:' || (filer_id::BIGINT + 5000000) AS org, 'filer' AS match_rule FROM org_rows
+WHERE filer_id <> '' AND TRY_CAST(filer_id AS BIGINT) % 2 = 0"""
+# the first probe of each filer that has no organisation is resolved as any other, and its names take the outcome
+SQL["org_by_filer_cascade"] = (
     with_views("master_org").rstrip()
-    + f""", {ORG_ROWS}, {org_by_filer('org_rows', ORG_ORDER, "CASE WHEN try_cast(filer_id AS BIGINT) % 2 = 0 THEN filer_id::BIGINT + 5000000 END")}
-SELECT org_name, filer_id, type, org, match_rule FROM org_of_filer"""
+    + f""", {ORG_ROWS}, {org_probe("org_rows", ORG_ORDER)},
+open_probe AS (SELECT * FROM org_probe WHERE filer_id = '' OR TRY_CAST(filer_id AS BIGINT) % 2 <> 0),
+first_of AS (SELECT filer_id, min(row(filing_no, amend_no, org_name, type)) AS k FROM open_probe WHERE filer_id <> '' GROUP BY filer_id),
+lead_probe AS (SELECT p.* FROM open_probe p JOIN first_of f ON p.filer_id = f.filer_id AND row(p.filing_no, p.amend_no, p.org_name, p.type) = f.k
+    UNION ALL SELECT * FROM open_probe WHERE filer_id = ''),
+{org_found("lead_probe", ORG_ORDER)}
+SELECT p.org_name, p.filer_id, p.type, f.org, f.match_rule FROM open_probe p JOIN org_found f ON p.filer_id = f.filer_id WHERE p.filer_id <> ''
+UNION ALL SELECT org_name, filer_id, type, org, match_rule FROM org_found WHERE filer_id = ''"""
 )
 
 
@@ -638,26 +653,110 @@ SQL["controlled_committees"] = (
         FROM intentions WHERE form_type = 'F501') WHERE rn = 1),
     {cleaned_names("held", "cand_namf", "can_namm", "cand_naml", "NULL::VARCHAR", "*").replace("c1", "d1").replace("c2", "d2")},
     named AS ({dotted("* EXCLUDE (f0, m0, l0, s0)").replace("c2", "d2")}),
-    found AS (SELECT committee_id, filing_id::BIGINT AS filing_no, n.filer_id AS person_filer, coalesce(a.p_first, b.p_first) AS p_first
-        FROM named n LEFT JOIN person a ON a.person_filer = n.filer_id AND a.p_first = n.first
+    found AS (SELECT committee_id, filing_id::BIGINT AS filing_no, n.filer_id AS person_filer, coalesce(a.p_first, b.p_first) AS p_first,
+            n.first, n.middle, n.last, n.suffix FROM named n LEFT JOIN person a ON a.person_filer = n.filer_id AND a.p_first = n.first
         LEFT JOIN person b ON b.person_filer = n.filer_id AND b.p_first = n.last)
     SELECT org, person_filer, p_first FROM (SELECT c.org, found.*, row_number() OVER (PARTITION BY c.org ORDER BY filing_no, person_filer) AS nth
         FROM (SELECT DISTINCT org, filer_id FROM filed WHERE cmtte_type = 'C' OR control_yn = 'Y') c
         JOIN found ON found.committee_id = c.filer_id WHERE p_first IS NOT NULL) WHERE nth = 1"""
 )
-
-
-def nothing_added(*tables: str) -> str:
-    """A second run on the first one's tables adds no row to any of them."""
-    return " UNION ALL ".join(f"SELECT '{t}' AS \"table\", 0 AS added" for t in tables)
-
-
-SQL["registration_rerun"] = nothing_added(
-    "activity", "direct_employment", "employed_lobbying", "filer_id", "lobbying_firm", "lobbyist", "lobbyist_employer", "org_xref",
-    "permanent_employment", "person")
-SQL["candidate_rerun"] = nothing_added("candidate", "district", "election", "filer_id", "office", "person", "running")
-SQL["committee_rerun"] = nothing_added(
-    "ballot", "ballot_committee", "ballot_support", "committee", "filer_id", "general_committee", "independent_committee", "org_xref")
+SQL["committee_candidates_json"] = SQL["controlled_committees"][: SQL["controlled_committees"].rindex("SELECT org, person_filer, p_first FROM")] + """
+SELECT DISTINCT person_filer, p_first, first, middle, last, suffix, NULL::VARCHAR AS title FROM found
+WHERE p_first IS NOT NULL AND committee_id IN (SELECT filer_id FROM filed)"""
+
+
+def counted(**tables: str) -> str:
+    """The rows of each table that the first run fills; the second run adds none. `tables` maps a name to its count in SQL."""
+    return " UNION ALL ".join(f"SELECT '{t}' AS \"table\", n AS rows, 0::BIGINT AS added FROM (SELECT ({sql})::BIGINT AS n) WHERE n > 0" for t, sql in tables.items())
+
+
+def rows_of(columns: str, source: str, where: str = "true") -> str:
+    return f"SELECT count(*) FROM (SELECT DISTINCT {columns} FROM {source} WHERE {where})"
+
+
+FILERS = rows_of("org, filer_id", "org_found", "filer_id <> ''")
+NEW_ORGS = rows_of("made", "org_made", "made IS NOT NULL")
+PERSON = "person_filer, anchor_first"
+SQL["registration_rerun"] = REGISTRATION_MART + counted(
+    person="SELECT count(*) FROM person", lobbyist="SELECT count(*) FROM person",
+    filer_id=f"({FILERS}) + ({rows_of(PERSON, 'person', chr(39).join(['person_filer <> ', '', '']))})",
+    lobbying_firm=rows_of("org", "employed", "form_type = 'F625'"), lobbyist_employer=rows_of("org", "employed", "form_type = 'F635'"),
+    permanent_employment=rows_of(f"{PERSON}, org, period_start", "employed", "form_type = 'F625'"),
+    direct_employment=rows_of(f"{PERSON}, org, period_start", "employed", "form_type = 'F635'"),
+    activity=rows_of("filing_no", "employed", "form_type = 'F635'"),
+    employed_lobbying=rows_of(f"{PERSON}, org, period_start, filing_no", "employed", "form_type = 'F635'"),
+    org_xref="SELECT count(*) FROM org_found", organizations=NEW_ORGS)
+
+
+def agreement_counts(name: str, table: str, linked: str, firms: str) -> str:
+    decided = SQL[name][: SQL[name].rindex("SELECT ", 0, SQL[name].rindex("FROM (SELECT *, 1 AS copies"))]
+    accepted = "SELECT count(*) FROM decided WHERE reason = 'accepted'"
+    return decided + counted(**{
+        table: accepted, "activity": accepted, linked: accepted, "lobbying_firm": rows_of("org", "org_found", f"type IN ({firms})"),
+        "lobbyist_employer": rows_of("org", "org_found", "type = 'LEM'"), "filer_id": FILERS, "org_xref": "SELECT count(*) FROM org_found",
+        "organizations": NEW_ORGS})
+
+
+SQL["contract_rerun"] = agreement_counts("contract_mart", "contract", "contracted_lobbying", "'FRM'")
+SQL["subcontract_rerun"] = agreement_counts("subcontract_mart", "subcontract", "subcontracted_lobbying", "'FRM', 'SFRM'")
+ON_OWN_ACCOUNT = SQL["individual_mart"][: SQL["individual_mart"].rindex("SELECT org, min(filing_start)")] + """,
+own AS (SELECT f.*, o.org FROM facts f JOIN org_found o ON f.org_name = o.org_name AND f.filer_id = o.filer_id AND f.type = o.type)
+"""
+ACTIVITY = rows_of("org, filing_no, amend_no, lby_actvty", "own")
+SQL["individual_rerun"] = ON_OWN_ACCOUNT + counted(
+    activity=ACTIVITY, individual_lobbying=ACTIVITY, lobbying_firm=rows_of("org", "own", "type = 'FRM'"),
+    lobbyist_employer=rows_of("org", "own", "type IN ('LEM', 'LCO')"), filer_id=FILERS, org_xref="SELECT count(*) FROM org_found",
+    organizations=NEW_ORGS)
+SEAT = "title, agency, jurisdiction, district_number"
+SQL["candidate_rerun"] = CANDIDATES + counted(
+    person="SELECT count(*) FROM person", candidate=rows_of(f"{PERSON}, party", "walked"), filer_id=rows_of(PERSON, "person", "person_filer <> ''"),
+    district=rows_of("title, district_number", "facts", "district_number IS NOT NULL"), office=rows_of(SEAT, "facts"),
+    election=rows_of(f"{SEAT}, election_type, election_year", "facts", "election_year IS NOT NULL"),
+    running=rows_of(f"{PERSON}, {SEAT}, election_type, election_year", "walked", "election_year IS NOT NULL"))
+SQL["committee_rerun"] = COMMITTEES + f""",
+measure AS (SELECT org, {strip("bal_num")} AS ballot_number, ls FROM filed JOIN session_of USING (filer_id) WHERE {NAMED_BALLOT})
+""" + counted(
+    committee=rows_of("org", "filed"), general_committee=rows_of("org", "filed", "cmtte_type = 'G'"),
+    independent_committee=rows_of("org", "filed", "cmtte_type = 'P'"), ballot=rows_of("ballot_number, ls", "measure"),
+    ballot_committee=rows_of("org", "measure"), ballot_support=rows_of("org, ballot_number, ls", "measure"),
+    filer_id=rows_of("org, filer_id", "org_of_filer", "filer_id <> ''"), org_xref="SELECT count(*) FROM org_of_filer", organizations=NEW_ORGS)
+
+
+def outcomes(job: str, source: str, view: str, where: str, refused: dict[str, str], by: str = "f", one: str = "") -> str:
+    """What becomes of a view's rows: `refused` maps a reason to its condition. `one` orders tied rows of which one counts."""
+    cases = " ".join(f"WHEN coalesce({condition}, false) THEN '{reason}'" for reason, condition in refused.items())
+    older = f"row_number() OVER (PARTITION BY bad, {by} ORDER BY a DESC{', ' + one if one else ''}) > 1" if one else f"a < max(a) OVER (PARTITION BY bad, {by})"
+    return f"""SELECT '{job}' AS job, '{source}' AS source, outcome, count(*) AS n FROM (SELECT CASE WHEN bad THEN 'bad filing id' WHEN older THEN 'superseded'
+        {cases} ELSE 'accepted' END AS outcome FROM (SELECT *, {older} AS older FROM (SELECT *, TRY_CAST(filing_id AS BIGINT) AS f,
+            TRY_CAST(amend_id AS BIGINT) AS a, TRY_CAST(filing_id AS BIGINT) IS NULL OR TRY_CAST(amend_id AS BIGINT) IS NULL AS bad
+            FROM {view} WHERE {where}))) GROUP BY outcome"""
+
+
+LOBBYIST = "(form_type = 'F615' AND entity_cd = 'LBY')"
+FIRM_OR_EMPLOYER = "(form_type IN ('F625', 'F635') AND entity_cd IN ('FRM', 'LEM', 'LCO'))"
+BAD_PERIOD = {"bad period": f"{parsed('from_date')} IS NULL"}
+SQL["registration_ledger"] = with_damaged("covers", "registrations") + outcomes("registrations", "lobby_disclosure", "covers", "true", {
+    "other form": f"NOT ({LOBBYIST} OR {FIRM_OR_EMPLOYER})", **BAD_PERIOD,
+    "no organisation": f"trim(CASE WHEN {LOBBYIST} THEN firm_name ELSE filer_naml END) = ''",
+    "no name": f"{LOBBYIST} AND trim(filer_naml) = '' AND trim(filer_namf) = ''",
+}) + " UNION ALL " + outcomes("registrations", "registration", "registrations", "form_type = 'F604' AND entity_cd = 'LBY'", {})
+for job in ("contracts", "subcontracts"):
+    SQL[f"{job[:-1]}_ledger"] = with_damaged(*ENGAGEMENT_VIEWS) + " UNION ALL ".join([
+        outcomes(job, "lobby_disclosure", "covers", "form_type = 'F625' AND entity_cd = 'FRM'", {**BAD_PERIOD, "no firm": "trim(filer_naml) = ''"}),
+        outcomes(job, "registration", "registrations", "form_type = 'F601' AND entity_cd = 'FRM'",
+                 {"bad session": "TRY_CAST(ls_beg_yr AS INT) IS NULL", "no firm": "trim(filer_naml) = ''"}),
+        outcomes(job, "payment_line", "payments", "true", {"no employer": "trim(emplr_naml) = ''"}),
+        outcomes(job, "employer_line", "employers", "true", {"no employer": "trim(cli_naml) = ''"}),
+        outcomes(job, "subcontract_line", "subcontract_lines", "true", {"no employer": "trim(subj_naml) = ''"}),
+    ])
+SQL["individual_ledger"] = with_damaged("covers") + outcomes("individuals", "lobby_disclosure", "covers", "form_type = 'F645'", {
+    "no filing date": f"{parsed('from_date')} IS NULL", "no name": "coalesce(trim(filer_namf || filer_naml), '') = ''"})
+SQL["candidate_ledger"] = with_damaged("intentions") + outcomes("candidates", "candidate_intention", "intentions", "form_type = 'F501'", {
+    "no name": "trim(cand_naml) = '' AND trim(cand_namf) = ''", "no election year": "TRY_CAST(nullif(yr_of_elec, '') AS INT) IS NULL"})
+SQL["committee_ledger"] = with_damaged("statements", "campaign_covers") + outcomes("committees", "committee_statement", "statements", "form_type = 'F410'", {
+    "no campaign cover": f"{strip('filer_id')} NOT IN (SELECT filer_id FROM campaign_covers)",
+}, one="filing_id, amend_id, form_type, filer_id, entity_cd, filer_naml, city, st, cmtte_type, control_yn, bal_num, bal_name, bal_juris NULLS FIRST, sup_opp_cd") + f"""
+UNION ALL SELECT 'committees', 'campaign_cover', CASE WHEN {parsed("from_date")} IS NULL THEN 'bad period' ELSE 'accepted' END, count(*) FROM campaign_covers GROUP BY 3"""
 
 # the declared contracts hold in every table that the jobs fill
 FILLED = {

@@ -120,3 +120,34 @@ def with_views(*names: str, **ctes: str) -> str:
     """A WITH clause of the named staging views followed by further CTEs."""
     parts = [f"{n} AS ({VIEWS[n]})" for n in names] + [f"{n} AS ({sql})" for n, sql in ctes.items()]
     return "WITH " + ",\n".join(parts) + "\n"
+
+
+# what the damaged views replace, by the number of the filing
+_BLANK = "CASE WHEN filing_id::BIGINT % 17 = 4 THEN '' ELSE {c} END AS {c}"
+_IDS = ["CASE WHEN filing_id::BIGINT % 11 = 3 THEN 'E-' || filing_id ELSE filing_id END AS filing_id",
+        "CASE WHEN filing_id::BIGINT % 13 = 5 AND amend_id = '1' THEN 'x' ELSE amend_id END AS amend_id"]
+_YEAR = "CASE WHEN filing_id::BIGINT % 19 = 6 THEN '' ELSE {c} END AS {c}"
+DAMAGE = {
+    "covers": [*_IDS, _BLANK.format(c="filer_naml"), _BLANK.format(c="filer_namf"), _YEAR.format(c="firm_name")],
+    "registrations": [*_IDS, _BLANK.format(c="filer_naml"), "CASE WHEN filing_id::BIGINT % 7 = 2 THEN 'none' ELSE ls_beg_yr END AS ls_beg_yr"],
+    "payments": [*_IDS, _BLANK.format(c="emplr_naml")],
+    "employers": [*_IDS, _BLANK.format(c="cli_naml")],
+    "subcontract_lines": [*_IDS, _BLANK.format(c="subj_naml")],
+    "intentions": [*_IDS, _BLANK.format(c="cand_naml"), _BLANK.format(c="cand_namf"), _YEAR.format(c="yr_of_elec")],
+    "statements": [*_IDS, _BLANK.format(c="filer_naml")],
+    "campaign_covers": ["CASE WHEN filer_id::BIGINT % 5 = 1 THEN 'Z' || filer_id ELSE filer_id END AS filer_id"],
+}
+
+
+def damaged_view(name: str) -> str:
+    return f"SELECT * REPLACE ({', '.join(DAMAGE[name])}) FROM ({VIEWS[name]})"
+
+
+def with_damaged(*names: str, usable: bool = False) -> str:
+    """A WITH clause of the damaged views; only the rows whose ids are numbers if usable. Master data is never damaged."""
+    good = "TRY_CAST(filing_id AS BIGINT) IS NOT NULL AND TRY_CAST(amend_id AS BIGINT) IS NOT NULL"
+    parts = []
+    for n in names:
+        sql = damaged_view(n) if n in DAMAGE else VIEWS[n]
+        parts.append(f"{n} AS ({f'SELECT * FROM ({sql}) WHERE {good}' if usable and n in DAMAGE and n != 'campaign_covers' else sql})")
+    return "WITH " + ",\n".join(parts) + "\n"

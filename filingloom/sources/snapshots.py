@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -40,22 +43,47 @@ def read_snapshot(spark: SparkSession, path: str, schema: StructType | None = No
     return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
 
 
+# The staged tables of the innermost work scope; none outside of one.
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted when the block ends, whether it succeeds or not.
+
+    What the block is to leave must have been written elsewhere before it ends.
+    """
+    owned: list[str] = []
+    token = _OWNED.set(owned)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for path in owned:
+            delete(spark, path)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that feeds many outputs to the shared folder and read it back.
 
     Cuts the lineage, so losing an executor later does not repeat the work before this point.
     """
     path = new_path(df.sparkSession, f"stage-{name}")
+    if (owned := _OWNED.get()) is not None:
+        owned.append(path)
     write_snapshot(df, path)
     return read_snapshot(df.sparkSession, path, df.schema)
 
 
 def unstage(df: DataFrame) -> None:
     """Delete the table behind a frame that came from `stage` and is no longer read."""
-    spark = df.sparkSession
     for folder in {os.path.dirname(f) for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(df.sparkSession, folder)
 
 
 def merge_snapshot(existing: DataFrame | None, changed: DataFrame, key: list[str]) -> DataFrame:
