@@ -63,8 +63,11 @@ def _packed(sizes: np.ndarray, members: pa.ListArray, capacity: int, first_bin:
     return pa.RecordBatch.from_arrays([pa.array(first_bin + np.arange(n)), pa.array(total), out], names=["bin", "size", "members"])
 
 
-def _bin_base(round_no: int, chunk: int) -> int:
-    return (round_no << 56) | (TaskContext.get().partitionId() << 32) | (chunk << 24)
+def bin_number(round_no: int, task: int, made: int) -> int:
+    """The number of a task's next bin, after those it has made: 5 bits for the round, 22 for the task, 36 for the bin."""
+    if round_no >= 1 << 5 or task >= 1 << 22 or made + (1 << 24) >= 1 << 36:
+        raise OverflowError("too many rounds, tasks or bins for a number of 63 bits")
+    return (round_no << 58) | (task << 36) | made
 
 
 def pack_documents(docs: DataFrame, capacity: int = 4096, tokenizer: str = "word_bpe_49k.json", kind: str = "words", end_id: int = 1,
@@ -83,13 +86,16 @@ def pack_documents(docs: DataFrame, capacity: int = 4096, tokenizer: str = "word
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4").tobytes()
         pieces: list[tuple] = []
-        chunk = 0
+        made = 0
 
         def packed() -> pa.RecordBatch:
+            nonlocal made
             columns = list(zip(*pieces, strict=True))
             flat = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _MEMBER, strict=True)], fields=list(_MEMBER))
             members = pa.ListArray.from_arrays(pa.array(np.arange(len(pieces) + 1, dtype=np.int32)), flat)
-            return _packed(np.array(columns[3], np.int64), members, capacity, _bin_base(1, chunk))
+            out = _packed(np.array(columns[3], np.int64), members, capacity, bin_number(1, TaskContext.get().partitionId(), made))
+            made += out.num_rows
+            return out
 
         for doc_id, coded in encoded(batches, tokenizer, kind):
             coded += end
@@ -98,26 +104,29 @@ def pack_documents(docs: DataFrame, capacity: int = 4096, tokenizer: str = "word
                 pieces.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part), 0))
             if len(pieces) >= max_items:
                 yield packed()
-                pieces, chunk = [], chunk + 1
+                pieces = []
         if pieces:
             yield packed()
 
     def again(round_no: int):
         def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: list[pa.RecordBatch] = []
-            chunk = 0
+            made = 0
 
             def packed() -> pa.RecordBatch:
+                nonlocal made
                 table = pa.Table.from_batches(held).combine_chunks()
                 sizes = table.column("size").to_numpy()
                 members = table.column("members").combine_chunks()
-                return _packed(sizes, members, capacity, _bin_base(round_no, chunk))
+                out = _packed(sizes, members, capacity, bin_number(round_no, TaskContext.get().partitionId(), made))
+                made += out.num_rows
+                return out
 
             for batch in batches:
                 held.append(batch)
                 if sum(b.num_rows for b in held) >= max_items:
                     yield packed()
-                    held, chunk = [], chunk + 1
+                    held = []
             if held:
                 yield packed()
 

@@ -20,6 +20,7 @@ CACHE_WORDS = 400_000  # words in each of the memory's two halves, in one Python
 CACHE_CHARS = 48  # longer parts are not remembered
 GROUP_CHARS = 400_000  # texts encoded together
 _JOINED = 2_000  # words encoded as one text
+WHOLE = ("", [])  # stands for a text that is encoded as it is
 _OPEN = re.compile(r" (?!\S)")  # a space before white space or the end
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
 _MARKED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]+)")  # letters, then ASCII marks other than the apostrophe
@@ -59,7 +60,7 @@ class TextEncoder:
     """Encodes whole texts to ids as little-endian unsigned 32-bit integers.
 
     kind: "bytes" for a byte-level vocabulary, "words" for one that drops white space and marks the ends of words.
-    Strings of special tokens inside a text are ordinary text.
+    A text that holds an added token of the vocabulary, in upper or lower case, is encoded whole.
     """
 
     def __init__(self, path: str, kind: str) -> None:
@@ -68,7 +69,8 @@ class TextEncoder:
         if kind not in ("bytes", "words"):
             raise ValueError(kind)
         self.tokenizer, self.kind = Tokenizer.from_file(path), kind
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
         self.prefix = " " if kind == "bytes" else ""
         self.edge = np.zeros(self.tokenizer.get_vocab_size(), bool)  # tokens that begin, or end, a word
         for token, at in self.tokenizer.get_vocab().items():
@@ -155,7 +157,9 @@ class TextEncoder:
         """The ids of some texts; give about GROUP_CHARS of text at a time, or one longer text."""
         split: list[tuple[str, list[str]] | None] = []
         for text in texts:
-            if self.kind == "words":
+            if self.added and self.added.search(text):
+                split.append(WHOLE)
+            elif self.kind == "words":
                 split.append(("", text.replace("\n", " ").split(" ")))
             elif _OPEN.search(text):
                 split.append(None)
@@ -165,7 +169,9 @@ class TextEncoder:
         self._learn(set().union(*(s[1] for s in split if s)) | ({""} if self.kind == "words" else set()))
         get, out = self.words.new.__getitem__, []
         for text, s in zip(texts, split, strict=True):
-            if s is None:
+            if s is WHOLE:
+                out.append(self._encode(text))
+            elif s is None:
                 out.append(b"".join(map(self._start, _SAFE_CUT.split(text))))
             else:
                 first = self._first(s[0]) if s[0] else b""

@@ -1,3 +1,4 @@
+import functools
 import random
 import struct
 import zlib
@@ -9,7 +10,7 @@ from hypothesis import strategies as st
 
 from filingloom.llm.common import Stage
 from filingloom.llm.crc32c import crc32c, masked
-from filingloom.llm.packing import best_fit, pack_documents
+from filingloom.llm.packing import best_fit, bin_number, pack_documents
 from filingloom.llm.records import _unframe, frame, read_back, read_record, write_records
 from filingloom.llm.tokens import TextEncoder, encoder
 
@@ -24,8 +25,34 @@ KINDS = [("byte_bpe_50k.json", "bytes"), ("word_bpe_49k.json", "words")]
 TRICKY = st.text(alphabet=st.sampled_from(list("aZé ñß\n\n\t\r  .,'s!0123中  \x1ćΣ<|>e")), max_size=60)
 
 
+@functools.cache
+def fresh(name):
+    """The tokenizer as its file has it, with nothing set by the library under test."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(encoder_path(name))
+
+
 def whole(name, kind, text):
-    return encoder(name, kind).tokenizer.encode(text, add_special_tokens=False).ids
+    return fresh(name).encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize(("name", "kind"), KINDS)
+def test_added_tokens_inside_a_text(name, kind):
+    added = [t.content for t in fresh(name).get_added_tokens_decoder().values()]
+    assert added
+    for token in added:
+        for text in (token, f"a {token} b", f"one{token}two", f"line\n{token}\n", f"{token} {token.upper()}  x"):
+            (ids,) = encoder(name, kind).encode_many([text])
+            assert np.frombuffer(ids, "<u4").tolist() == whole(name, kind, text), text
+
+
+def test_bin_numbers_do_not_meet():
+    numbers = [bin_number(r, t, m) for r in (1, 2, 31) for t in (0, 1, 2**22 - 1) for m in (0, 255 << 24, 300 << 24, 2**35)]
+    assert len(set(numbers)) == len(numbers) and max(numbers) < 2**63
+    for bad in ((32, 0, 0), (1, 2**22, 0), (1, 0, 2**36)):
+        with pytest.raises(OverflowError):
+            bin_number(*bad)
 
 
 @pytest.mark.parametrize(("name", "kind"), KINDS)
