@@ -73,7 +73,7 @@ def _words(held: DataFrame, base: DataFrame) -> DataFrame:
     return both.filter(~entity & free).select("row", "term", "start", "end")
 
 
-def find_private(docs: DataFrame, generalise: float = 0.6, remove: float = 0.9, support: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_private(docs: DataFrame, generalise: float = 0.6, remove: float = 0.9, support: int = 2, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """Per row: row (a number of the row), doc_id and spans, sorted by kind and place; columns row, doc_id, text, spans.
 
     A span has kind (0 to 3 as listed in KINDS; 4: word to generalise, 5: word to remove), start and end in code points.
@@ -81,7 +81,8 @@ def find_private(docs: DataFrame, generalise: float = 0.6, remove: float = 0.9,
     in a document with an entity count, and every place of a word that discloses one is marked. A word must be in at least
     support documents with an entity that is in so many; for an entity in fewer, in all of them. generalise, remove: least
     share of an entity's information that a word discloses. A word in a document counts with the entities of that document
-    only. A null or empty text has no spans. Each row counts as a document of its own, whatever its id.
+    only. A null or empty text has no spans. Each row counts as a document of its own, whatever its id. row_col: a column
+    that numbers the rows already.
     """
     stage = Stage(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -89,7 +90,8 @@ def find_private(docs: DataFrame, generalise: float = 0.6, remove: float = 0.9,
     for name in ("email", "ip", "phone"):
         maybe = maybe | text.rlike(KINDS[name])
     all_hits = F.concat(*[_hits(text, k) for k in range(len(NAMES))])
-    found = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.when(maybe, text).alias("text"), all_hits.alias("hits"))
+    number = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    found = docs.select(number.alias("row"), F.col(id_col).alias("doc_id"), F.when(maybe, text).alias("text"), all_hits.alias("hits"))
     found = stage.write(found, "private-hits")
     total = float(max(found.count(), 1))
     hits = found.select("row", F.explode("hits").alias("h")).select("row", "h.*")
@@ -129,20 +131,31 @@ def find_private(docs: DataFrame, generalise: float = 0.6, remove: float = 0.9,
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **thresholds) -> DataFrame:
-    """Documents with entities and generalised words replaced by their kind in brackets, and the words to remove taken out.
+    """Documents with entities replaced by their kind in brackets, words generalised to theirs, and the words to remove taken out.
 
+    A word is generalised to [NUMBER], [CODE] (letters and digits), [ACRONYM] (capitals), [NAME] (a capital first) or [WORD].
     Columns stay as they are, but for the text; a null text stays null. Overlapping spans are replaced from left to right,
-    each from where the one before ends.
+    each from where the one before ends. The rows are numbered once and written, so that spans and texts belong together
+    however the input is split.
     """
-    numbered, row, spans = docs, free_name(docs, "private_row"), free_name(docs, "private_spans")
-    found = find_private(docs, id_col=id_col, text_col=text_col, **thresholds)
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    row, spans = free_name(docs, "private_row"), free_name(docs, "private_spans")
+    numbered = Stage(docs.sparkSession).write(docs.withColumn(row, F.monotonically_increasing_id()), "private-rows")
+    found = find_private(numbered, id_col=id_col, text_col=text_col, row_col=row, **thresholds)
     joined = numbered.join(found.select(F.col("row").alias(row), F.col("spans").alias(spans)), row, "left")
-    tags = F.array(*[F.lit(f"[{n.upper()}]") for n in NAMES], F.lit("[WORD]"), F.lit(""))
     text = F.col(text_col)
+
+    def tag(s: Column) -> Column:
+        word = F.substring(text, s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int"))
+        shape = (
+            F.when(word.rlike(r"^[\p{N}'\u2019-]+$"), "[NUMBER]").when(word.rlike(r"\p{N}"), "[CODE]").when(word.rlike(r"^[\p{Lu}'\u2019-]{2,}$"), "[ACRONYM]")
+            .when(word.rlike(r"^\p{Lu}"), "[NAME]").otherwise("[WORD]")
+        )
+        known = F.array(*[F.lit(f"[{n.upper()}]") for n in NAMES])
+        return F.when(s["kind"] < len(NAMES), F.get(known, s["kind"])).when(s["kind"] == len(NAMES), shape).otherwise("")
+
     step = lambda acc, s: F.struct(
         F.greatest(acc["at"], s["end"]).alias("at"),
-        F.when(s["end"] > acc["at"], F.concat(acc["out"], F.substring(text, acc["at"].cast("int") + 1, F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int")), F.get(tags, s["kind"]))).otherwise(acc["out"]).alias("out"))
+        F.when(s["end"] > acc["at"], F.concat(acc["out"], F.substring(text, acc["at"].cast("int") + 1, F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int")), tag(s))).otherwise(acc["out"]).alias("out"))
     by_place = F.array_sort(F.transform(F.col(spans), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
     clean = F.aggregate(by_place, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"].cast("int") + 1, F.length(text))))
