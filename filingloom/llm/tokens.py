@@ -71,6 +71,8 @@ class TextEncoder:
         self.tokenizer, self.kind = Tokenizer.from_file(path), kind
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
+        # the longest run of marks in each: a text without any of them needs no closer look ("" is in every text)
+        self.marks = {max(re.split(r"[^\W_]+", t), key=len) for t in added}
         self.prefix = " " if kind == "bytes" else ""
         self.edge = np.zeros(self.tokenizer.get_vocab_size(), bool)  # tokens that begin, or end, a word
         for token, at in self.tokenizer.get_vocab().items():
@@ -157,7 +159,7 @@ class TextEncoder:
         """The ids of some texts; give about GROUP_CHARS of text at a time, or one longer text."""
         split: list[tuple[str, list[str]] | None] = []
         for text in texts:
-            if self.added and self.added.search(text):
+            if any(m in text for m in self.marks) and self.added.search(text):
                 split.append(WHOLE)
             elif self.kind == "words":
                 split.append(("", text.replace("\n", " ").split(" ")))
