@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,57 +23,55 @@ from pyspark.sql.window import Window
 from filingloom.llm.common import documents, importable
 
 UNDETERMINED = "und"
-LETTERS = 62  # the most frequent characters of the training texts; others share one code, white space and marks another
+SPACE_BITS = 19  # n-grams of code points are hashed to so many bits
 _LETTER = re.compile(r"[^\W\d_]")
-_BATCH = 256
-
-
-class Grams:
-    """Numbers the n-grams, for n from 1 to 3, over a small alphabet; 6 bits a character."""
-
-    def __init__(self, alphabet: list[str]) -> None:
-        self.code = np.full(0x110000, 1, np.uint8)  # 1: a letter outside the alphabet
-        for c in range(0x3000):
-            if not chr(c).isalpha():
-                self.code[c] = 0
-        for at, c in enumerate(alphabet[:LETTERS]):
-            self.code[ord(c)] = at + 2
-        self.size = 64 + 64**2 + 64**3
-
-    def present(self, text: str) -> np.ndarray:
-        """The numbers of the n-grams that a text has, lower-cased, between two white spaces."""
-        codes = self.code[np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.int32)
-        seen = np.zeros(self.size, bool)
-        seen[codes] = True
-        two = codes[:-1] * 64 + codes[1:]
-        seen[64 + two] = True
-        if len(codes) > 2:
-            seen[64 + 4096 + two[:-1] * 64 + codes[2:]] = True
-        seen[0] = seen[64] = seen[64 + 4096] = False  # white space and marks only
-        return np.flatnonzero(seen)
+_BATCH = 64
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+@cache
+def _codes() -> np.ndarray:
+    """A number for each code point: its own plus one for letters of any script, 1 for everything else."""
+    return np.array([c + 1 if chr(c).isalpha() else 1 for c in range(0x110000)], np.uint64)
+
+
+def present(text: str) -> np.ndarray:
+    """The slots of the n-grams, for n from 1 to 3, that a text has, lower-cased, between two white spaces.
+
+    Three code points fit into 63 bits, so each n-gram has a number of its own, which a multiplication then hashes to the
+    fixed space; only there may two share a slot. N-grams without a letter don't count.
+    """
+    one = _codes()[np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)]
+    seen = np.zeros(1 << SPACE_BITS, bool)
+    shift, grams, blank = np.uint64(21), one, np.uint64(1)
+    for n in range(3):
+        if n:
+            grams = (grams[:-1] << shift) | one[n:]
+            blank = (blank << shift) | np.uint64(1)
+        seen[(grams[grams != blank] * _MIX) >> np.uint64(64 - SPACE_BITS)] = True
+    return np.flatnonzero(seen)
 
 
 @dataclass
 class Model:
-    """grams: sorted numbers of the landmarks' n-grams; landmarks: their presence, each divided by its root; weights: per language."""
+    """grams: sorted slots of the landmarks' n-grams; landmarks: their presence, each divided by its root; weights: per language."""
 
     languages: list[str]
-    alphabet: list[str]
     grams: np.ndarray
     landmarks: np.ndarray
     weights: np.ndarray
 
 
-def kernel(numbering: Grams, model: Model, texts: list[str]) -> np.ndarray:
+def kernel(model: Model, texts: list[str]) -> np.ndarray:
     """The kernel of some texts with all landmarks."""
-    place = np.full(numbering.size, -1, np.int32)
+    place = np.full(1 << SPACE_BITS, -1, np.int32)
     place[model.grams] = np.arange(len(model.grams), dtype=np.int32)
     out = np.zeros((len(texts), len(model.landmarks)), np.float32)
     for cut in range(0, len(texts), _BATCH):
         part = texts[cut : cut + _BATCH]
         presence = np.zeros((len(part), len(model.grams)), np.float32)
         for i, text in enumerate(part):
-            own = numbering.present(text)
+            own = present(text)
             at = place[own]
             presence[i, at[at >= 0]] = 1 / np.sqrt(max(len(own), 1))
         out[cut : cut + len(part)] = presence @ model.landmarks.T
@@ -86,23 +85,17 @@ def train(rows: list[tuple[str, str]], n_landmarks: int = 40, ridge: float = 1e-
     regression on them has targets of 1 for the language and -1 for the rest, each language weighing the same.
     """
     languages = sorted({lang for lang, _ in rows})
-    counts: dict[str, int] = {}
-    for _, text in rows:
-        for c in text.lower():
-            counts[c] = counts.get(c, 0) + 1
-    alphabet = sorted((c for c in counts if c.isalpha() and ord(c) < 0x3000), key=lambda c: (-counts[c], c))[:LETTERS]
-    numbering = Grams(alphabet)
     chosen = [t for lang in languages for t in [t for x, t in rows if x == lang][:n_landmarks]]
-    present = [numbering.present(t) for t in chosen]
-    grams = np.unique(np.concatenate([np.zeros(0, np.int64), *present]))
+    slots = [present(t) for t in chosen]
+    grams = np.unique(np.concatenate([np.zeros(0, np.int64), *slots]))
     landmarks = np.zeros((len(chosen), len(grams)), np.float32)
-    for i, own in enumerate(present):
+    for i, own in enumerate(slots):
         landmarks[i, np.searchsorted(grams, own)] = 1 / np.sqrt(max(len(own), 1))
-    model = Model(languages, alphabet, grams, landmarks, np.zeros((len(chosen), len(languages)), np.float32))
+    model = Model(languages, grams, landmarks, np.zeros((len(chosen), len(languages)), np.float32))
     values, vectors = np.linalg.eigh((landmarks @ landmarks.T).astype(float))
     good = values > 1e-6 * max(values.max(initial=0.0), 1e-12)
     half = vectors[:, good] / np.sqrt(values[good])
-    features = kernel(numbering, model, [t for _, t in rows]).astype(float) @ half
+    features = kernel(model, [t for _, t in rows]).astype(float) @ half
     target = np.array([[1.0 if lang == x else -1.0 for x in languages] for lang, _ in rows]).reshape(len(rows), len(languages))
     share = np.array([1 / sum(x == lang for x, _ in rows) for lang, _ in rows])
     gram = features.T @ (features * share[:, None]) + ridge * np.eye(features.shape[1])
@@ -110,15 +103,17 @@ def train(rows: list[tuple[str, str]], n_landmarks: int = 40, ridge: float = 1e-
     return model
 
 
-def fit_languages(docs: DataFrame, per_language: int = 250, n_landmarks: int = 40, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+def fit_languages(docs: DataFrame, per_language: int = 250, n_landmarks: int = 40, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", longest: int = 100_000) -> Model:
     """Fit on a sample of at most per_language rows for each language, the same in any run: those whose id and text hash lowest.
 
-    Rows without a language, or whose text is null or has no letter, are left out. The languages are counted first, and only rows
+    Rows without a language, or whose text is null, has no letter or has more than `longest` characters, are left out, so what
+    comes to the driver is at most per_language * longest characters a language; texts of any length are predicted. An empty
+    table gives a model without languages. Only the three named columns are read, whatever others there are. The languages are counted first, and only rows
     with a hash so low that about eight times the sample passes are looked at further, so the same amount of text moves
     at any size of the input. A language that then has too few, as when its rows repeat, is drawn from all its rows.
     """
     share = F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    some = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), share.alias("h"))
+    some = docs.filter(F.col(lang_col).isNotNull() & (F.length(text_col) <= longest) & F.col(text_col).rlike(r"\p{L}")).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), share.alias("h"))
     counts = {r.lang: r.n for r in some.groupBy("lang").agg(F.count("*").alias("n")).collect()}
 
     def lowest(limits: dict[str, float]) -> list[tuple]:
@@ -140,22 +135,21 @@ def predict_languages(docs: DataFrame, model: Model, text_col: str = "text") ->
     """A struct of lang_pred and score for each row's text.
 
     lang_pred is the language with the highest regression value, the first in order on a tie; score is its share in a
-    softmax of the values. A text that is null or has no letter, or a model without languages, gives "und" and 0.
+    softmax of the values. A text that is null or has no letter, or a model without languages, gives "und" and 0. Whole texts
+    of any length count; a very long one takes memory in proportion to its length, and equal texts get equal results.
     """
     importable(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    worker: dict[str, Grams] = {}
 
     @F.arrow_udf("lang_pred string, score double")
     def predicted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = sent.value
-        numbering = worker.setdefault("grams", Grams(model.alphabet))
         for batch in batches:
             langs, scores = [UNDETERMINED] * len(batch), np.zeros(len(batch))
             at, texts = [], []
 
             def flush(at=at, texts=texts, langs=langs, scores=scores) -> None:
-                values = 4 * (kernel(numbering, model, texts) @ model.weights).astype(float)
+                values = 4 * (kernel(model, texts) @ model.weights).astype(float)
                 share = np.exp(values - values.max(axis=1, keepdims=True))
                 share /= share.sum(axis=1, keepdims=True)
                 for i, row in zip(at, share, strict=True):

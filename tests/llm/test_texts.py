@@ -12,7 +12,7 @@ from plain_text import WORD, plain_measures
 from pyspark.sql import functions as F
 
 from filingloom.llm import pitmanyor
-from filingloom.llm.language import Grams, fit_languages, predict_languages, train
+from filingloom.llm.language import SPACE_BITS, fit_languages, kernel, predict_languages, present, train
 from filingloom.llm.mixing import mix_sources
 from filingloom.llm.pitmanyor import sample_tables, score_texts
 from filingloom.llm.privacy import find_private, sanitise
@@ -83,20 +83,60 @@ def test_poisson_draws_have_the_right_spread(spark):
     assert abs(np.mean(b) - 200) < 8 and 80 < np.var(b) < 400  # mean 200, drawn in parts
 
 
-def test_kernel_counts_shared_grams():
-    grams = Grams(list("abc"))
-    own = set(grams.present("ab c").tolist())
-    chars = lambda t: [grams.code[ord(c)] for c in f" {t.lower()} "]
-    expected = set()
-    for n, base in ((1, 0), (2, 64), (3, 64 + 4096)):
-        x = chars("ab c")
-        for i in range(len(x) - n + 1):
-            number = 0
-            for c in x[i : i + n]:
-                number = number * 64 + int(c)
-            if number:
-                expected.add(base + number)
-    assert own == expected
+def _slots(text):
+    """The hashed n-grams of a text, in plain Python."""
+    codes = [ord(c) + 1 if c.isalpha() else 1 for c in f" {text.lower()} "]
+    out = set()
+    for n in (1, 2, 3):
+        for i in range(len(codes) - n + 1):
+            gram = codes[i : i + n]
+            if any(c != 1 for c in gram):
+                number = 0
+                for c in gram:
+                    number = (number << 21) | c
+                out.add((number * 0x9E3779B97F4A7C15) % 2**64 >> (64 - SPACE_BITS))
+    return out
+
+
+def _plain_kernel(a, b):
+    x, y = _slots(a), _slots(b)
+    return len(x & y) / math.sqrt(max(len(x), 1) * max(len(y), 1))
+
+
+SCRIPTS = [
+    ("zh", "\u6211\u4eec\u5728\u8fd9\u91cc\u5b66\u4e60\u6c49\u8bed"), ("zh", "\u4ed6\u4eec\u5728\u90a3\u91cc\u5de5\u4f5c"),
+    ("ja", "\u79c1\u305f\u3061\u306f\u3053\u3053\u3067\u52c9\u5f37\u3057\u307e\u3059"), ("ja", "\u5f7c\u306f\u305d\u3053\u3067\u50cd\u304d\u307e\u3059"),
+    ("ko", "\uc6b0\ub9ac\ub294 \uc5ec\uae30\uc11c \uacf5\ubd80\ud569\ub2c8\ub2e4"), ("ru", "\u043c\u044b \u0443\u0447\u0438\u043c\u0441\u044f \u0437\u0434\u0435\u0441\u044c"),
+    ("en", "We study HERE, 12 of us"), ("el", "\u03b5\u03b4\u03ce \u03bc\u03b1\u03b8\u03b1\u03af\u03bd\u03bf\u03c5\u03bc\u03b5"),
+]
+
+
+@pytest.mark.parametrize("text", ["", " ", "a", "ab c", "1 2 a", "\U0002070e \u6f22", "x" * 5000, *[t for _, t in SCRIPTS]])
+def test_present_grams(text):
+    assert set(present(text).tolist()) == _slots(text)
+
+
+def test_regression_against_plain_kernels():
+    """Scores equal a ridge regression on the Nystrom features of kernels counted in plain Python."""
+    landmarks = [t for lang in sorted({x for x, _ in SCRIPTS}) for t in [t for x, t in SCRIPTS if x == lang][:1]]
+    model = train(SCRIPTS, n_landmarks=1)
+    k = np.array([[_plain_kernel(a, b) for b in landmarks] for a in landmarks])
+    values, vectors = np.linalg.eigh(k)
+    half = vectors @ np.diag(values**-0.5)
+    x = np.array([[_plain_kernel(t, b) for b in landmarks] for _, t in SCRIPTS]) @ half
+    y = np.array([[1.0 if lang == m else -1.0 for m in model.languages] for lang, _ in SCRIPTS])
+    w = np.diag([1 / sum(m == lang for m, _ in SCRIPTS) for lang, _ in SCRIPTS])
+    beta = np.linalg.solve(x.T @ w @ x + 1e-2 * np.eye(x.shape[1]), x.T @ w @ y)
+    assert np.allclose(kernel(model, [t for _, t in SCRIPTS]) @ model.weights, x @ beta, atol=1e-3)
+
+
+def test_scripts_beyond_the_alphabets(spark):
+    docs = spark.createDataFrame([(i, t, lang, "x") for i, (lang, t) in enumerate(SCRIPTS)], "doc_id long, text string, lang string, p string")
+    model = fit_languages(docs)
+    asked = spark.createDataFrame([(1, "\u5f7c\u3089\u306f\u50cd\u3044\u3066\u3044\u307e\u3059", "ja"), (2, "\u4ed6\u5728\u5b66\u4e60", "zh"), (3, "\ud569\ub2c8\ub2e4", "ko"), (4, "\u0443\u0447\u0438\u043c", "ru")], "p long, Text string, lang_pred string")
+    out = asked.select("lang_pred", predict_languages(asked, model).alias("got")).select("lang_pred", F.col("got.lang_pred").alias("found")).collect()
+    assert [r.found for r in out] == [r.lang_pred for r in out]
+    assert "en" not in fit_languages(docs, longest=22).languages and "en" in fit_languages(docs, longest=23).languages
 
 
 def test_languages(spark, sf_dir):
