@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from filingloom.llm.common import Stage, importable
 
 QUERY_BYTES = 16 << 20  # query vectors sent to every task at a time
-TILE = 2048  # candidates in one tile
+TILE_BYTES = 16 << 20  # scores held at a time: one tile of candidates by all queries of a block
 EXACT = 2.0**53  # whole numbers up to here are exact in a float's product and sum
 _FOUND = "query_id bigint, vec_id bigint, score bigint"
 
@@ -25,25 +25,61 @@ def quantised(vector: Column, scale: int = 1024) -> Column:
     return F.when(vector.isNotNull() & ~F.exists(vector, bad), whole)
 
 
-def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best: highest score first, then smallest id."""
-    if len(ids) > k:
-        least = np.partition(scores, len(scores) - k)[len(scores) - k]
-        at = np.flatnonzero(scores >= least)
-    else:
-        at = np.arange(len(ids))
-    return at[np.lexsort((ids[at], -scores[at]))][:k]
-
-
-def _product(queries: np.ndarray, tile: np.ndarray) -> np.ndarray:
-    """Exact whole inner products; those beyond 64 bits are held at the largest or smallest number."""
-    if queries.shape[1] == 0:
-        return np.zeros((len(queries), len(tile)), np.int64)
-    bound = float(np.abs(queries.astype(float)).max()) * float(np.abs(tile.astype(float)).max()) * queries.shape[1]
-    if bound < EXACT:
-        return (queries.astype(float) @ tile.astype(float).T).astype(np.int64)
-    exact = queries.astype(object) @ tile.astype(object).T
-    return np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
+def _merge(row: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best entries of each row: highest score first, then smallest id; an id counts once, with its best score."""
+    order = np.lexsort((~scores, ids, row))
+    row, ids, scores = row[order], ids[order], scores[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (ids[1:] != ids[:-1])
+    row, ids, scores = row[new], ids[new], scores[new]
+    order = np.lexsort((ids, ~scores, row))
+    row, ids, scores = row[order], ids[order], scores[order]
+    best = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[best], ids[best], scores[best]
+
+
+class _Lists:
+    """The best entries so far of all queries of one length; tiles of candidates come one after the other."""
+
+    def __init__(self, query_ids: np.ndarray, matrix: np.ndarray, k: int) -> None:
+        self.query_ids, self.matrix, self.k = query_ids, matrix, k
+        self.floats = matrix.astype(float)
+        self.largest = float(np.abs(self.floats).max(initial=0.0))
+        self.tile = max(1, TILE_BYTES // (8 * len(query_ids)))
+        self.row, self.ids, self.scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _product(self, tile: np.ndarray) -> np.ndarray:
+        """Exact whole inner products; those beyond 64 bits are held at the largest or smallest number."""
+        if tile.shape[1] == 0:
+            return np.zeros((len(self.matrix), len(tile)), np.int64)
+        floats = tile.astype(float)
+        if self.largest * float(np.abs(floats).max()) * tile.shape[1] < EXACT:
+            return (self.floats @ floats.T).astype(np.int64)
+        exact = self.matrix.astype(object) @ tile.astype(object).T
+        return np.clip(exact, -(2**63), 2**63 - 1).astype(np.int64)
+
+    def add(self, ids: np.ndarray, tile: np.ndarray) -> None:
+        order = np.argsort(ids, kind="stable")
+        ids, start = np.unique(ids[order], return_index=True)
+        scores = self._product(tile[order])
+        if len(start) < scores.shape[1]:  # an id with several rows has its best score
+            scores = np.maximum.reduceat(scores, start, axis=1)
+        # what a full list holds last; better entries only are looked at
+        n, last = np.bincount(self.row, minlength=len(self.matrix)), np.flatnonzero(np.diff(self.row, append=-1))
+        full = n >= self.k
+        least, least_id = np.zeros(len(n), np.int64), np.zeros(len(n), np.int64)
+        least[self.row[last]], least_id[self.row[last]] = self.scores[last], self.ids[last]
+        better = (scores > least[:, None]) | ((scores == least[:, None]) & (ids < least_id[:, None])) | ~full[:, None]
+        some = np.flatnonzero(better.any(axis=1))
+        scores, better = scores[some], better[some]
+        if len(ids) > self.k + 1 and len(some):  # one more than k, as the query itself may be among them
+            at = len(ids) - self.k - 1
+            better &= scores >= np.partition(scores, at, axis=1)[:, at, None]
+        better &= ids != self.query_ids[some, None]
+        r, c = np.nonzero(better)
+        if len(r):
+            joined = [np.concatenate(x) for x in ((self.row, some[r]), (self.ids, ids[c]), (self.scores, scores[r, c]))]
+            self.row, self.ids, self.scores = _merge(*joined, self.k)
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -52,10 +88,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
     Ties go to the smaller id. All rows are candidates but those with the query's id. Vectors that are null, or hold a null
     or a component that is not finite, take no part; a row with a null id neither. Only vectors of equal length are
     compared. Rows with one id and one vector count once; an id with several vectors has its best score with each query
-    vector. Fewer than k candidates: all of them.
+    vector. Fewer than k candidates: all of them. An empty table, or one without queries, gives no rows. Vectors may be of any
+    length that fits a block. Other columns are not read, whatever their names.
 
     The queries go out in blocks of a fixed number of bytes; each block is a pass over all candidates, in which every task
-    keeps k rows for each query. The lists of the tasks are merged in two levels, so no task gathers all lists of a query.
+    keeps k rows for each query. A tile has as many candidates as give a fixed number of bytes of scores, and its entries are
+    chosen for all queries at once. The lists of the tasks are merged in two levels, so no task gathers all lists of a query.
     """
     spark = vectors.sparkSession
     stage = Stage(spark)
@@ -76,37 +114,18 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
         sent = spark.sparkContext.broadcast(by_length)
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            kept: dict[int, list] = {n: [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(ids) for n, (ids, _) in sent.value.items()}
+            kept = {n: _Lists(ids, matrix, k) for n, (ids, matrix) in sent.value.items()}
             for batch in batches:
                 ids, lists = batch.column(0).to_numpy(), batch.column(1)
                 lengths = lists.value_lengths().to_numpy()
-                for n, (query_ids, matrix) in sent.value.items():
+                for n, best in kept.items():
                     at = np.flatnonzero(lengths == n)
-                    for cut in range(0, len(at), TILE):
-                        own = at[cut : cut + TILE]
-                        tile = lists.take(pa.array(own)).flatten().to_numpy().reshape(len(own), n)
-                        scores = _product(matrix, tile)
-                        for q, query_id in enumerate(query_ids.tolist()):
-                            old_ids, old_scores = kept[n][q]
-                            new = scores[q]
-                            if len(old_ids) >= k:
-                                some = np.flatnonzero(new >= old_scores[-1])
-                                some = some[ids[own][some] != query_id]
-                                if not len(some):
-                                    continue
-                            else:
-                                some = np.flatnonzero(ids[own] != query_id)
-                            all_ids, all_scores = np.concatenate([old_ids, ids[own][some]]), np.concatenate([old_scores, new[some]])
-                            order = np.lexsort((all_ids, -all_scores))  # a repeated row counts once
-                            _, first = np.unique(all_ids[order], return_index=True)
-                            order = order[np.sort(first)]
-                            all_ids, all_scores = all_ids[order], all_scores[order]
-                            best = _best(all_ids, all_scores, k)
-                            kept[n][q] = (all_ids[best], all_scores[best])
-            for n, (query_ids, _) in sent.value.items():
-                for query_id, (found, scores) in zip(query_ids.tolist(), kept[n], strict=True):
-                    if len(found):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), query_id)), pa.array(found), pa.array(scores)], names=["query_id", "vec_id", "score"])
+                    for cut in range(0, len(at), best.tile):
+                        own = at[cut : cut + best.tile]
+                        best.add(ids[own], lists.take(pa.array(own)).flatten().to_numpy().reshape(len(own), n))
+            for best in kept.values():
+                if len(best.row):
+                    yield pa.RecordBatch.from_arrays([pa.array(best.query_ids[best.row]), pa.array(best.ids), pa.array(best.scores)], names=["query_id", "vec_id", "score"])
 
         parts.append(stage.write(rows.select("vec_id", "v").mapInArrow(search, _FOUND).withColumn("task", F.spark_partition_id()), f"found-{b}"))
         sent.unpersist()

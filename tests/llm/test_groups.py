@@ -7,7 +7,7 @@ import pytest
 from plain_text import EDGES, closest, family, kept_lines
 from pyspark.sql import functions as F
 
-from filingloom.llm import jaccard
+from filingloom.llm import jaccard, search
 from filingloom.llm.common import Stage
 from filingloom.llm.components import components
 from filingloom.llm.jaccard import Threshold, one_of_each_group, similar_documents
@@ -105,6 +105,42 @@ def test_lines_of_rows_without_an_id_come_last(spark):
     assert rows == [("4", "A line of some length ", 0), ("None", "", 1)]
 
 
+@pytest.mark.parametrize(("n_queries", "spread", "tile_bytes"), [(40_000, 200, 16 << 20), (40_000, 2, 1 << 20), (3, 1, 64), (1, 5, 1)])
+def test_lists_of_a_block(monkeypatch, n_queries, spread, tile_bytes):
+    """Ties, repeated rows, ids with several vectors and the queries themselves, in tiles of a fixed number of bytes."""
+    monkeypatch.setattr(search, "TILE_BYTES", tile_bytes)
+    rng = np.random.default_rng(5)
+    matrix = rng.integers(-spread, spread + 1, (n_queries, 6))
+    ids = np.concatenate([np.arange(0, 240), np.full(30, 7), rng.integers(0, 240, 30)])
+    rows = rng.integers(-spread, spread + 1, (300, 6))
+    rows[150:200] = rows[150]  # copies
+    query_ids = np.arange(n_queries) % 500
+    lists = search._Lists(query_ids, matrix, 10)
+    assert lists.tile * n_queries * 8 <= tile_bytes or lists.tile == 1
+    order = rng.permutation(300)
+    for cut in range(0, 300, lists.tile):
+        own = order[cut : cut + lists.tile]
+        lists.add(ids[own], rows[own])
+    known = np.unique(ids)
+    scores = np.stack([(matrix @ rows[ids == i].T).max(axis=1) for i in known], axis=1)
+    scores[query_ids[:, None] == known[None, :]] = -(10**9)
+    best = np.argsort(-scores, axis=1, kind="stable")[:, :10]
+    assert (lists.row == np.repeat(np.arange(n_queries), 10)).all()
+    assert (lists.ids == known[best].ravel()).all()
+    assert (lists.scores == np.take_along_axis(scores, best, axis=1).ravel()).all()
+
+
+def test_top_k_of_many_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.integers(-3, 4, 4).astype(float).tolist()) for i in range(300)]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    whole = {(r.query_id, r["rank"], r.vec_id, r.score) for r in top_k(docs, F.col("vec_id") % 3 == 0, k=4).collect()}
+    monkeypatch.setattr(search, "QUERY_BYTES", 1200)
+    monkeypatch.setattr(search, "TILE_BYTES", 4000)
+    assert {(r.query_id, r["rank"], r.vec_id, r.score) for r in top_k(docs, F.col("vec_id") % 3 == 0, k=4).collect()} == whole
+    assert len(whole) == 400
+
+
 def test_top_k_against_plain_python(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=4).astype("float32").tolist()) for i in range(400)]
