@@ -5,11 +5,12 @@ just if their overlap is large enough. Large sets (heavy) are met in inverted li
 shingles, the rarest first, are listed that two similar sets must meet in one of them. The size that separates the
 two is the one with the least estimated cost.
 
-What follows is the same for lists of subsets and of shingles. A list's members are compared by bit maps whose
-distance never exceeds the distance of the sets. Of the pairs that may be similar, a list yields a spanning forest,
-the closest first, and these are verified by the sets themselves. Only lists in which a pair failed are looked at
-again, for the pairs that are not connected otherwise. So a group of near copies yields a few links for each member
-and never all its pairs, and no link between two components is missed.
+What follows is the same for lists of subsets and of shingles. Each member is compared with the smallest one of its
+list, those outside the list's main component then with a few of that, and only those still outside with all members,
+in blocks. Pairs are compared by bit maps, whose distance never exceeds the distance of the sets, and verified by the
+sets themselves. Of the pairs of a block that may be similar, a spanning forest is verified, the closest first; only
+lists in which a pair of it failed are looked at again, for the pairs that are not connected otherwise. So a group of
+near copies yields a few links for each member and never all its pairs, and no link between two components is missed.
 """
 
 from __future__ import annotations
@@ -30,9 +31,9 @@ from filingloom.llm.components import components
 from filingloom.llm.near_sql import near_copies_sql
 
 MAX_LIGHT = 24  # sets below this size are sent whole, so that any smaller boundary can be chosen
-BITS = 1024  # of a set's bit map
+BITS = 1024  # least number of a set's bit map
 BLOCK = 2048  # members of a list compared in one task at a time
-SMALL_LIST = 8  # a list up to this length yields all its pairs that may be similar
+SCOUTS = 8  # members of a list's main component that those outside are compared with
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _WORDS: dict[bytes, int] = {}
 
@@ -122,10 +123,44 @@ _SETS = "doc_id bigint, n bigint, cls binary, low array<bigint>, rest array<bigi
 
 
 def _bitmap(tokens: np.ndarray) -> bytes:
-    counts = np.bincount((_mix(tokens) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    """Parities of the numbers of hashes that fall on each bit; half as many bits as hashes, rounded up to a power of two."""
+    width = max(BITS, 1 << ((len(tokens) + 1) // 2 - 1).bit_length())
+    counts = np.bincount((_mix(tokens) % np.uint64(width)).astype(np.int64), minlength=width) & 1
     return np.packbits(counts.astype(np.uint8)).tobytes()
 
 
+def _matrix(maps: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(maps), np.uint64).reshape(len(maps), -1)
+
+
+def _folded(maps: np.ndarray, words: int) -> np.ndarray:
+    """Bit maps of fewer bits: bits that fall together are added up, as if the hashes had been dealt so."""
+    while maps.shape[1] > words:
+        half = maps.shape[1] // 2
+        maps = maps[:, :half] ^ maps[:, half:]
+    return maps
+
+
+def _likely(near: Threshold) -> Callable:
+    """The pairs (a, b) with sizes n, m and bit maps s, t that may be similar."""
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+            s, t = batch.column("s").to_pylist(), batch.column("t").to_pylist()
+            shapes: dict[tuple[int, int], list[int]] = {}
+            for i, shape in enumerate(zip(map(len, s), map(len, t), strict=True)):
+                shapes.setdefault(shape, []).append(i)
+            keep = np.zeros(len(s), bool)
+            for shape, at in shapes.items():
+                words = min(shape) // 8
+                left, right = _folded(_matrix([s[i] for i in at]), words), _folded(_matrix([t[i] for i in at]), words)
+                keep[at] = np.bitwise_count(left ^ right).sum(axis=1) <= near.distance(total[at])
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
+
+    return likely
+
+
 def _sketches(k: int, near: Threshold, region: float) -> Callable:
     """Size, identity, listed part and bit map of each text's set.
 
@@ -155,55 +190,65 @@ def _sketches(k: int, near: Threshold, region: float) -> Callable:
     return sketches
 
 
-class _Forest:
-    def __init__(self, n: int) -> None:
-        self.up = list(range(n))
-
-    def root(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.root(a), self.root(b)
-        self.up[max(a, b)] = min(a, b)
-        return a != b
+def _root(up: dict[int, int], x: int) -> int:
+    while (top := up.get(x, x)) != x:
+        up[x] = up.get(top, top)
+        x = top
+    return x
 
 
 def _near_pairs(near: Threshold, every: bool) -> Callable:
     """Pairs of a list's members that may be similar, by their bit maps.
 
-    Rows come sorted by cell; a cell is a list, or two of its blocks. Pairs with one label are left out. Of a longer list
-    only a spanning forest is given, the closest pairs first, unless every pair is wanted.
+    Rows come sorted by cell: a block of a list's members and a block of those that ask. Pairs with one label are left
+    out. A spanning forest of the labels is given, the closest pairs first, unless every pair is wanted.
     """
     out_names = ["token", "a", "b"]
 
-    def one(token, node, n, bits, block, label) -> Iterator[tuple]:
-        order = np.lexsort((node, n))
-        node, n, bits, block, label = node[order], n[order], bits[order], block[order], label[order]
-        most = np.array([near.most_partner(int(x)) for x in n])
-        two = block.min() != block.max()
+    def distances(bits: list[bytes], member: np.ndarray, asker: int, lo: int, hi: int, maps: dict) -> np.ndarray:
+        """Distances of an asker to the members lo to hi. Members are sorted by size, so those with maps of one width lie together."""
+        own, out = _matrix([bits[asker]]), []
+        while lo < hi:
+            width = len(bits[member[lo]])
+            if width not in maps:
+                same = [i for i in range(len(member)) if len(bits[member[i]]) == width]
+                maps[width] = same[0], same[-1] + 1, _matrix([bits[member[i]] for i in same])
+            start, end, whole = maps[width]
+            to, words = min(end, hi), min(width // 8, own.shape[1])
+            out.append(np.bitwise_count(_folded(whole[lo - start : to - start], words) ^ _folded(own, words)).sum(axis=1))
+            lo = to
+        return np.concatenate(out)
+
+    def one(token, node, n, bits, asks, opened, label) -> Iterator[tuple]:
+        by_size = np.lexsort((node, n))
+        member, maps = by_size[~asks[by_size]], {}
+        sizes = n[member]
         found_a, found_b, found_d = [], [], []
-        for i in range(len(node) - 1):
-            end = int(np.searchsorted(n, most[i], side="right"))
-            if end <= i + 1:
+        for i in np.flatnonzero(asks):
+            lo = int(np.searchsorted(sizes, near.least_partner(int(n[i]))))
+            hi = int(np.searchsorted(sizes, near.most_partner(int(n[i])), side="right"))
+            if lo == hi:
                 continue
-            d = np.bitwise_count(bits[i + 1 : end] ^ bits[i]).sum(axis=1)
-            ok = (d <= near.distance(n[i] + n[i + 1 : end])) & (label[i + 1 : end] != label[i]) & (node[i + 1 : end] != node[i])
-            if two:  # pairs within a block belong to the block's own cell
-                ok &= block[i + 1 : end] != block[i]
+            to = member[lo:hi]
+            d = distances(bits, member, i, lo, hi, maps)
+            # two that both ask meet twice: the pair counts where the smaller one asks
+            ok = (d <= near.distance(n[i] + n[to])) & (label[to] != label[i]) & ~(opened[to] & (node[to] <= node[i]))
             if len(at := np.flatnonzero(ok)):
                 found_a.append(np.full(len(at), i))
-                found_b.append(at + i + 1)
+                found_b.append(to[at])
                 found_d.append(d[at])
         if found_a:
             a, b, d = map(np.concatenate, (found_a, found_b, found_d))
-            if len(node) > SMALL_LIST and not every:
-                forest = _Forest(len(node))
-                keep = [i for i in np.lexsort((b, a, d)).tolist() if forest.join(int(a[i]), int(b[i]))]
+            if not every:
+                up: dict[int, int] = {}
+                keep = []
+                for i in np.lexsort((node[b], node[a], d)).tolist():
+                    x, y = _root(up, int(label[a[i]])), _root(up, int(label[b[i]]))
+                    if x != y:
+                        up[max(x, y)] = min(x, y)
+                        keep.append(i)
                 a, b = a[keep], b[keep]
-            yield np.full(len(a), token), node[a], node[b]
+            yield np.full(len(a), token), np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -216,18 +261,18 @@ def _near_pairs(near: Threshold, every: bool) -> Callable:
                 ends = ends[:-1]
             out, start = [], 0
             if ends:
-                node, n, block, label = (table.column(c).to_numpy() for c in ("node", "n", "block", "label"))
-                bits = np.frombuffer(b"".join(table.column("bits").slice(0, ends[-1]).to_pylist()), np.uint64).reshape(-1, BITS // 64)
+                node, n, asks, opened, label = (table.column(c).to_numpy() for c in ("node", "n", "asks", "open", "label"))
                 for end in ends:
                     if end - start > 1:
                         s = slice(start, end)
-                        out.extend(one(token[start], node[s], n[s], bits[s], block[s], label[s]))
+                        bits = table.column("bits").slice(start, end - start).to_pylist()
+                        out.extend(one(token[start], node[s], n[s], bits, asks[s], opened[s], label[s]))
                     start = end
             return out, (None if last or start == len(token) else table.slice(start))
 
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table]).combine_chunks()
+            held = table if held is None else pa.concat_tables([held, table])
             out, held = cells(held, False)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=out_names)
@@ -239,12 +284,13 @@ def _near_pairs(near: Threshold, every: bool) -> Callable:
     return pairs
 
 
-def _cells(listed: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Members of lists dealt to cells: a list of up to BLOCK members is one cell, a longer one has a cell for each two blocks."""
-    blocked = listed.join(sizes, "token").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    block = blocked.withColumn("block", F.pmod(F.xxhash64("node", F.lit(7)), "blocks").cast("int"))
-    other = block.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return other.select("token", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"), "node", "n", "bits", "block", "label")
+def _cells(mixed: DataFrame, counted: DataFrame) -> DataFrame:
+    """Members and those that ask (both, if open) dealt to cells of a block of each."""
+    dealt = mixed.join(counted, "token").withColumn("h", F.xxhash64("node", F.lit(7)))
+    every = lambda many: F.explode(F.sequence(F.lit(0), F.col(many) - 1))
+    as_member = dealt.select("token", F.pmod("h", "lefts").cast("int").alias("left"), every("rights").alias("right"), F.lit(False).alias("asks"), "open", "node", "label")
+    as_asker = dealt.filter("open").select("token", every("lefts").alias("left"), F.pmod("h", "rights").cast("int").alias("right"), F.lit(True).alias("asks"), "open", "node", "label")
+    return as_member.unionAll(as_asker)
 
 
 def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, region: float | None = None,
@@ -254,7 +300,8 @@ def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100
     Words are separated by ASCII white space, A-Z in lower case. Two sets are linked if den * intersection >= num * union.
     Shingles are compared by 64-bit hashes, sets with equal content by 128 bits. A null or empty text has an empty set and
     is linked with nothing, not even its like; a text of fewer than k words has one shingle, all of it. Rows with one id are
-    one document, whose texts may link it to others in turn. A row with a null id has no node or component.
+    one document, whose texts may link it to others in turn. A row with a null id has no node or component. Very long texts are
+    taken whole, with a bit map that grows with their set; an empty table gives an empty one; other columns take no part.
     region: part of the hash space in which the frequency of shingles is counted for the order of listing; any value
     gives the same result.
     """
@@ -307,12 +354,12 @@ def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100
     subsets = nodes.filter(n < boundary).select("node", "n", "low", "rest").mapInArrow(light, "token bigint, node bigint, n bigint")
     listed = stage.write(listed.unionAll(subsets), "listed")
     stage.release("shared", "often", "heavy")
-    lengths = stage.write(listed.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1"), "lengths")
-    listed = stage.write(listed.join(lengths.select("token"), "token", "left_semi").join(nodes.select("node", "bits"), "node"), "members")
-    stage.release("listed")
+    heads = stage.write(listed.groupBy("token").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("size")).filter("size > 1"), "heads")
+    members = stage.write(listed.join(heads.select("token", F.col("head.node").alias("head"), F.col("head.n").alias("m"), "size"), "token"), "members")
+    stage.release("listed", "heads")
 
     # verification
-    named = listed.select("node").distinct()
+    named = stage.write(members.select("node").distinct(), "named")
     flags = named.select(F.pmod(F.xxhash64("node"), F.lit(1 << 22)).alias("at")).groupBy(F.shiftright("at", 6).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits"))
     bitmap = np.zeros(1 << 16, np.int64)
     for r in flags.collect():  # at most 65,536 rows, at any size of the input
@@ -338,22 +385,50 @@ def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100
         checked = both.select("a", "b", (den * F.col("common") >= num * (F.size("s") + F.size("t") - F.col("common"))).alias("ok"))
         return stage.write(checked.groupBy("a", "b").agg(F.max("ok").alias("ok")), name)
 
-    def candidates(members: DataFrame, every: bool) -> DataFrame:
-        sizes = members.groupBy("token").agg(F.count("*").alias("size"))
-        cells = _cells(members, stage.write(sizes, "sizes"))
-        cells = cells.repartition("token", "left", "right").sortWithinPartitions("token", "left", "right")
+    left = nodes.select(F.col("node").alias("a"), "n", F.col("bits").alias("s"))
+    right = nodes.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("bits").alias("t"))
+
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs (a, b) that are links: first by size and bit maps, then by the full sets."""
+        fit = den * F.least("n", "m") >= num * F.greatest("n", "m")
+        likely = pairs.distinct().join(left, "a").join(right, "b").filter(fit).select("a", "b", "n", "m", "s", "t").mapInArrow(_likely(near), "a bigint, b bigint")
+        return verified(stage.write(likely, "likely"), name).filter("ok").select("a", "b")
+
+    def still_open(labels: DataFrame, name: str, of: DataFrame) -> DataFrame:
+        """Members of lists of several components, with their label, the main one and whether theirs is another."""
+        labelled = stage.write(of.filter("size > 2").select("token", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), f"{name}-labelled")
+        parts = labelled.groupBy("token", "label").agg(F.count("*").alias("n")).groupBy("token").agg(F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("parts"))
+        mixed = stage.write(parts.filter("parts > 1").select("token", F.col("most.label").alias("main")), f"{name}-mixed")
+        return labelled.join(mixed, "token").withColumn("open", F.col("label") != F.col("main"))
+
+    def candidates(mixed: DataFrame, every: bool) -> DataFrame:
+        counted = mixed.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("lefts"), F.ceil(F.sum(F.col("open").cast("int")) / BLOCK).cast("int").alias("rights"))
+        cells = _cells(mixed, stage.write(counted, "counted")).join(nodes.select("node", "n", "bits"), "node")
+        cells = cells.select("token", "left", "right", "asks", "open", "node", "n", "bits", "label").repartition("token", "left", "right").sortWithinPartitions("token", "left", "right")
         return cells.mapInArrow(_near_pairs(near, every), "token bigint, a bigint, b bigint")
 
-    first = stage.write(candidates(listed.withColumn("label", F.col("node")), False), "pairs")
+    # each member against the smallest of its lists
+    size_fits = den * F.least("n", "m") >= num * F.greatest("n", "m")
+    links = linked(members.filter("node <> head").filter(size_fits).select(F.col("head").alias("a"), F.col("node").alias("b")), "heads-checked")
+    labels = stage.write(components(links.unionAll(same_id.toDF("a", "b")), stage), "labels")
+
+    # in lists of several components, those outside the main one against some of its members
+    mixed = still_open(labels, "first", members)
+    scouts = mixed.filter("NOT open").groupBy("token").agg(*[F.min_by("node", F.xxhash64("node", F.lit(i))).alias(f"s{i}") for i in range(SCOUTS)])
+    asked = mixed.filter("open").join(scouts, "token").select("node", F.explode(F.array_distinct(F.array(*[f"s{i}" for i in range(SCOUTS)]))).alias("scout"))
+    links = linked(asked.select(F.least("node", "scout").alias("a"), F.greatest("node", "scout").alias("b")), "scouts-checked")
+    labels = stage.write(components(labels.toDF("a", "b").unionAll(links), stage), "labels")
+
+    # those that are still outside against all members, and once more where a pair of the forest failed
+    first = stage.write(candidates(still_open(labels, "second", members), False), "pairs")
     checked = verified(first.select("a", "b").distinct(), "checked")
-    links = checked.filter("ok").select("a", "b").unionAll(same_id.toDF("a", "b"))
-    failed = first.join(checked.filter("NOT ok"), ["a", "b"]).select("token").distinct()
-    labels = components(links, stage)
-    again = listed.join(failed, "token", "left_semi").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    again = stage.write(candidates(again, True).select("a", "b").distinct().join(checked, ["a", "b"], "left_anti"), "again")
+    failed = stage.write(first.join(checked.filter("NOT ok"), ["a", "b"]).select("token").distinct(), "failed")
+    labels = stage.write(components(labels.toDF("a", "b").unionAll(checked.filter("ok").select("a", "b")), stage), "labels")
+    again = candidates(still_open(labels, "third", members.join(failed, "token", "left_semi")), True)
+    again = stage.write(again.select("a", "b").distinct().join(checked, ["a", "b"], "left_anti"), "again")
     late = verified(again, "checked-again").filter("ok").select("a", "b")
     labels = components(labels.toDF("a", "b").unionAll(late), stage, "final-stars")
-    stage.release("members", "pairs", "full", "again", "sizes", "lengths", "nodes")
+    stage.release(*[n for n in stage.paths if n not in ("rows", "final-stars")])
     out = rows.join(labels, "node", "left")
     component = F.coalesce("label", "node", F.col("doc_id"))
     return out.select("doc_id", "n_shingles", F.coalesce("node", F.col("doc_id")).alias("node"), component.alias("component_id"))

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from plain_text import EDGES, closest, family, kept_lines
 from pyspark.sql import functions as F
@@ -62,6 +63,83 @@ def test_overlap_bound_is_exact():
                     assert not linked or (near.least_partner(a) <= b <= near.most_partner(a) and a + b - 2 * common <= near.distance(a + b))
 
 
+def cell_of(maps, sizes, labels, opened):
+    n = len(maps)
+    rows = [(1, 0, 0, asks, opened[i], i, sizes[i], maps[i], labels[i]) for asks in (False, True) for i in range(n) if opened[i] or not asks]
+    names = ["token", "left", "right", "asks", "open", "node", "n", "bits", "label"]
+    return pa.RecordBatch.from_pydict(dict(zip(names, map(list, zip(*rows, strict=True)), strict=True)))
+
+
+def test_bit_maps_fold_and_never_exceed_the_distance():
+    rng = np.random.default_rng(5)
+    for n in (1, 3, 2047, 2049, 5000, 17_000):
+        tokens = rng.integers(0, 2**64, n, dtype=np.uint64)
+        whole = jaccard._matrix([jaccard._bitmap(tokens)])
+        assert whole.shape[1] * 64 >= max(1024, n / 2)
+        assert (jaccard._folded(whole, 16) == jaccard._folded(jaccard._folded(whole, max(16, whole.shape[1] // 2)), 16)).all()
+        other = np.concatenate([tokens[n // 10 :], rng.integers(0, 2**64, n // 7, dtype=np.uint64)])
+        b = jaccard._matrix([jaccard._bitmap(other)])
+        words = min(whole.shape[1], b.shape[1])
+        assert np.bitwise_count(jaccard._folded(whole, words) ^ jaccard._folded(b, words)).sum() <= n // 10 + n // 7
+
+
+@pytest.mark.parametrize(("num", "n"), [(90, 6000), (80, 6000), (90, 100_000)])
+def test_unlike_long_sets_of_a_list_give_no_pair(num, n):
+    rng = np.random.default_rng(6)
+    count = 200 if n < 10_000 else 20
+    sizes = [n + int(x) for x in rng.integers(0, 300, count)]
+    maps = [jaccard._bitmap(rng.integers(0, 2**64, x, dtype=np.uint64)) for x in sizes]
+    batch = cell_of(maps, sizes, list(range(count)), [i > 0 for i in range(count)])
+    assert list(jaccard._near_pairs(Threshold(num, 100), True)([batch])) == []
+    pairs = pa.RecordBatch.from_pydict({"a": [0] * (count - 1), "b": list(range(1, count)), "n": [sizes[0]] * (count - 1), "m": sizes[1:], "s": [maps[0]] * (count - 1), "t": maps[1:]})
+    assert sum(b.num_rows for b in jaccard._likely(Threshold(num, 100))([pairs])) == 0
+
+
+def test_a_cell_gives_each_pair_once_and_a_forest_of_labels():
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 2**64, 2060, dtype=np.uint64)
+    sets = [np.concatenate([base[i * 3 :], rng.integers(0, 2**64, i, dtype=np.uint64)]) for i in range(12)]  # maps of two widths
+    maps, sizes = [jaccard._bitmap(x) for x in sets], [len(x) for x in sets]
+    assert len({len(m) for m in maps}) == 2
+    labels = [0, 0, 0, *range(3, 12)]
+    batch = cell_of(maps, sizes, labels, [x > 0 for x in labels])
+    near = Threshold(90, 100)
+    every = [(a, b) for out in jaccard._near_pairs(near, True)([batch]) for a, b in zip(out.column("a").to_pylist(), out.column("b").to_pylist(), strict=True)]
+    wanted = {(a, b) for a in range(12) for b in range(a + 1, 12) if labels[a] != labels[b]}
+    assert len(every) == len(set(every)) and set(every) == wanted
+    forest = [(a, b) for out in jaccard._near_pairs(near, False)([batch.slice(0, 5), batch.slice(5)]) for a, b in zip(out.column("a").to_pylist(), out.column("b").to_pylist(), strict=True)]
+    assert len(forest) == 9 and set(forest) <= wanted
+
+
+def test_many_near_copies_cost_a_few_pairs_each(spark, monkeypatch):
+    """A family of 3,000 different texts and a chain of drifting ones; few pairs reach the blocks."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(120)]
+    out = []
+    for i in range(3000):
+        own = list(base)
+        own[rng.randrange(120)] = f"x{i}"
+        out.append(" ".join(own))
+    for i in range(40):
+        base = list(base)
+        base[3 * i] = f"y{i}"
+        out.append(" ".join(base))
+    seen = []
+    write = Stage.write
+
+    def counting(self, df, name):
+        staged = write(self, df, name)
+        if name in ("likely", "pairs", "again"):
+            seen.append((name, staged.count()))
+        return staged
+
+    monkeypatch.setattr(Stage, "write", counting)
+    docs = spark.createDataFrame(list(enumerate(out)), "doc_id long, text string").repartition(8)
+    got = [r.component_id for r in similar_documents(docs, 1, 90, 100).select("component_id").collect()]
+    assert got == [0] * len(out)
+    assert sum(n for _, n in seen) < 40 * len(out), seen
+
+
 def test_one_of_each_group_edges(spark):
     docs = spark.createDataFrame(EDGES, "doc_id long, text string, node string")
     kept = one_of_each_group(docs)
