@@ -839,7 +839,7 @@ def committee_rerun(spark, folder):
 
 @query
 def mart_violations(spark, folder):
-    """Violations of the declared contracts in each table that a job fills, by job and table."""
+    """Rows and violations of the declared contracts in each table that a job fills, by job and table."""
     jobs = {
         "registrations": registrations.run_registrations, "contracts": contracts.run_contracts,
         "subcontracts": contracts.run_subcontracts, "individuals": individuals.run_individuals,
@@ -848,6 +848,23 @@ def mart_violations(spark, folder):
     sources, rows = Filings(spark, folder).sources(), []
     for job, run in jobs.items():
         filled = {t: snapshots.stage(df, f"checked-{t}") for t, df in run(sources, {}).items() if t in MART}
-        rows += [df.select(F.lit(f"{job}.{t}").alias("table"), F.lit(0).cast("bigint").alias("violations")) for t, df in filled.items()]
-        rows.append(checks.check_mart(filled, MART).select(F.concat(F.lit(f"{job}."), "table").alias("table"), F.col("n").alias("violations")))
-    return reduce(DataFrame.unionByName, rows).groupBy("table").agg(F.sum("violations").alias("violations"))
+        one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+        rows += [df.select(F.lit(f"{job}.{t}").alias("table"), one.alias("rows"), none.alias("violations")) for t, df in filled.items()]
+        rows.append(checks.check_mart(filled, MART).select(F.concat(F.lit(f"{job}."), "table").alias("table"), none.alias("rows"), F.col("n").alias("violations")))
+    return reduce(DataFrame.unionByName, rows).groupBy("table").agg(F.sum("rows").alias("rows"), F.sum("violations").alias("violations"))
+
+
+@query
+def planted_violations(spark, folder):
+    """What the checks find in the candidates' tables after faults are put into every row of three of them."""
+    filled = candidates.run_candidates(Filings(spark, folder).sources())
+    good = {t: snapshots.stage(filled[t], f"planted-{t}") for t in ("candidate", "district", "election", "office")}
+    unlisted = good["candidate"].withColumn("party", F.lit("NOBODY"))
+    faulty = {
+        "candidate": unlisted.unionByName(unlisted),  # a repeated key, and a party that is not in the list
+        "district": good["district"].withColumn("number", F.lit(None).cast("string")),
+        "office": good["office"].filter(F.lit(False)),  # elections lose their office
+        "election": good["election"],
+    }
+    found = checks.check_mart(faulty, MART)
+    return found.groupBy("table", "check", "detail").agg(F.sum("n").alias("violations"))

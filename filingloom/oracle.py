@@ -758,14 +758,23 @@ SQL["committee_ledger"] = with_damaged("statements", "campaign_covers") + outcom
 }, one="filing_id, amend_id, form_type, filer_id, entity_cd, filer_naml, city, st, cmtte_type, control_yn, bal_num, bal_name, bal_juris NULLS FIRST, sup_opp_cd") + f"""
 UNION ALL SELECT 'committees', 'campaign_cover', CASE WHEN {parsed("from_date")} IS NULL THEN 'bad period' ELSE 'accepted' END, count(*) FROM campaign_covers GROUP BY 3"""
 
-# the declared contracts hold in every table that the jobs fill
-FILLED = {
-    "registrations": "activity direct_employment employed_lobbying filer_id lobbying_firm lobbyist lobbyist_employer permanent_employment person",
-    "contracts": "activity contract contracted_lobbying filer_id lobbying_firm lobbyist_employer",
-    "subcontracts": "activity filer_id lobbying_firm lobbyist_employer subcontract subcontracted_lobbying",
-    "individuals": "activity filer_id individual_lobbying lobbying_firm lobbyist_employer",
-    "candidates": "candidate district election filer_id office person running",
-    "committees": "ballot ballot_committee ballot_support committee filer_id general_committee independent_committee",
+# the declared contracts hold in every table that the jobs fill; its rows are those that a job adds
+OFFICE = "title, agency, jurisdiction"
+CANDIDATE_TABLES = {
+    "person": "SELECT count(*) FROM person", "candidate": rows_of(f"{PERSON}, party", "walked"), "filer_id": rows_of(PERSON, "person", "person_filer <> ''"),
+    "district": rows_of("title, district_number", "facts", "district_number IS NOT NULL"), "office": rows_of(OFFICE, "facts"),
+    "election": rows_of(f"{OFFICE}, election_type, election_year", "facts", "election_year IS NOT NULL"),
+    "running": rows_of(f"{PERSON}, {OFFICE}, election_type, election_year", "walked", "election_year IS NOT NULL"),
 }
+FILLED = {"candidates": CANDIDATES + counted(**CANDIDATE_TABLES)} | {
+    f"{job}s": SQL[f"{job}_rerun"] for job in ("registration", "contract", "subcontract", "individual", "committee")}
 SQL["mart_violations"] = " UNION ALL ".join(
-    f"SELECT '{job}.{t}' AS \"table\", 0 AS violations" for job, tables in FILLED.items() for t in tables.split())
+    f"""SELECT '{job}.' || "table" AS "table", rows, 0::BIGINT AS violations FROM ({sql}) WHERE "table" NOT IN ('org_xref', 'organizations')"""
+    for job, sql in FILLED.items())
+# faults in every row: of candidates each twice, of districts, and of elections whose offices are gone
+SQL["planted_violations"] = CANDIDATES + " UNION ALL ".join(
+    f"""SELECT '{table}' AS "table", '{kind}' AS "check", '{detail}' AS detail, n AS violations
+    FROM (SELECT ({times} * ({CANDIDATE_TABLES[table]}))::BIGINT AS n) WHERE n > 0"""
+    for table, kind, detail, times in (
+        ("candidate", "primary", "person_id,party", 2), ("candidate", "domain", "party", 2), ("district", "required", "number", 1),
+        ("election", "parent", "office_id->office", 1)))
