@@ -394,12 +394,15 @@ def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100
         likely = pairs.distinct().join(left, "a").join(right, "b").filter(fit).select("a", "b", "n", "m", "s", "t").mapInArrow(_likely(near), "a bigint, b bigint")
         return verified(stage.write(likely, "likely"), name).filter("ok").select("a", "b")
 
-    def still_open(labels: DataFrame, name: str, of: DataFrame) -> DataFrame:
-        """Members of lists of several components, with their label, the main one and whether theirs is another."""
+    def still_open(labels: DataFrame, name: str, of: DataFrame) -> DataFrame | None:
+        """Members of lists of several components, with their label, the main one and whether theirs is another; None without such lists."""
         labelled = stage.write(of.filter("size > 2").select("token", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), f"{name}-labelled")
         parts = labelled.groupBy("token", "label").agg(F.count("*").alias("n")).groupBy("token").agg(F.max(F.struct("n", "label")).alias("most"), F.count("*").alias("parts"))
         mixed = stage.write(parts.filter("parts > 1").select("token", F.col("most.label").alias("main")), f"{name}-mixed")
-        return labelled.join(mixed, "token").withColumn("open", F.col("label") != F.col("main"))
+        return None if mixed.isEmpty() else labelled.join(mixed, "token").withColumn("open", F.col("label") != F.col("main"))
+
+    def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+        return labels if links.isEmpty() else stage.write(components(labels.toDF("a", "b").unionAll(links), stage), "labels")
 
     def candidates(mixed: DataFrame, every: bool) -> DataFrame:
         counted = mixed.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("lefts"), F.ceil(F.sum(F.col("open").cast("int")) / BLOCK).cast("int").alias("rights"))
@@ -413,22 +416,24 @@ def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100
     labels = stage.write(components(links.unionAll(same_id.toDF("a", "b")), stage), "labels")
 
     # in lists of several components, those outside the main one against some of its members
-    mixed = still_open(labels, "first", members)
-    scouts = mixed.filter("NOT open").groupBy("token").agg(*[F.min_by("node", F.xxhash64("node", F.lit(i))).alias(f"s{i}") for i in range(SCOUTS)])
-    asked = mixed.filter("open").join(scouts, "token").select("node", F.explode(F.array_distinct(F.array(*[f"s{i}" for i in range(SCOUTS)]))).alias("scout"))
-    links = linked(asked.select(F.least("node", "scout").alias("a"), F.greatest("node", "scout").alias("b")), "scouts-checked")
-    labels = stage.write(components(labels.toDF("a", "b").unionAll(links), stage), "labels")
+    if (mixed := still_open(labels, "first", members)) is not None:
+        scouts = mixed.filter("NOT open").groupBy("token").agg(*[F.min_by("node", F.xxhash64("node", F.lit(i))).alias(f"s{i}") for i in range(SCOUTS)])
+        asked = mixed.filter("open").join(scouts, "token").select("node", F.explode(F.array_distinct(F.array(*[f"s{i}" for i in range(SCOUTS)]))).alias("scout"))
+        links = linked(asked.select(F.least("node", "scout").alias("a"), F.greatest("node", "scout").alias("b")), "scouts-checked")
+        labels = merged(labels, links)
+        mixed = still_open(labels, "second", members)
 
     # those that are still outside against all members, and once more where a pair of the forest failed
-    first = stage.write(candidates(still_open(labels, "second", members), False), "pairs")
-    checked = verified(first.select("a", "b").distinct(), "checked")
-    failed = stage.write(first.join(checked.filter("NOT ok"), ["a", "b"]).select("token").distinct(), "failed")
-    labels = stage.write(components(labels.toDF("a", "b").unionAll(checked.filter("ok").select("a", "b")), stage), "labels")
-    again = candidates(still_open(labels, "third", members.join(failed, "token", "left_semi")), True)
-    again = stage.write(again.select("a", "b").distinct().join(checked, ["a", "b"], "left_anti"), "again")
-    late = verified(again, "checked-again").filter("ok").select("a", "b")
-    labels = components(labels.toDF("a", "b").unionAll(late), stage, "final-stars")
-    stage.release(*[n for n in stage.paths if n not in ("rows", "final-stars")])
+    if mixed is not None:
+        first = stage.write(candidates(mixed, False), "pairs")
+        checked = verified(first.select("a", "b").distinct(), "checked")
+        failed = stage.write(first.join(checked.filter("NOT ok"), ["a", "b"]).select("token").distinct(), "failed")
+        labels = merged(labels, checked.filter("ok").select("a", "b"))
+        mixed = None if failed.isEmpty() else still_open(labels, "third", members.join(failed, "token", "left_semi"))
+        if mixed is not None:
+            again = stage.write(candidates(mixed, True).select("a", "b").distinct().join(checked, ["a", "b"], "left_anti"), "again")
+            labels = merged(labels, verified(again, "checked-again").filter("ok").select("a", "b"))
+    stage.release(*[n for n in stage.paths if n not in ("rows", "labels")])
     out = rows.join(labels, "node", "left")
     component = F.coalesce("label", "node", F.col("doc_id"))
     return out.select("doc_id", "n_shingles", F.coalesce("node", F.col("doc_id")).alias("node"), component.alias("component_id"))

@@ -161,6 +161,46 @@ def test_components_of_paths_and_stars(spark):
     assert all(got[i] == 1000 for i in range(1001, 1200))
 
 
+def plain_components(links):
+    least = {x: x for link in links for x in link}
+    while any(least[a] != least[b] for a, b in links):
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    return least
+
+
+@pytest.mark.parametrize("links_a_task", [100_000, 40])
+def test_components_in_one_task_or_in_rounds(spark, monkeypatch, links_a_task):
+    """Links that fit one task need no rounds of shuffles; more take the rounds. Both give the same."""
+    from filingloom.llm import components as module
+
+    rng = random.Random(9)
+    links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(1000 + i, 1001 + i) for i in range(60)] + [(7, 7), (900, 3), (3, 900)]
+    written = []
+    write = Stage.write
+    monkeypatch.setattr(Stage, "write", lambda self, df, name: written.append(name) or write(self, df, name))
+    monkeypatch.setattr(module, "LINKS", links_a_task)
+    got = dict(tuple(r) for r in components(spark.createDataFrame(links, "a long, b long").repartition(6), Stage(spark)).collect())
+    assert got == {x: least for x, least in plain_components(links).items() if x != least}
+    assert (len(written) == 2) == (links_a_task > len(links)), written
+    assert components(spark.createDataFrame([], "a long, b long"), Stage(spark)).count() == 0
+
+
+def test_a_forest_holds_a_bounded_number_of_links(monkeypatch):
+    from filingloom.llm import components as module
+
+    monkeypatch.setattr(module, "LINKS", 50)
+    rng = random.Random(10)
+    links = [(rng.randrange(90), rng.randrange(90)) for _ in range(170)]
+    batches = [pa.RecordBatch.from_pydict(dict(zip("ab", map(list, zip(*part, strict=True)), strict=True))) for part in (links[:20], links[20:150], links[150:])]
+    out = [list(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)) for b in module._forest(iter(batches))]
+    assert len(out) == 4 and all(u > v for part in out for u, v in part)
+    forest = [link for part in out for link in part]
+    least = plain_components(links)
+    assert {x: y for x, y in plain_components(forest).items() if x != y} == {x: y for x, y in least.items() if x != y}
+    assert list(module._forest(iter([]))) == []
+
+
 @pytest.mark.parametrize(("slices", "twice_bits"), [(None, 1 << 20), (1, 64), (16, 1 << 12)])
 def test_lines_against_plain_python(spark, slices, twice_bits):
     rng = random.Random(8)
