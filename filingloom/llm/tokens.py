@@ -5,6 +5,8 @@ belongs to what follows it unless that is white space too. So a text may be cut
 that no white space follows, and the parts encoded alone. A lower-casing word vocabulary drops
 white space, so it may be cut at every space and line end. Words that are not yet remembered are
 encoded many at a time, as one text, and told apart by the tokens that begin (or end) a word.
+For a byte-level vocabulary a single line end between words, and a comma or full stop between a letter and a space, are
+parts of their own, so that a word is remembered once and not with each mark after it and each line that follows.
 """
 
 from __future__ import annotations
@@ -18,14 +20,23 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 CACHE_WORDS = 400_000  # words in each of the memory's two halves, in one Python worker
 CACHE_CHARS = 48  # longer parts are not remembered
-GROUP_CHARS = 400_000  # texts encoded together
+GROUP_CHARS = {"bytes": 1_200_000, "words": 400_000}  # texts encoded together
 _JOINED = 2_000  # words encoded as one text
 WHOLE = ("", [])  # stands for a text that is encoded as it is
 _OPEN = re.compile(r" (?!\S)")  # a space before white space or the end
 _SAFE_CUT = re.compile(r"(?<=\S)(?= \S)")
+_CUT = "\x01"  # begins a part that no space stands before; a text that holds one is cut at its spaces alone
+_LINE_END = re.compile(r"\n(?<=\S\n)(?=\S)")
+_COMMA, _STOP = (re.compile(rf"{m}(?<=[^\W\d_]{m})(?= )") for m in (",", r"\."))
 _MARKED = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-^`{-~]+)")  # letters, then ASCII marks other than the apostrophe
 
 
+def _cut(text: str) -> str:
+    """The text with a space and a sign before and after each part of its own."""
+    text = _LINE_END.sub(f" {_CUT}\n {_CUT}", text)
+    return _STOP.sub(f" {_CUT}.", _COMMA.sub(f" {_CUT},", text))
+
+
 class _Memory:
     """Ids by word. When the newer half is full it becomes the older one; what is used again moves up."""
 
@@ -104,10 +115,12 @@ class TextEncoder:
         """Remember the ids of parts that stand after a space, or anywhere for a word vocabulary."""
         todo = self.words.missing(parts)
         plain: set[str] = set()
-        marked, lines, odd = [], [], []
+        marked, lines, odd, cut = [], [], [], []
         for part in todo:
             if part.isalpha():
                 plain.add(part)
+            elif part.startswith(_CUT):
+                cut.append(part)
             elif m := _MARKED.fullmatch(part):
                 marked.append((part, m[1], m[2]))
             elif "\n" in part:
@@ -118,6 +131,9 @@ class TextEncoder:
         new = self.words.new
         for part in odd:
             new[part] = self._encode(self.prefix + part)
+        self._learn_starts({p[1:] for p in cut})
+        for part in cut:
+            new[part] = self._start(part[1:])
         for part, stem, marks in marked:
             new[part] = new[stem] + self._start(marks)
         split = [p.split("\n") for p in lines]
@@ -156,19 +172,20 @@ class TextEncoder:
         return ids
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        """The ids of some texts; give about GROUP_CHARS of text at a time, or one longer text."""
+        """The ids of some texts; give about as much text at a time as GROUP_CHARS says, or one longer text."""
         split: list[tuple[str, list[str]] | None] = []
         for text in texts:
             if any(m in text for m in self.marks) and self.added.search(text):
                 split.append(WHOLE)
             elif self.kind == "words":
                 split.append(("", text.replace("\n", " ").split(" ")))
-            elif _OPEN.search(text):
+            elif _OPEN.search(text) or _CUT in text:
                 split.append(None)
             else:
-                first, *rest = text.split(" ")
+                first, *rest = _cut(text).split(" ")
                 split.append((first, rest))
-        self._learn(set().union(*(s[1] for s in split if s)) | ({""} if self.kind == "words" else set()))
+        parts = set().union(*(s[1] for s in split if s)) | ({""} if self.kind == "words" else set())
+        self._learn(parts)
         get, out = self.words.new.__getitem__, []
         for text, s in zip(texts, split, strict=True):
             if s is WHOLE:
@@ -214,7 +231,7 @@ def encoded(batches, name: str, kind: str):
             keys.append(key)
             group.append(text.as_py() or "")
             size += len(group[-1])
-            if size >= GROUP_CHARS:
+            if size >= GROUP_CHARS[kind]:
                 yield from zip(keys, enc.encode_many(group), strict=True)
                 keys, group, size = [], [], 0
         if group:

@@ -66,6 +66,28 @@ def test_parts_give_the_ids_of_the_whole_text(name, kind):
     check()
 
 
+def test_marks_and_line_ends_are_parts_of_their_own():
+    """A word counts once in the memory, with whatever marks and lines after it."""
+    enc = TextEncoder(encoder_path("byte_bpe_50k.json"), "bytes")
+    words = ["apple", "éclair", "straße", "zebra"]
+    text = " ".join(f"{w} {w}, {w}. {w}.\n{w}\n{v}, x" for w in words for v in words)
+    (ids,) = enc.encode_many([text])
+    assert np.frombuffer(ids, "<u4").tolist() == whole("byte_bpe_50k.json", "bytes", text)
+    assert len(enc.words.new) <= 3 + len(words) * 2 + 1, sorted(enc.words.new)
+
+
+def test_texts_of_marks_lines_and_the_sign_of_a_cut():
+    enc = TextEncoder(encoder_path("byte_bpe_50k.json"), "bytes")
+
+    @settings(max_examples=1500, deadline=None)
+    @given(st.lists(st.text(alphabet=st.sampled_from(list("ab²½é5_,,..'!\n\n  \x01\t\u0301")), max_size=40), max_size=4))
+    def check(texts):
+        for text, ids in zip(texts, enc.encode_many(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == whole("byte_bpe_50k.json", "bytes", text)
+
+    check()
+
+
 @pytest.mark.parametrize(("name", "kind"), KINDS)
 def test_ids_of_the_given_documents(spark, sf_dir, name, kind):
     texts = [row.text for row in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
