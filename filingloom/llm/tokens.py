@@ -18,9 +18,10 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHE_WORDS = 400_000  # words in each of the memory's two halves, in one Python worker
+CACHE_WORDS = 600_000  # words in each of the memory's two halves, in one Python worker, for a byte-level vocabulary
+CACHE_SHARE = {"bytes": 1, "words": 2 / 3}  # of that
 CACHE_CHARS = 48  # longer parts are not remembered
-GROUP_CHARS = {"bytes": 1_200_000, "words": 400_000}  # texts encoded together
+GROUP_CHARS = {"bytes": 2_400_000, "words": 400_000}  # texts encoded together
 _JOINED = 2_000  # words encoded as one text
 WHOLE = ("", [])  # stands for a text that is encoded as it is
 _OPEN = re.compile(r" (?!\S)")  # a space before white space or the end
@@ -40,7 +41,8 @@ def _cut(text: str) -> str:
 class _Memory:
     """Ids by word. When the newer half is full it becomes the older one; what is used again moves up."""
 
-    def __init__(self) -> None:
+    def __init__(self, share: float) -> None:
+        self.share = share
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.long: list[str] = []  # words to forget after the group
@@ -60,7 +62,7 @@ class _Memory:
 
     def settle(self) -> None:
         """Between groups of texts only, as a group needs all its words."""
-        if len(self.new) > CACHE_WORDS:
+        if len(self.new) > CACHE_WORDS * self.share:
             self.old, self.new = self.new, {}
         for w in self.long:
             self.new.pop(w, None)
@@ -89,7 +91,7 @@ class TextEncoder:
         for token, at in self.tokenizer.get_vocab().items():
             self.edge[at] = token.startswith("Ġ") if kind == "bytes" else token.endswith("</w>")
         self.line_end = int(np.frombuffer(self._encode("\n"), "<u4")[0]) if kind == "bytes" else -1
-        self.words, self.starts = _Memory(), _Memory()  # after a space (or anywhere, for words), and at the start of a line
+        self.words, self.starts = _Memory(CACHE_SHARE[kind]), _Memory(CACHE_SHARE[kind])  # after a space (or anywhere, for words), and at the start of a line
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
