@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from filingloom.sources.snapshots import release, stage, unstage
+from filingloom.sources.snapshots import stage, unstage
 
 ACCEPTED, SUPERSEDED, BAD_ID = "accepted", "superseded", "bad filing id"
 SCHEMA = "job string, source string, outcome string, n bigint"
@@ -51,10 +51,11 @@ class Ledger:
             if got[f"n{i}"]:
                 self.counts[source, k] = self.counts.get((source, k), 0) + got[f"n{i}"]
         # without a refused row nothing needs to be read for them
-        refused = written.filter("reason IS NOT NULL" if any(got[f"n{i}"] for i, k in enumerate(kinds) if k not in silent) else F.lit(False))
+        any_refused = any(got[f"n{i}"] for i, k in enumerate(kinds) if k not in silent)
+        refused = written.filter("reason IS NOT NULL" if any_refused else F.lit(False))
         if passing:
             self.unsettled[source] = written
-            refused = stage(refused, f"{self.job}-{source}-refused")
+            refused = stage(refused, f"{self.job}-{source}-refused") if any_refused else refused
         ids = [F.col(c).cast("string") if c in rows.columns else F.lit(None).cast("string").alias(c) for c in ("filing_id", "amend_id")]
         self.refused.append(refused.select(F.lit(source).alias("source"), *ids, "reason"))
         return written.filter("reason IS NULL").drop("reason"), refused, got["n"]
@@ -77,7 +78,6 @@ class Ledger:
         self.counts[source, ACCEPTED] = n - (sum(self.counts.get((source, k), 0) for k in rules) - before)
         if source in self.unsettled:
             unstage(self.unsettled.pop(source))
-            release(rows.sparkSession)
         if (gone := self.open.pop(source, n) - n):
             self.counts[source, SUPERSEDED] = gone
         return good, refused

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 import tempfile
 import uuid
@@ -87,12 +86,6 @@ def unstage(df: DataFrame) -> None:
         delete(df.sparkSession, folder)
 
 
-def release(spark: SparkSession) -> None:
-    """Have the shuffle files of ended queries deleted now; Spark does so when the driver's JVM collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def merge_snapshot(existing: DataFrame | None, changed: DataFrame, key: list[str]) -> DataFrame:
     """The next snapshot of a table: changed rows replace existing rows of the same key."""
     if existing is None:
