@@ -10,7 +10,7 @@ from filingloom import catalog
 from filingloom.functions.text import amendment_no
 from filingloom.operators import latest
 from filingloom.operators.ledger import Ledger
-from filingloom.plans import contracts
+from filingloom.plans import candidates, committees, contracts, individuals, registrations
 from filingloom.sources.snapshots import stage, work_dir
 from filingloom.sources.tables import MART, RAW, raw_schema
 
@@ -100,7 +100,7 @@ def mart_people(spark):
     return spark.createDataFrame([(1, None, "A", None, "B", None, None), (1, None, "A", None, "B", None, None)], MART["person"].schema())
 
 
-def test_repeated_jobs_leave_no_tables(spark, monkeypatch):
+def test_checked_and_repeated_jobs_leave_no_tables(spark, monkeypatch):
     class Fake:
         def __init__(self, spark, folder):
             self.spark = spark
@@ -109,6 +109,23 @@ def test_repeated_jobs_leave_no_tables(spark, monkeypatch):
             return self.spark
 
     monkeypatch.setattr(catalog, "Filings", Fake)
+    for module in (registrations, contracts, individuals, candidates, committees):
+        name = module.__name__.rpartition(".")[2]
+        monkeypatch.setattr(module, f"run_{name}", fake_job)
+    monkeypatch.setattr(contracts, "run_subcontracts", fake_job)
     before = staged(spark)
+    jobs = ("candidates", "committees", "contracts", "individuals", "registrations", "subcontracts")
+    assert rows(catalog.mart_violations(spark, "")) == [(f"{j}.person", 2, 2) for j in jobs]
     assert rows(catalog._added_again(fake_job, spark, "")) == [("person", 2, 0)]
     assert staged(spark) == before
+
+
+def test_a_source_without_refused_rows_is_settled(spark):
+    """Its usable rows are gone, and the empty frames of refused rows read nothing of them."""
+    before = staged(spark)
+    ledger = Ledger("job")
+    usable, bad = ledger.usable(spark.createDataFrame([("1", "1"), ("1", "2")], "filing_id string, amend_id string"), "lines")
+    good, refused = ledger.settle(latest.latest_amendment(usable, "filing_id", "amend_id"), "lines")
+    assert [f[: f.rindex("-")] for f in staged(spark) - before] == ["stage-job-lines"]
+    assert rows(good) == [("1", "2")] and rows(bad) == rows(refused) == rows(ledger.rejects()) == []
+    assert rows(bad.unionByName(refused).distinct().select("filing_id", "reason")) == []
